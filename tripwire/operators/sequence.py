@@ -101,7 +101,7 @@ def carry_table(blocks: Blocks, fields: list[str], amount: str | None = "amount"
         (F.row_number().over(w) > 1).alias("has_prev"),
         F.lag("_last").over(w).alias("prev_last"),
         F.first("_first").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("first_row"),
-        F.coalesce(F.sum("_sum").over(before), F.lit(0.0)).alias("pre_sum"),
+        F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("pre_sum"),
         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("pre_cnt"),
     )
 
@@ -114,7 +114,7 @@ def with_carry(blocks: Blocks, fields: list[str], amount: str | None = "amount")
         none_row = F.when(F.lit(False), row_type)
         return df.select(
             "*", F.lit(False).alias("has_prev"), none_row.alias("prev_last"), none_row.alias("first_row"),
-            F.lit(0.0).alias("pre_sum"), F.lit(0).cast("long").alias("pre_cnt"))
+            F.lit(0).alias("pre_sum"), F.lit(0).cast("long").alias("pre_cnt"))
     c = carry_table(blocks, fields, amount).alias("_c")
     k = blocks.key
     j = df.alias("_r").join(c, F.col(f"_r.{k}").eqNullSafe(F.col(f"_c.{k}")) & (F.col(f"_r.{BLK}") == F.col(f"_c.{BLK}")), "left")
@@ -123,6 +123,6 @@ def with_carry(blocks: Blocks, fields: list[str], amount: str | None = "amount")
         F.coalesce(F.col("_c.has_prev"), F.lit(False)).alias("has_prev"),
         F.col("_c.prev_last").alias("prev_last"),
         F.col("_c.first_row").alias("first_row"),
-        F.coalesce(F.col("_c.pre_sum"), F.lit(0.0)).alias("pre_sum"),
+        F.coalesce(F.col("_c.pre_sum"), F.lit(0)).alias("pre_sum"),
         F.coalesce(F.col("_c.pre_cnt"), F.lit(0).cast("long")).alias("pre_cnt"),
     )
