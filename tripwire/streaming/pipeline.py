@@ -1,0 +1,141 @@
+"""Streaming stages: topics in and out, the detector query, the roll-up, the loader.
+
+The reference runs three detector jobs, an aggregator and a loader connected
+by topics. Here the detectors are one query (one keyed state), and the three
+stages can run as one query (scores summed in the row) or as separate queries
+connected by topics, as in the reference.
+
+Topics are Kafka topics (``fmt="kafka"``) or, for tests and file drops,
+folders of JSON-lines files whose records are ``{"seq": .., "value": ..}``
+(the Kafka offset and value).
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from ..functions.parse import LABEL_THRESHOLD, filter_null, final_projection, label, parse_transactions
+from ..operators.rollup import scored_long, total_score
+from ..schema import PAYLOAD
+from ..session import ensure_checkpoint_dir
+from .processor import score_with_state
+
+FILE_RECORD = T.StructType([T.StructField("seq", T.LongType()), T.StructField("value", T.StringType())])
+
+SCORED_TEXT = T.StructType([
+    T.StructField("seq", T.LongType()), T.StructField("transaction_id", T.StringType()),
+    T.StructField("user_id", T.StringType()), T.StructField("txn_time", T.LongType()),
+    T.StructField("amount", T.DoubleType()), T.StructField("location", T.StringType()),
+    T.StructField("transaction_type", T.StringType()), T.StructField("detector", T.StringType()),
+    T.StructField("fraud_score", T.IntegerType()),
+])
+
+
+def kafka_options(bootstrap: str, topic: str, starting: str = "earliest", max_offsets: int | None = 100) -> dict:
+    """Connector options in one place (the reference polls 100 records at a time)."""
+    opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic, "startingOffsets": starting,
+            "failOnDataLoss": "false"}
+    if max_offsets:
+        opts["maxOffsetsPerTrigger"] = str(max_offsets)
+    return opts
+
+
+def read_topic(spark: SparkSession, where: str, fmt: str = "files", max_files_per_trigger: int | None = None,
+               **kafka) -> DataFrame:
+    """A stream of (seq, value) records: a folder of JSON-lines files or a Kafka topic."""
+    if fmt == "kafka":
+        raw = spark.readStream.format("kafka").options(**kafka_options(kafka["bootstrap"], where, **{
+            k: v for k, v in kafka.items() if k != "bootstrap"})).load()
+        return raw.select(F.col("offset").alias("seq"), F.col("partition"),
+                          F.col("value").cast("string").alias("value"))
+    reader = spark.readStream.schema(FILE_RECORD)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.json(where)
+
+
+def write_topic(df: DataFrame, where: str, checkpoint: str, fmt: str = "files", trigger: dict | None = None,
+                query_name: str | None = None, **kafka) -> StreamingQuery:
+    """Write (seq, value) records to a folder of JSON files or a Kafka topic."""
+    w = df.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
+    if query_name:
+        w = w.queryName(query_name)
+    w = w.trigger(**(trigger or {"availableNow": True}))
+    if fmt == "kafka":
+        return w.format("kafka").option("kafka.bootstrap.servers", kafka["bootstrap"]).option("topic", where).start()
+    if fmt == "console":
+        return w.format("console").option("truncate", "false").start()
+    return w.format("json").option("path", where).start()
+
+
+def as_records(df: DataFrame, columns: list[str], seq: str = "seq") -> DataFrame:
+    """Rows to (seq, value) topic records; null fields are kept (B2)."""
+    return df.select(F.col(seq).alias("seq"),
+                     F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("value"))
+
+
+def detector_stream(records: DataFrame, mode: str = "FAILFAST", **params) -> DataFrame:
+    """Stage 1: parse transactions, score them with keyed state (wide: three score columns)."""
+    parsed = parse_transactions(records, mode=mode, keep=["seq"])
+    if mode.upper() == "PERMISSIVE":
+        parsed = filter_null(parsed).drop("_corrupt")
+    return score_with_state(parsed, **params)
+
+
+def scored_records(wide: DataFrame) -> DataFrame:
+    """Stage 1 output in the shared-topic form: one record per (transaction, detector)."""
+    long = scored_long(wide)
+    return as_records(long, PAYLOAD + ["fraud_score", "detector"])
+
+
+def parse_scored(records: DataFrame) -> DataFrame:
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in SCORED_TEXT.fields if f.name != "seq"])
+    p = records.select("seq", F.from_json("value", text, {"mode": "FAILFAST"}).alias("r"))
+    return p.select("seq", *[F.col(f"r.{f.name}").cast(f.dataType).alias(f.name)
+                             for f in SCORED_TEXT.fields if f.name != "seq"])
+
+
+def rollup_stream(scored: DataFrame, window: str = "processing", seconds: int = 1, gap_seconds: int = 1,
+                  watermark: str = "0 seconds", dedup: bool = False, threshold: int = LABEL_THRESHOLD) -> DataFrame:
+    """Stage 2: per transaction and window, sum the scores and label.
+
+    ``processing``: tumbling 1 s windows of arrival (processing) time, as the
+    reference; ``tumbling``/``session``: windows of event time ``txn_time``.
+    Append mode: a window is emitted once the watermark passes its end.
+    """
+    if window == "processing":
+        ts = F.current_timestamp()
+    else:
+        ts = F.timestamp_seconds("txn_time")
+    s = scored.withColumn("_t", ts).withWatermark("_t", watermark)
+    if dedup:
+        s = s.dropDuplicatesWithinWatermark(["transaction_id", "detector"])
+    if window == "session":
+        win = F.session_window("_t", f"{int(gap_seconds)} seconds")
+    else:
+        win = F.window("_t", f"{int(seconds)} seconds")
+    payload = [c for c in PAYLOAD if c != "transaction_id"]
+    agg = s.groupBy(win.alias("_w"), "transaction_id").agg(
+        F.sum("fraud_score").cast("int").alias("fraud_score"),
+        F.max_by(F.struct(*payload), F.col("seq")).alias("_base"))
+    return agg.select(
+        F.unix_seconds("_w.start").alias("window_start"), "transaction_id",
+        *[F.col(f"_base.{c}").alias(c) for c in payload if c != "transaction_type"],
+        label("fraud_score", F.col("_base.transaction_type"), threshold).alias("transaction_type"),
+        "fraud_score", (F.col("fraud_score") >= threshold).alias("detected"))
+
+
+def final_stream(wide: DataFrame, threshold: int = LABEL_THRESHOLD, safe: bool = True) -> DataFrame:
+    """Stages 1-2 in one query (E8): the three scores summed in the row, 7 table columns."""
+    return final_projection(total_score(wide, threshold), safe=safe)
+
+
+def scratch_path(spark: SparkSession, *parts: str) -> str:
+    """A fresh folder under the shared checkpoint folder."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return "/".join([base, *parts, uuid.uuid4().hex])
