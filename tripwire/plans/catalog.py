@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 from ..functions import parse as P
 from ..functions import scalar as S
 from ..operators import detectors as D
+from ..operators import inject as I
 from ..operators import profile as PR
 from ..operators import rollup as R
 from ..schema import CANONICAL
 from ..sources.tables import read_table, transactions
 from . import oracle as O
+from . import oracle_inject as OI
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -256,6 +258,51 @@ def sample_users(spark, sf):
     return PR.sample_users(PR.user_profile(_ev(spark, sf)), 25)
 
 
+# ------------------------------------------------------------------ injection
+
+def inject_pick_rows(spark, sf):
+    return I.pick_rows(_ev(spark, sf))
+
+
+def inject_pick_types(spark, sf):
+    return I.pick_types(I.pick_rows(_ev(spark, sf)).select("seq"))
+
+
+def inject_normal(spark, sf):
+    return I.apply_behaviour(_ev(spark, sf), "normal")
+
+
+def inject_spacing(spark, sf):
+    return I.apply_behaviour(_or(spark, sf), "spacing")
+
+
+def inject_high_amount(spark, sf):
+    return I.apply_behaviour(_ev(spark, sf), I.HIGH_VALUE)
+
+
+def inject_location(spark, sf):
+    return I.apply_behaviour(_ev(spark, sf), I.PROXIMITY)
+
+
+def inject_close_time(spark, sf):
+    return I.apply_behaviour(_ev(spark, sf), I.TIME)
+
+
+def inject_all(spark, sf):
+    return I.inject_all(_ev(spark, sf))
+
+
+def inject_backtest(spark, sf):
+    """Detectors run on injected rows: per fraud-type list, how many were detected."""
+    inj = I.inject_all(_ev(spark, sf))
+    scored = R.total_score(D.score_all(inj.drop("fraud_types")))
+    j = scored.join(inj.select("seq", "fraud_types"), "seq")
+    return j.groupBy(F.coalesce("fraud_types", F.lit("none")).alias("fraud_types")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(F.when(F.col("detected"), 1)).alias("n_detected"),
+        F.sum("fraud_score").cast("long").alias("score_sum"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in [
         publish_transactions, parse_json, parse_coerce, to_json_roundtrip, filter_null, parse_rejects,
@@ -267,6 +314,8 @@ QUERIES: dict[str, Query] = {
         final_scores_session, fraud_pipeline, fraud_pipeline_orders,
         user_profile, profile_running, profile_upsert, user_count, profile_lookup, first_transactions,
         sample_users,
+        inject_pick_rows, inject_pick_types, inject_normal, inject_spacing, inject_high_amount,
+        inject_location, inject_close_time, inject_all, inject_backtest,
     ]
 }
 
@@ -378,3 +427,28 @@ SELECT t.* FROM t JOIN (SELECT user_id, min(seq) AS s FROM t GROUP BY user_id) f
     "sample_users": f"""WITH p AS ({_profile_sql(_EV)})
 SELECT * EXCLUDE (h) FROM (SELECT *, md5(user_id || 'pick') AS h FROM p) ORDER BY h, user_id LIMIT 25""",
 }
+
+
+def _inject_oracles() -> dict[str, str]:
+    ev, od = _EV, _OR
+    backtest_src = "SELECT seq, transaction_id, user_id, txn_time, amount, location, transaction_type FROM inj"
+    return {
+        "inject_pick_rows": f"WITH t AS ({ev}),\n{OI.picked_sql()}\nSELECT seq, block, pos, n FROM picked",
+        "inject_pick_types": f"WITH t AS ({ev}),\n{OI.picked_sql()},\n{OI.types_sql()}\nSELECT * FROM types",
+        "inject_normal": OI.behaviour_sql(ev, "normal"),
+        "inject_spacing": OI.behaviour_sql(od, "spacing"),
+        "inject_high_amount": OI.behaviour_sql(ev, I.HIGH_VALUE),
+        "inject_location": OI.behaviour_sql(ev, I.PROXIMITY),
+        "inject_close_time": OI.behaviour_sql(ev, I.TIME),
+        "inject_all": f"WITH {OI.inject_all_ctes(ev)}\nSELECT * FROM inj",
+        "inject_backtest": f"""WITH RECURSIVE {OI.inject_all_ctes(ev)},
+{O.scores_ctes(source=backtest_src, p='x_').removeprefix('RECURSIVE ')}
+SELECT coalesce(inj.fraud_types, 'none') AS fraud_types, count(*) AS n,
+       count(*) FILTER (WHERE x_s.amount_score + x_s.velocity_score + x_s.location_score >= 2) AS n_detected,
+       CAST(sum(x_s.amount_score + x_s.velocity_score + x_s.location_score) AS BIGINT) AS score_sum
+  FROM x_s JOIN inj USING (seq)
+ GROUP BY 1""",
+    }
+
+
+ORACLE.update(_inject_oracles())

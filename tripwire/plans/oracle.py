@@ -29,33 +29,38 @@ TXN = {"events": EVENTS_TXN, "orders": ORDERS_TXN}
 CANON = "seq, transaction_id, user_id, txn_time, amount, location, transaction_type"
 
 
-def scores_ctes(table: str = "events", factor: float = 3.0, max_gap: int = 20) -> str:
-    """CTEs t (transactions), w (window helpers), r (amount fold), s (all three scores)."""
-    return f"""RECURSIVE t AS ({TXN[table]}),
-w AS (
+def scores_ctes(table: str = "events", factor: float = 3.0, max_gap: int = 20, source: str | None = None,
+                p: str = "") -> str:
+    """RECURSIVE CTEs t (transactions), w (window helpers), r (amount fold), s (all three scores).
+
+    `source` replaces the table's adapter SQL; `p` prefixes the CTE names.
+    """
+    src = source or TXN[table]
+    return f"""RECURSIVE {p}t AS ({src}),
+{p}w AS (
   SELECT *,
          row_number() OVER (PARTITION BY user_id ORDER BY seq) AS rn,
          lag(txn_time) OVER (PARTITION BY user_id ORDER BY seq) AS prev_time,
          lag(location) OVER (PARTITION BY user_id ORDER BY seq) AS prev_loc,
          first_value(location) OVER (PARTITION BY user_id ORDER BY seq
                                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS first_loc
-    FROM t),
-r AS (
-  SELECT user_id, rn, seq, 0 AS amount_score, amount AS total, 1 AS cnt FROM w WHERE rn = 1
+    FROM {p}t),
+{p}r AS (
+  SELECT user_id, rn, seq, 0 AS amount_score, amount AS total, 1 AS cnt FROM {p}w WHERE rn = 1
   UNION ALL
   SELECT w.user_id, w.rn, w.seq,
          CASE WHEN w.amount >= (r.total / r.cnt) * {factor} THEN 1 ELSE 0 END,
          CASE WHEN w.amount >= (r.total / r.cnt) * {factor} THEN r.total ELSE r.total + w.amount END,
          CASE WHEN w.amount >= (r.total / r.cnt) * {factor} THEN r.cnt ELSE r.cnt + 1 END
-    FROM r JOIN w ON w.user_id = r.user_id AND w.rn = r.rn + 1),
-s AS (
+    FROM {p}r r JOIN {p}w w ON w.user_id = r.user_id AND w.rn = r.rn + 1),
+{p}s AS (
   SELECT w.seq, w.transaction_id, w.user_id, w.txn_time, w.amount, w.location, w.transaction_type,
          CAST(r.amount_score AS INTEGER) AS amount_score,
          CAST(CASE WHEN w.rn = 1 THEN 0 WHEN w.txn_time - w.prev_time <= {max_gap} THEN 1 ELSE 0 END AS INTEGER)
            AS velocity_score,
          CAST(CASE WHEN w.rn = 1 THEN 0 WHEN w.location IS NOT DISTINCT FROM w.first_loc THEN 0 ELSE 1 END AS INTEGER)
            AS location_score
-    FROM w JOIN r ON r.seq = w.seq)"""
+    FROM {p}w w JOIN {p}r r ON r.seq = w.seq)"""
 
 
 def detect_sql(detector: str, table: str = "events", factor: float = 3.0, max_gap: int = 20) -> str:
