@@ -107,6 +107,9 @@ def score_with_state(txns: DataFrame, factor: float = AMOUNT_FACTOR, max_gap: in
                      ttl_ms: int | None = None) -> DataFrame:
     """Score a (streaming or batch) frame of canonical transactions with keyed state."""
     src = txns.select(*CANONICAL)
+    if not src.isStreaming:
+        # The state store coordinator is started with the streaming query manager.
+        _ = src.sparkSession.streams.active
     return src.groupBy("user_id").transformWithStateInPandas(
         statefulProcessor=DetectorProcessor(factor, max_gap, ttl_ms),
         outputStructType=WIDE_SCHEMA, outputMode="Append", timeMode="None")
