@@ -30,7 +30,6 @@ FRAUD_INTERVAL = 1000  # rows per picking block
 FRAUD_COUNT_RANGE = (0, 20)  # frauds per block
 HIGH_VALUE, PROXIMITY, TIME = "High Value Fraud", "Proximity Fraud", "Time Fraud"
 FRAUD_TYPE_ORDER = [HIGH_VALUE, PROXIMITY, TIME]
-MAX_LOCATIONS = 1_000_000  # size guard for the broadcast location list
 
 
 def _key() -> Column:
@@ -41,7 +40,7 @@ def with_history(txns: DataFrame, rows_per_block: int | None = None) -> DataFram
     """Rows plus the profile just before each (null averages on a user's first row)."""
     run = profile_running(txns, rows_per_block=rows_per_block)
     return run.select(
-        "seq", "transaction_id", "user_id", "txn_time", "amount", "location",
+        "seq", "transaction_id", "user_id", "txn_time", "amount", "location", "transaction_type",
         F.col("average_amt_before").alias("avg_before"), F.col("last_txn_time_before").alias("last_time"),
         "main_location", (F.col("txn_count") == 1).alias("is_first"))
 
@@ -89,51 +88,83 @@ def with_other_location(df: DataFrame, locations: DataFrame) -> DataFrame:
 
     The distinct locations are numbered in lower-case order; the row takes the
     entry 1..m-1 places after its main location (repeatable), which never equals
-    it. The list is checked against MAX_LOCATIONS before it is broadcast.
+    it. The numbered list is joined twice; AQE broadcasts it when its measured
+    size is small. No main location, or a single location: null (no move).
     """
     distinct = locations.filter(F.col("location").isNotNull()).groupBy(F.lower("location").alias("lk")).agg(
         F.min("location").alias("loc"))
-    m = distinct.count()
-    if m > MAX_LOCATIONS:
-        raise ValueError(f"{m} distinct locations; more than {MAX_LOCATIONS} to broadcast")
-    if m < 2:
-        return df.withColumn("_other_location", F.lit(None).cast("string"))
-    numbered = distinct.select("lk", "loc", (F.row_number().over(Window.orderBy("lk")) - 1).alias("idx"))
-    main = F.broadcast(numbered.select(F.col("lk").alias("_mlk"), F.col("idx").alias("_midx")))
+    numbered = distinct.select(
+        "lk", "loc", (F.row_number().over(Window.orderBy("lk")) - 1).alias("idx"),
+        F.count(F.lit(1)).over(Window.partitionBy()).alias("m"))
+    main = numbered.select(F.col("lk").alias("_mlk"), F.col("idx").alias("_midx"), F.col("m").alias("_m"))
     out = df.join(main, F.lower(F.col("main_location")) == F.col("_mlk"), "left")
-    shift = uniform_int(1, m - 1, _key(), "loc_pick")
-    out = out.withColumn("_oidx", F.pmod(F.coalesce(F.col("_midx"), F.lit(0)) + shift, F.lit(m)))
-    other = F.broadcast(numbered.select(F.col("idx").alias("_oidx2"), F.col("loc").alias("_other_location")))
+    shift = F.lit(1) + F.floor(frac(_key(), "loc_pick") * (F.col("_m") - 1))
+    out = out.withColumn("_oidx", F.when(F.col("_m") >= 2, F.pmod(F.col("_midx") + shift, F.col("_m"))))
+    other = numbered.select(F.col("idx").alias("_oidx2"), F.col("loc").alias("_other_location"))
     out = out.join(other, out["_oidx"] == other["_oidx2"], "left")
-    return out.drop("_mlk", "_midx", "_oidx", "_oidx2")
+    return out.drop("_mlk", "_midx", "_m", "_oidx", "_oidx2")
 
 
-def pick_rows(txns: DataFrame, interval: int = FRAUD_INTERVAL) -> DataFrame:
-    """Rows chosen for fraud (G8): per block of `interval` offsets, n in 0..20 positions.
+# Fixed value: a prime above the number of positions (0..FRAUD_INTERVAL) per block.
+PERM_PRIME = 1009
+
+
+def _pick_coefficients(block: Column) -> tuple[Column, Column]:
+    p = PERM_PRIME
+    return (F.lit(1) + F.floor(frac(block, "perm_a") * F.lit(p - 1))).cast("long"), \
+        F.floor(frac(block, "perm_b") * F.lit(p)).cast("long")
+
+
+def pick_position(a: Column, b: Column, pos: Column, interval: int = FRAUD_INTERVAL) -> Column:
+    """Rank of `pos` in a repeatable random order of the positions 0..interval of a block.
+
+    x -> (a*x + b) mod p is a bijection of 0..p-1 (p prime, a != 0); walking
+    the cycle until the value falls in 0..interval (at most p - interval - 1
+    more steps) makes it a bijection of 0..interval. A row expression: no join,
+    window or shuffle.
+    """
+    p = PERM_PRIME
+
+    def f(x: Column) -> Column:
+        return F.pmod(a * x + b, F.lit(p))
+
+    walk = F.sequence(F.lit(1), F.lit(p - interval - 1))
+    return F.aggregate(walk, f(pos), lambda acc, _: F.when(acc <= F.lit(interval), acc).otherwise(f(acc)))
 
-    Positions 0..interval are drawn (the last one never exists, as in the
-    producer); the n with the smallest hash are chosen. Output: seq, block, pos, n.
+
+def pick_flags(txns: DataFrame, interval: int = FRAUD_INTERVAL) -> DataFrame:
+    """Rows plus block, pos, n (frauds drawn for the block) and `picked`.
+
+    Per block of `interval` offsets, n in 0..20 distinct positions out of
+    0..interval are chosen (the last position never exists, as in the producer).
     """
     lo, hi = FRAUD_COUNT_RANGE
-    blocks = txns.select(F.expr(f"seq div {int(interval)}").alias("block")).distinct()
-    cand = blocks.select("block", F.explode(F.sequence(F.lit(0), F.lit(interval))).alias("pos"))
-    h = F.md5(F.concat(F.col("block").cast("string"), F.lit("-"), F.col("pos").cast("string"), F.lit("pick")))
-    n = uniform_int(lo, hi, F.col("block"), "count")
-    ranked = cand.select("block", "pos", n.alias("n"),
-                         F.row_number().over(Window.partitionBy("block").orderBy(h, "pos")).alias("_r"))
-    chosen = ranked.filter(F.col("_r") <= F.col("n")).drop("_r")
-    rows = txns.select("seq", F.expr(f"seq div {int(interval)}").alias("block"),
-                       F.pmod(F.col("seq"), F.lit(int(interval))).alias("pos"))
-    return rows.join(chosen, ["block", "pos"], "inner").select("seq", "block", "pos", "n")
+    block = F.expr(f"seq div {int(interval)}")
+    pos = F.pmod(F.col("seq"), F.lit(int(interval)))
+    out = txns.select("*", block.alias("block"), pos.alias("pos"))
+    pa, pb = _pick_coefficients(F.col("block"))
+    out = out.select("*", uniform_int(lo, hi, F.col("block"), "count").alias("n"), pa.alias("_pa"), pb.alias("_pb"))
+    rank = pick_position(F.col("_pa"), F.col("_pb"), F.col("pos"), interval)
+    return out.select("*", (rank < F.col("n")).alias("picked")).drop("_pa", "_pb")
 
 
-def pick_types(keys: DataFrame) -> DataFrame:
-    """1 to 3 distinct fraud types in a random order per row (G9): seq, fraud_types."""
+def pick_rows(txns: DataFrame, interval: int = FRAUD_INTERVAL) -> DataFrame:
+    """The chosen rows: seq, block, pos, n."""
+    return pick_flags(txns.select("seq"), interval).filter("picked").select("seq", "block", "pos", "n")
+
+
+def fraud_types_col() -> Column:
+    """1 to 3 distinct fraud types in a random order, comma-separated."""
     k = uniform_int(1, 3, _key(), "k")
     ranked = F.array_sort(F.array(*[
         F.struct(F.md5(F.concat(_key(), F.lit(t))).alias("h"), F.lit(t).alias("t")) for t in FRAUD_TYPE_ORDER]))
     chosen = F.slice(F.transform(ranked, lambda s: s["t"]), F.lit(1), k.cast("int"))
-    return keys.select("seq", F.array_join(chosen, ",").alias("fraud_types"))
+    return F.array_join(chosen, ",")
+
+
+def pick_types(keys: DataFrame) -> DataFrame:
+    """seq, fraud_types for the given rows."""
+    return keys.select("seq", fraud_types_col().alias("fraud_types"))
 
 
 def _apply(df: DataFrame, changes: dict[str, Column], when: Column) -> DataFrame:
@@ -161,25 +192,38 @@ def apply_behaviour(txns: DataFrame, name: str, rows_per_block: int | None = Non
 def inject_all(txns: DataFrame, rows_per_block: int | None = None) -> DataFrame:
     """Chosen rows get normal behaviour, then their fraud behaviours in order; labelled Fraud.
 
-    A user's first row is never altered. Later behaviours overwrite the time.
-    Output: canonical columns plus ``fraud_types`` (comma-separated, in order;
-    null for untouched rows).
+    A user's first row is never altered. The last time-setting behaviour in the
+    drawn order sets the time (else the normal spacing move). Output: canonical
+    columns plus ``fraud_types`` (comma-separated, in order; null when untouched).
     """
     h = with_history(txns, rows_per_block)
     h = with_other_location(h, txns.select("location"))
-    picked = pick_types(pick_rows(txns).select("seq"))
-    h = h.join(picked, "seq", "left").join(txns.select("seq", "transaction_type"), "seq")
-    alter = F.col("fraud_types").isNotNull() & ~F.col("is_first")
-    h = h.withColumn("ts_ms", F.lit(None).cast("long"))
-    h = _apply(h, normal_amount(), alter)
-    h = _apply(h, normal_spacing(), alter)
-    for pos in range(3):
-        name = F.try_element_at(F.split(F.col("fraud_types"), ","), F.lit(pos + 1))
-        for t, fn in BEHAVIOURS.items():
-            h = _apply(h, fn(), alter & (F.size(F.split(F.col("fraud_types"), ",")) > pos) & (name == F.lit(t)))
-    h = _finish(h)
-    h = h.withColumn("transaction_type", F.when(alter, F.lit(FRAUD)).otherwise(F.col("transaction_type")))
-    return h.select(*CANONICAL, F.when(alter, F.col("fraud_types")).alias("fraud_types"))
+    h = pick_flags(h)
+    h = h.select("*", F.when(F.col("picked") & ~F.col("is_first"), fraud_types_col()).alias("fraud_types"))
+    types = F.split(F.col("fraud_types"), ",")
+    alter = F.col("fraud_types").isNotNull()
+    time_of = {t: fn()["ts_ms"] for t, fn in BEHAVIOURS.items() if "ts_ms" in fn()}
+
+    def ts_at(i: int) -> Column:
+        t = F.try_element_at(types, F.lit(i))
+        out = F.lit(None).cast("long")
+        for name, v in time_of.items():
+            out = F.when(t == F.lit(name), v).otherwise(out)
+        return out
+
+    ts_ms = F.when(alter, F.coalesce(ts_at(3), ts_at(2), ts_at(1), normal_spacing()["ts_ms"]))
+    amount = F.when(~alter, F.col("amount")).when(
+        F.array_contains(types, HIGH_VALUE), high_amount()["amount"]).otherwise(normal_amount()["amount"])
+    location = F.when(alter & F.array_contains(types, PROXIMITY) & F.col("_other_location").isNotNull(),
+                      F.col("_other_location")).otherwise(F.col("location"))
+    out = h.select(
+        "seq", "transaction_id", "user_id",
+        F.when(ts_ms.isNotNull(), F.floor(ts_ms / F.lit(1000))).otherwise(F.col("txn_time")).cast("long")
+        .alias("txn_time"),
+        amount.alias("amount"), location.alias("location"),
+        F.when(alter, F.lit(FRAUD)).otherwise(F.col("transaction_type")).alias("transaction_type"),
+        "fraud_types")
+    return out.select(*CANONICAL, "fraud_types")
 
 
 __all__ = ["with_history", "pick_rows", "pick_types", "apply_behaviour", "inject_all", "BEHAVIOURS", "frac"]

@@ -64,7 +64,7 @@ def profile_running(txns: DataFrame, key: str = "user_id", order: str = "seq",
     prev_time = F.when(rn == 1, F.col("prev_last.txn_time")).otherwise(F.lag("txn_time").over(w))
     prev_loc = F.when(rn == 1, F.col("prev_last.location")).otherwise(F.lag("location").over(w))
     out = df.select(
-        order, key, "transaction_id", "txn_time", "amount", "location",
+        order, key, "transaction_id", "txn_time", "amount", "location", "transaction_type",
         count.alias("txn_count"), total.cast(TOTAL_TYPE).alias("total_amt"), main.alias("main_location"),
         prev_time.alias("last_txn_time_before"), prev_loc.alias("last_location_before"),
     )

@@ -346,7 +346,7 @@ SELECT user_id, count(*) AS txn_count, sum(CAST(amount AS DECIMAL(38,6))) AS tot
 def _running_sql(src: str) -> str:
     return f"""WITH t AS ({src}),
 a AS (
-  SELECT seq, user_id, transaction_id, txn_time, amount, location,
+  SELECT seq, user_id, transaction_id, txn_time, amount, location, transaction_type,
          count(*) OVER u AS txn_count,
          CAST(sum(CAST(amount AS DECIMAL(38,6))) OVER u AS DECIMAL(38,6)) AS total_amt,
          first_value(location) OVER u AS main_location,

@@ -43,20 +43,35 @@ def other_location_sql() -> str:
     """CTE ho: h plus other_location."""
     shift = f"(1 + floor({frac_sql('h.seq', 'loc_pick')} * (m.m - 1)))"
     return f"""ho AS (
-  SELECT h.*, CASE WHEN m.m < 2 THEN NULL ELSE
-           (SELECT loc FROM loc o WHERE o.idx = ((coalesce(ml.idx, 0) + {shift}) % m.m)) END AS other_location
+  SELECT h.*, CASE WHEN m.m < 2 OR ml.idx IS NULL THEN NULL ELSE
+           (SELECT loc FROM loc o WHERE o.idx = ((ml.idx + {shift}) % m.m)) END AS other_location
     FROM h CROSS JOIN m LEFT JOIN loc ml ON ml.lk = lower(h.main_location))"""
 
 
-def picked_sql(interval: int = I.FRAUD_INTERVAL) -> str:
+def pick_position_sql(block: str, pos: str, interval: int = I.FRAUD_INTERVAL) -> str:
+    p = I.PERM_PRIME
+    a = f"(1 + floor({frac_sql(block, 'perm_a')} * {p - 1}))"
+    b = f"floor({frac_sql(block, 'perm_b')} * {p})"
+
+    def f(x: str) -> str:
+        return f"((({a} * {x} + {b}) % {p} + {p}) % {p})"
+
+    steps = [f(pos)]
+    for _ in range(p - interval - 1):
+        steps.append(f(steps[-1]))
+    out = steps[-1]
+    for x in reversed(steps[:-1]):
+        out = f"CASE WHEN {x} <= {interval} THEN {x} ELSE {out} END"
+    return out
+
+
+def picked_sql(interval: int = I.FRAUD_INTERVAL, src: str = "t") -> str:
+    """CTE picked: seq, block, pos, n of the chosen rows."""
     lo, hi = I.FRAUD_COUNT_RANGE
-    h = "md5(CAST(block AS VARCHAR) || '-' || CAST(pos AS VARCHAR) || 'pick')"
-    return f"""blocks AS (SELECT DISTINCT seq // {interval} AS block FROM t),
-cand AS (SELECT block, unnest(range(0, {interval + 1})) AS pos FROM blocks),
-ranked AS (SELECT block, pos, {uniform_int_sql(lo, hi, 'block', 'count')} AS n,
-                  row_number() OVER (PARTITION BY block ORDER BY {h}, pos) AS r FROM cand),
-picked AS (SELECT t.seq, r.block, r.pos, r.n FROM t JOIN ranked r
-             ON r.block = t.seq // {interval} AND r.pos = t.seq % {interval} AND r.r <= r.n)"""
+    return f"""bp AS (SELECT seq, seq // {interval} AS block, seq % {interval} AS pos FROM {src}),
+picked AS (SELECT seq, block, pos, n FROM (
+  SELECT *, {uniform_int_sql(lo, hi, 'block', 'count')} AS n,
+         {pick_position_sql('block', 'pos', interval)} AS rk FROM bp) WHERE rk < n)"""
 
 
 def types_sql(src: str = "picked") -> str:
