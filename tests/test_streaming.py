@@ -35,14 +35,18 @@ def test_stream_equals_batch_with_restarts(spark, scratch):
     assert scores(got) == scores(D.score_all(tx))
 
 
-def test_t1_two_micro_batches(spark, scratch):
+import pytest
+
+
+@pytest.mark.parametrize("api", ["group_state", "transform"])
+def test_t1_two_micro_batches(spark, scratch, api):
     topic, out, ckpt = f"{scratch}/topic", f"{scratch}/out", f"{scratch}/ckpt"
     rows = [(1, "u1", 100, 10, "VN"), (2, "u1", 130, 31, "US"), (3, "u1", 140, 12, "US"), (4, "u1", 90, 11, "VN")]
     recs = SP.as_records(txns(spark, rows), PAYLOAD)
     cols = PAYLOAD + ["amount_score", "velocity_score", "location_score"]
     for part in ([1, 2], [3, 4]):
         recs.filter(F.col("seq").isin(part)).coalesce(1).write.mode("append").json(topic)
-        wide = SP.detector_stream(SP.read_topic(spark, topic))
+        wide = SP.detector_stream(SP.read_topic(spark, topic), api=api)
         SP.write_topic(SP.as_records(wide, cols), out, ckpt).awaitTermination()
     assert scores(_read_wide(spark, out)) == {1: (0, 0, 0), 2: (1, 0, 1), 3: (0, 1, 1), 4: (0, 1, 0)}
 

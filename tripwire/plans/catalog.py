@@ -19,6 +19,7 @@ from ..operators import profile as PR
 from ..operators import rollup as R
 from ..schema import CANONICAL
 from ..sources.tables import read_table, transactions
+from ..streaming import pipeline as SP
 from . import oracle as O
 from . import oracle_inject as OI
 
@@ -303,6 +304,28 @@ def inject_backtest(spark, sf):
         F.sum("fraud_score").cast("long").alias("score_sum"))
 
 
+# ------------------------------------------------------------------ streaming
+
+def stream_fraud_pipeline(spark, sf, chunks: int = 2):
+    """A1, A4, A11, E8 as a stream: the events published as topic files in `chunks`
+    arrival-ordered drops; after each drop the stateful detector query restarts
+    from its checkpoint and appends final rows; the sink is read back."""
+    base = SP.scratch_path(spark, "stream_fraud_pipeline")
+    topic, out, ckpt = f"{base}/topic", f"{base}/final", f"{base}/checkpoint"
+    tx = _ev(spark, sf)
+    lo, hi = tx.agg(F.min("seq"), F.max("seq")).first()
+    step = (hi - lo) // chunks + 1
+    recs = SP.as_records(tx, CANONICAL[1:])
+    for i in range(chunks):
+        part = recs.filter((F.col("seq") >= lo + i * step) & (F.col("seq") < lo + (i + 1) * step))
+        part.write.mode("append").json(topic)
+        final = SP.final_stream(SP.detector_stream(SP.read_topic(spark, topic)))
+        q = (final.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    return spark.read.parquet(out)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in [
         publish_transactions, parse_json, parse_coerce, to_json_roundtrip, filter_null, parse_rejects,
@@ -316,6 +339,7 @@ QUERIES: dict[str, Query] = {
         sample_users,
         inject_pick_rows, inject_pick_types, inject_normal, inject_spacing, inject_high_amount,
         inject_location, inject_close_time, inject_all, inject_backtest,
+        stream_fraud_pipeline,
     ]
 }
 
@@ -412,6 +436,7 @@ SELECT seq, CAST(((d % 86400) + 86400) % 86400 AS BIGINT) AS gap_seconds FROM a"
     "final_scores_session": O.final_scores_session_sql(1),
     "fraud_pipeline": O.fraud_pipeline_sql(),
     "fraud_pipeline_orders": O.fraud_pipeline_sql("orders"),
+    "stream_fraud_pipeline": O.fraud_pipeline_sql(),
     "user_profile": _profile_sql(_EV),
     "profile_running": _running_sql(_EV),
     "profile_upsert": f"""WITH p AS ({_profile_sql(_OR)})
