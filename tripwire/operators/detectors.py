@@ -14,7 +14,7 @@ Input: canonical transactions (``seq`` = arrival order). Every detector keys by
 
 from __future__ import annotations
 
-import math
+import logging
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -28,6 +28,8 @@ from .sequence import BLK, Blocks, cut_blocks, with_carry
 AMOUNT_FACTOR = 3.0
 VELOCITY_MAX_GAP = 20
 
+log = logging.getLogger(__name__)
+
 SCORE_COLUMNS = {"amount": "amount_score", "velocity": "velocity_score", "location": "location_score"}
 _CARRY_FIELDS = ["txn_time", "location", "amount"]
 _HELPER_COLS = ["has_prev", "prev_last", "first_row", "pre_sum", "pre_cnt", "_rn"]
@@ -173,13 +175,13 @@ def _fold_hot(hot_rows: DataFrame, key: str, order: str, factor: float, max_bloc
     entry = None
     w = Window.partitionBy(key).orderBy(BLK)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    for _ in range(max_blocks + 1):
+    for it in range(max_blocks + 1):
         if entry is None:
             src = rows.select("*", F.lit(None).cast("double").alias("_e_total"), F.lit(None).cast("long").alias("_e_count"))
         else:
             e = entry.alias("_e")
             src = rows.alias("_r").join(
-                e, F.col(f"_r.{key}").eqNullSafe(F.col(f"_e.{key}")) & (F.col(f"_r.{BLK}") == F.col(f"_e.{BLK}")), "left",
+                e, (F.col(f"_r.{key}") == F.col(f"_e.{key}")) & (F.col(f"_r.{BLK}") == F.col(f"_e.{BLK}")), "left",
             ).select("_r.*", "_e._e_total", "_e._e_count")
         folded = src.sortWithinPartitions(key, BLK, order).mapInPandas(
             _amount_fold(factor, key, order, True), _fold_schema(src, True)).checkpoint()
@@ -194,10 +196,11 @@ def _fold_hot(hot_rows: DataFrame, key: str, order: str, factor: float, max_bloc
             changed = new_entry.filter(F.col("_e_count").isNotNull()).limit(1).count()
         else:
             a, b = new_entry.alias("a"), entry.alias("b")
-            changed = a.join(b, F.col(f"a.{key}").eqNullSafe(F.col(f"b.{key}")) & (F.col(f"a.{BLK}") == F.col(f"b.{BLK}")), "full").filter(
+            changed = a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col(f"a.{BLK}") == F.col(f"b.{BLK}")), "full").filter(
                 ~F.col("a._e_total").eqNullSafe(F.col("b._e_total")) | ~F.col("a._e_count").eqNullSafe(F.col("b._e_count"))
             ).limit(1).count()
         if not changed:
+            log.info("amount fold of hot users: fixed point after %d iteration(s)", it + 1)
             return folded.drop("_e_total", "_e_count", "_u_total", "_u_count")
         entry = new_entry
     raise RuntimeError("amount fold did not reach a fixed point")  # cannot happen: see docstring
@@ -262,7 +265,3 @@ def detect_amount_all(df: DataFrame, factor: float = AMOUNT_FACTOR, key: str = "
     blocks = cut_blocks(df, key, order, rows_per_block)
     out = _windowed(blocks).select("*", amount_all_score(blocks, factor).alias("fraud_score"))
     return _drop_helpers(out).drop(BLK)
-
-
-def ceil_div(a: int, b: int) -> int:
-    return int(math.ceil(a / b))

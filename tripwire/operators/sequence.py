@@ -9,14 +9,13 @@ into blocks of about ``rows_per_block`` rows (``blk >= 1``), and a small table
 of per-block summaries carries what a block needs from the blocks before it.
 
 Sizes: the hot-key list has at most ``rows / rows_per_block`` entries, so it is
-broadcast with a proven bound. The carry table has one row per hot block; it is
+broadcast with a proven bound. A null key is never cut. The carry table has one row per hot block; it is
 joined on ``(key, blk)``, which spreads a hot key over many tasks; AQE turns
 that join into a broadcast only when its measured size is small.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -47,31 +46,39 @@ class Blocks:
 def cut_blocks(df: DataFrame, key: str = "user_id", order: str = "seq", rows_per_block: int | None = None) -> Blocks:
     """Add `blk`: 0 for keys held whole, 1.. for ranges of `order` of a hot key.
 
-    One small action: per-key counts are combined map-side, then reduced to four
-    numbers on the driver.
+    A hot key's range of `order` values is cut into pieces holding about
+    `rows_per_block` of its rows (from its own count and range). One small
+    action decides whether any key is hot (per-key counts combine map-side);
+    only then is the hot list (at most rows / rows_per_block keys) written to
+    the checkpoint folder and broadcast. A null key is never cut: it needs no
+    carry, so every join below is a plain equality on (key, blk) and shares
+    the window's exchange.
     """
     limit = _conf_rows_per_block(df.sparkSession, rows_per_block)
     per_key = df.groupBy(key).agg(
         F.count(F.lit(1)).alias("_n"), F.min(order).alias("_lo"), F.max(order).alias("_hi"))
-    s = per_key.agg(
-        F.sum("_n").alias("n"), F.min("_lo").alias("lo"), F.max("_hi").alias("hi"),
-        F.count(F.when(F.col("_n") > limit, 1)).alias("n_hot"),
+    is_hot = (F.col("_n") > limit) & F.col(key).isNotNull()
+    span = F.greatest(F.lit(1).cast("long"), F.ceil(
+        (F.col("_hi") - F.col("_lo") + 1).cast("double") * F.lit(float(limit)) / F.col("_n")).cast("long"))
+    n_blocks = F.expr(f"(_hi - _lo) div {_SPAN}") + 1
+    s = per_key.select(is_hot.alias("_h"), span.alias(_SPAN), "_lo", "_hi").agg(
+        F.count(F.when(F.col("_h"), 1)).alias("n_hot"),
+        F.max(F.when(F.col("_h"), n_blocks)).alias("max_blocks"),
     ).first()
     if s is None or not s["n_hot"]:
         return Blocks(df.withColumn(BLK, F.lit(0).cast("long")), key, order, False, 1)
-    n, lo, hi = int(s["n"]), int(s["lo"]), int(s["hi"])
-    # Width of an order range holding about `limit` rows of the whole table; a
-    # hot key's block is a subset of it.
-    span = max(1, math.ceil((hi - lo + 1) * limit / n))
-    max_blocks = (hi - lo) // span + 1
-    hot = per_key.filter(F.col("_n") > limit).select(F.col(key).alias("_hot_key"), F.lit(True).alias("_is_hot"))
-    joined = df.join(F.broadcast(hot), df[key].eqNullSafe(hot["_hot_key"]), "left")
+    hot = per_key.filter(is_hot).select(
+        F.col(key).alias("_hot_key"), F.col("_lo").alias("_hot_lo"), span.alias("_hot_span")).checkpoint()
+    joined = df.join(F.broadcast(hot), df[key] == hot["_hot_key"], "left")
     out = joined.withColumn(
         BLK,
-        F.when(F.col("_is_hot"), F.floor((F.col(order) - F.lit(lo)) / F.lit(span)) + 1)
-        .otherwise(F.lit(0)).cast("long"),
-    ).drop("_hot_key", "_is_hot")
-    return Blocks(out, key, order, True, int(max_blocks))
+        F.when(F.col("_hot_key").isNotNull(),
+               F.expr(f"({order} - _hot_lo) div _hot_span") + 1).otherwise(F.lit(0)).cast("long"),
+    ).drop("_hot_key", "_hot_lo", "_hot_span")
+    return Blocks(out, key, order, True, int(s["max_blocks"]))
+
+
+_SPAN = "_span"
 
 
 CARRY_COLS = ["has_prev", "prev_last", "first_row", "pre_sum", "pre_cnt"]
@@ -117,7 +124,7 @@ def with_carry(blocks: Blocks, fields: list[str], amount: str | None = "amount")
             F.lit(0).alias("pre_sum"), F.lit(0).cast("long").alias("pre_cnt"))
     c = carry_table(blocks, fields, amount).alias("_c")
     k = blocks.key
-    j = df.alias("_r").join(c, F.col(f"_r.{k}").eqNullSafe(F.col(f"_c.{k}")) & (F.col(f"_r.{BLK}") == F.col(f"_c.{BLK}")), "left")
+    j = df.alias("_r").join(c, (F.col(f"_r.{k}") == F.col(f"_c.{k}")) & (F.col(f"_r.{BLK}") == F.col(f"_c.{BLK}")), "left")
     return j.select(
         "_r.*",
         F.coalesce(F.col("_c.has_prev"), F.lit(False)).alias("has_prev"),
