@@ -16,10 +16,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def events_as_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`events` as transactions, arrival order = event_id."""
+def events_as_transactions(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """`events` as transactions, arrival order = event_id (plus `extra` source columns)."""
     ev = read_table(spark, sf_dir, "events")
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.get_json_object("props", "$.k").try_cast("int")
     return ev.select(
         F.col("event_id").alias("seq"),
         F.concat(F.lit("txn-"), F.col("event_id").cast("string")).alias("transaction_id"),
@@ -28,11 +28,12 @@ def events_as_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").cast("double").alias("amount"),
         F.col("event_type").alias("location"),
         F.when(k >= EVENT_FRAUD_K, F.lit(FRAUD)).otherwise(F.lit(NORMAL)).alias("transaction_type"),
+        *extra,
     )
 
 
-def orders_as_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`orders` as transactions, arrival order = o_orderkey (times out of order)."""
+def orders_as_transactions(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """`orders` as transactions, arrival order = o_orderkey (times out of order; plus `extra` columns)."""
     o = read_table(spark, sf_dir, "orders")
     return o.select(
         F.col("o_orderkey").alias("seq"),
@@ -42,6 +43,7 @@ def orders_as_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_totalprice").cast("double").alias("amount"),
         F.col("o_orderpriority").alias("location"),
         F.lit(NORMAL).alias("transaction_type"),
+        *extra,
     )
 
 
