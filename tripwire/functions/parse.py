@@ -67,7 +67,7 @@ def flatten_transaction(nested: DataFrame) -> DataFrame:
     """Nested transaction (timestamp, location struct) to the wire form."""
     return nested.select(
         "transaction_id", "user_id",
-        epoch_seconds("timestamp").alias("txn_time"),
+        epoch_seconds("timestamp", ntz=False).alias("txn_time"),
         F.col("amount").cast("double").alias("amount"),
         F.col("location.country").alias("location"),
         "transaction_type",

@@ -43,9 +43,15 @@ def location_differs(a, b) -> Column:
     return ~_c(a).eqNullSafe(_c(b))
 
 
-def epoch_seconds(ts) -> Column:
-    """Epoch seconds of a timestamp (TIMESTAMP_NTZ is read as UTC wall time)."""
-    return F.unix_seconds(_c(ts).cast("timestamp"))
+def ntz_as_utc(ts) -> Column:
+    """A TIMESTAMP_NTZ wall time read as UTC, whatever the session time zone."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, _c(ts)))
+
+
+def epoch_seconds(ts, ntz: bool = True) -> Column:
+    """Epoch seconds (floored) of a timestamp; a TIMESTAMP_NTZ is read as UTC wall time."""
+    return F.unix_seconds(ntz_as_utc(ts) if ntz else _c(ts))
 
 
 def seconds_of_day_gap(a, b) -> Column:

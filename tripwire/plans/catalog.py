@@ -94,7 +94,7 @@ def flatten_transaction(spark, sf):
     nested = ev.select(
         F.concat(F.lit("txn-"), F.col("event_id").cast("string")).alias("transaction_id"),
         F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("user_id"),
-        F.col("value").alias("amount"), F.col("ts").cast("timestamp").alias("timestamp"),
+        F.col("value").alias("amount"), S.ntz_as_utc("ts").alias("timestamp"),
         F.struct(F.col("event_type").alias("country")).alias("location"),
         F.lit("Normal").alias("transaction_type"))
     return P.flatten_transaction(nested)
