@@ -119,3 +119,21 @@ def test_final_stream_one_query(spark, scratch):
     a = sorted(tuple(r) for r in spark.read.parquet(out).collect())
     b = sorted(tuple(r) for r in fraud_pipeline(tx).collect())
     assert a == b
+
+
+def test_profile_deltas_stream_equals_batch(spark, scratch):
+    from tripwire.operators.profile import merge_profiles, user_profile
+    topic, deltas, ckpt = f"{scratch}/topic", f"{scratch}/deltas", f"{scratch}/ckpt"
+    tx = transactions(spark, SF_SMALL, "orders")
+    recs = SP.as_records(tx, PAYLOAD)
+    writer = SP.profile_delta_writer(deltas)
+    for lo, hi in ((0, 600), (600, 10**9)):
+        recs.filter((F.col("seq") >= lo) & (F.col("seq") < hi)).coalesce(1).write.mode("append").json(topic)
+        from tripwire.functions.parse import parse_transactions
+        parsed = parse_transactions(SP.read_topic(spark, topic), keep=["seq"])
+        q = (parsed.writeStream.foreachBatch(writer).option("checkpointLocation", ckpt)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    got = sorted(tuple(r) for r in merge_profiles(spark.read.parquet(deltas)).collect())
+    exp = sorted(tuple(r) for r in user_profile(tx).collect())
+    assert got == exp

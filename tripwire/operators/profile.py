@@ -115,3 +115,26 @@ def sample_users(profiles: DataFrame, n: int, key: str = "user_id", salt: str =
     """A repeatable uniform pick of n users (F6): the n smallest md5 values (top-k)."""
     h = F.md5(F.concat(F.col(key).cast("string"), F.lit(salt)))
     return profiles.select("*", h.alias("_h")).orderBy("_h", key).limit(int(n)).drop("_h")
+
+
+def profile_deltas(txns: DataFrame, key: str = "user_id", order: str = "seq") -> DataFrame:
+    """Per-user partial profile of some rows (one micro-batch, one file drop).
+
+    Every field merges associatively (sums, first/last by `order`), so profiles
+    built from any split of the rows merge to the same result (F1 on streams).
+    """
+    first = F.struct(F.col(order).alias("seq"), "txn_time", "location")
+    return txns.groupBy(key).agg(
+        F.count(F.lit(1)).alias("txn_count"), F.sum(_amt()).alias("total_amt"),
+        F.min_by(first, F.col(order)).alias("first"), F.max_by(first, F.col(order)).alias("last"))
+
+
+def merge_profiles(deltas: DataFrame, key: str = "user_id") -> DataFrame:
+    """Merge partial profiles into one row per user (same columns as ``user_profile``; F3 upsert)."""
+    agg = deltas.groupBy(key).agg(
+        F.sum("txn_count").alias("txn_count"), F.sum("total_amt").cast(TOTAL_TYPE).alias("total_amt"),
+        F.min_by("first", F.col("first.seq")).alias("_f"), F.max_by("last", F.col("last.seq")).alias("_l"))
+    return agg.select(
+        key, "txn_count", "total_amt", _avg(F.col("total_amt"), F.col("txn_count")).alias("average_amt"),
+        F.col("_f.txn_time").alias("first_txn_time"), F.col("_f.location").alias("main_location"),
+        F.col("_l.txn_time").alias("last_txn_time"), F.col("_l.location").alias("last_location"))

@@ -36,8 +36,13 @@ SCORED_TEXT = T.StructType([
 ])
 
 
-def kafka_options(bootstrap: str, topic: str, starting: str = "earliest", max_offsets: int | None = 100) -> dict:
-    """Connector options in one place (the reference polls 100 records at a time)."""
+def kafka_options(bootstrap: str, topic: str, starting: str = "earliest", max_offsets: int | None = 1_000_000) -> dict:
+    """Connector options in one place.
+
+    ``max_offsets`` bounds a micro-batch, and with it the rows of one user the
+    stateful stage holds at once (the reference polls 100 records at a time,
+    which is a client setting, not a batch size).
+    """
     opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic, "startingOffsets": starting,
             "failOnDataLoss": "false"}
     if max_offsets:
@@ -152,3 +157,15 @@ def with_progress_count(df: DataFrame, name: str = "messages") -> DataFrame:
     """Running message count (A12): an observed metric, reported per micro-batch in
     ``query.lastProgress["observedMetrics"]`` (batch: ``Observation``); no extra job."""
     return df.observe(name, F.count(F.lit(1)).alias("n"))
+
+
+def profile_delta_writer(path: str, key: str = "user_id"):
+    """``foreachBatch`` function: append each micro-batch's per-user profile delta
+    under ``batch_id=<id>``; a replayed batch overwrites its own partition, so
+    the folder holds each batch once. ``merge_profiles(spark.read.parquet(path))``
+    is the current profile of every user (F1, F3 on streams)."""
+    from ..operators.profile import profile_deltas
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        profile_deltas(batch, key).write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
+    return write
