@@ -171,7 +171,9 @@ def _fold_hot(hot_rows: DataFrame, key: str, order: str, factor: float, max_bloc
     blocks < b. A block whose entry is exact folds exactly, so block j is exact
     after at most j iterations; usually the decisions stop changing after two.
     """
-    rows = hot_rows.repartition(key, BLK).sortWithinPartitions(key, BLK, order).checkpoint()
+    # Callers pass rows already hash-partitioned by (key, blk) (the window's or
+    # detect_amount's exchange); the checkpoint keeps that partitioning and order.
+    rows = hot_rows.sortWithinPartitions(key, BLK, order).checkpoint()
     entry = None
     w = Window.partitionBy(key).orderBy(BLK)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
