@@ -137,3 +137,40 @@ def test_profile_deltas_stream_equals_batch(spark, scratch):
     got = sorted(tuple(r) for r in merge_profiles(spark.read.parquet(deltas)).collect())
     exp = sorted(tuple(r) for r in user_profile(tx).collect())
     assert got == exp
+
+
+def test_stream_static_profile_lookup(spark, scratch):
+    """F4 on a stream: each arriving transaction joined with the static profiles."""
+    from tripwire.functions.parse import parse_transactions
+    from tripwire.operators.profile import profile_lookup, user_profile
+    topic, out = f"{scratch}/topic", f"{scratch}/out"
+    tx = transactions(spark, SF_SMALL, "events")
+    SP.as_records(tx, PAYLOAD).coalesce(1).write.json(topic)
+    profiles = user_profile(transactions(spark, SF_SMALL, "events").filter(F.col("seq") < 500))
+    parsed = parse_transactions(SP.read_topic(spark, topic), keep=["seq"]).select("seq", "user_id")
+    joined = profile_lookup(parsed, profiles)
+    q = (joined.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{scratch}/ck")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.read.parquet(out)
+    assert got.count() == tx.count()
+    exp = tx.select("seq", "user_id").join(profiles, "user_id", "left")
+    assert got.filter(F.col("txn_count").isNull()).count() == exp.filter(F.col("txn_count").isNull()).count()
+
+
+def test_rollup_stream_session(spark, scratch):
+    topic, out, ck = f"{scratch}/scored", f"{scratch}/out", f"{scratch}/ck"
+    long = spark.createDataFrame(
+        [(i, "t1", "u", t, 1.0, "VN", "Normal", "amount", 1) for i, t in enumerate([100, 120, 141])]
+        + [(9, "closing", "u", 10_000, 1.0, "VN", "Normal", "amount", 0)],
+        "seq long, transaction_id string, user_id string, txn_time long, amount double, location string, "
+        "transaction_type string, detector string, fraud_score int")
+    SP.as_records(long, PAYLOAD + ["fraud_score", "detector"]).coalesce(1).write.json(topic)
+    for _ in range(2):
+        q = (SP.rollup_stream(SP.parse_scored(SP.read_topic(spark, topic)), window="session", gap_seconds=20)
+             .writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    got = sorted((r["window_start"], r["fraud_score"]) for r in spark.read.parquet(out).collect()
+                 if r["transaction_id"] == "t1")
+    assert got == [(100, 2), (141, 1)]

@@ -9,9 +9,11 @@ into blocks of about ``rows_per_block`` rows (``blk >= 1``), and a small table
 of per-block summaries carries what a block needs from the blocks before it.
 
 Sizes: the hot-key list has at most ``rows / rows_per_block`` entries, so it is
-broadcast with a proven bound. A null key is never cut. The carry table has one row per hot block; it is
-joined on ``(key, blk)``, which spreads a hot key over many tasks; AQE turns
-that join into a broadcast only when its measured size is small.
+broadcast with a proven bound. A null key is never cut. Each hot key gets about
+``its rows / rows_per_block`` blocks, so the carry table (one row per hot
+block) also has at most about ``rows / rows_per_block`` rows; it is joined on
+``(key, blk)``, which spreads a hot key over many tasks, and AQE turns that join
+into a broadcast only when its measured size is small.
 """
 
 from __future__ import annotations
