@@ -330,6 +330,31 @@ def stream_fraud_pipeline(spark, sf, chunks: int = 2):
     return spark.read.parquet(out)
 
 
+def source_transactions(spark, sf):
+    """A1: the transaction topic (events published as JSON-lines records) read by a
+    stream (available-now trigger) and parsed; the stream's sink is read back."""
+    base = SP.scratch_path(spark, "source_transactions")
+    topic, out = f"{base}/topic", f"{base}/parsed"
+    SP.as_records(_ev(spark, sf), CANONICAL[1:]).write.json(topic)
+    parsed = P.parse_transactions(SP.read_topic(spark, topic), keep=["seq"]).select(*CANONICAL)
+    q = (parsed.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{base}/ck")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+def sink_scored_json(spark, sf):
+    """A4: the scored records written to the scored topic (JSON lines) and read back."""
+    base = SP.scratch_path(spark, "sink_scored_json")
+    SP.scored_records(D.score_all(_ev(spark, sf))).write.json(base)
+    return SP.parse_scored(spark.read.schema(SP.FILE_RECORD).json(base))
+
+
+def final_projection(spark, sf):
+    """Rolled-up final records projected to the 7 table columns (the loader's rows)."""
+    return P.final_projection(R.final_scores(R.scored_long(D.score_all(_ev(spark, sf)))))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in [
         publish_transactions, parse_json, parse_coerce, to_json_roundtrip, filter_null, parse_rejects,
@@ -343,7 +368,7 @@ QUERIES: dict[str, Query] = {
         sample_users,
         inject_pick_rows, inject_pick_types, inject_normal, inject_spacing, inject_high_amount,
         inject_location, inject_close_time, inject_all, inject_backtest,
-        stream_fraud_pipeline,
+        stream_fraud_pipeline, source_transactions, sink_scored_json, final_projection,
     ]
 }
 
@@ -441,6 +466,13 @@ SELECT seq, CAST(((d % 86400) + 86400) % 86400 AS BIGINT) AS gap_seconds FROM a"
     "fraud_pipeline": O.fraud_pipeline_sql(),
     "fraud_pipeline_orders": O.fraud_pipeline_sql("orders"),
     "stream_fraud_pipeline": O.fraud_pipeline_sql(),
+    "source_transactions": f"{_EV}",
+    "sink_scored_json": O.scored_long_sql(),
+    "final_projection": f"""WITH {O.scores_ctes('events')}, l AS (
+{O.scored_long_body()}),
+f AS ({O._rollup_select('l')})
+SELECT transaction_id, user_id, txn_time, CAST(amount AS DECIMAL(10,3)) AS amount, location, transaction_type,
+       fraud_score FROM f""",
     "user_profile": _profile_sql(_EV),
     "profile_running": _running_sql(_EV),
     "profile_upsert": f"""WITH p AS ({_profile_sql(_OR)})
