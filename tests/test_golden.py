@@ -101,3 +101,17 @@ def test_malformed_json(spark):
     good = [r for r in rows if r["_corrupt"] is None]
     assert len(bad) == 1 and bad[0]["_corrupt"] == "{bad"
     assert good[0]["amount"] == 1.5 and good[0]["txn_time"] == 7
+
+
+NULL_USER = [(1, None, 100, 10, "VN"), (2, None, 110, 40, "US"), (3, "u", 100, 5, "VN"), (4, None, 200, 12, "VN")]
+NULL_EXPECTED = {1: (0, 0, 0), 2: (1, 1, 1), 3: (0, 0, 0), 4: (0, 0, 0)}
+
+
+@pytest.mark.parametrize("rpb", [None, 1])
+def test_null_user_is_one_group(spark, rpb):
+    assert scores(D.score_all(txns(spark, NULL_USER), rows_per_block=rpb)) == NULL_EXPECTED
+
+
+def test_null_user_with_state(spark):
+    from tripwire.streaming.processor import score_with_state
+    assert scores(score_with_state(txns(spark, NULL_USER))) == NULL_EXPECTED

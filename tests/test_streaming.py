@@ -174,3 +174,12 @@ def test_rollup_stream_session(spark, scratch):
     got = sorted((r["window_start"], r["fraud_score"]) for r in spark.read.parquet(out).collect()
                  if r["transaction_id"] == "t1")
     assert got == [(100, 2), (141, 1)]
+
+
+def test_null_user_stream(spark, scratch):
+    topic, out, ckpt = f"{scratch}/topic", f"{scratch}/out", f"{scratch}/ckpt"
+    rows = [(1, None, 100, 10, "VN"), (2, None, 110, 40, "US"), (3, "u", 100, 5, "VN"), (4, None, 200, 12, "VN")]
+    SP.as_records(txns(spark, rows), PAYLOAD).coalesce(1).write.json(topic)
+    cols = PAYLOAD + ["amount_score", "velocity_score", "location_score"]
+    SP.write_topic(SP.as_records(SP.detector_stream(SP.read_topic(spark, topic)), cols), out, ckpt).awaitTermination()
+    assert scores(_read_wide(spark, out)) == {1: (0, 0, 0), 2: (1, 1, 1), 3: (0, 0, 0), 4: (0, 0, 0)}
