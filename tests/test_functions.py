@@ -41,3 +41,12 @@ def test_progress_counter(spark, scratch):
     q = SP.write_topic(SP.with_progress_count(SP.read_topic(spark, topic)), f"{scratch}/out", f"{scratch}/ck")
     q.awaitTermination()
     assert q.lastProgress["observedMetrics"]["messages"]["n"] == 12
+
+
+def test_flatten_nested_transaction(spark):
+    from tripwire.functions.parse import flatten_transaction
+    from tripwire.schema import NESTED_TRANSACTION
+    nested = spark.createDataFrame(
+        [("txn-1", "user-1", 12.5, dt.datetime(2024, 1, 1, 0, 0, 7, 900000), ("Vietnam",), "Normal")], NESTED_TRANSACTION)
+    r = flatten_transaction(nested).first()
+    assert (r["txn_time"], r["location"], r["amount"]) == (1704067207, "Vietnam", 12.5)

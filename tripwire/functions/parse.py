@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import (FINAL_AMOUNT_TYPE, FINAL_COLUMNS, FRAUD, FRAUD_TYPES, NORMAL, TRANSACTION,
-                      TRANSACTION_TEXT, TRANSACTION_TYPES)
+from ..schema import FINAL_AMOUNT_TYPE, FINAL_COLUMNS, FRAUD, FRAUD_TYPES, TRANSACTION_TEXT, TRANSACTION_TYPES
 from .scalar import epoch_seconds
 
 LABEL_THRESHOLD = 2  # fixed value: a summed score at or above it labels the row Fraud
@@ -124,5 +123,5 @@ def is_fraud_type(col: Column | str) -> Column:
 
 __all__ = [
     "parse_transactions", "rejects", "filter_null", "to_json_value", "decode_utf8", "flatten_transaction",
-    "label", "final_projection", "quality_flags", "quality_counts", "is_fraud_type", "TRANSACTION", "NORMAL",
+    "label", "final_projection", "quality_flags", "quality_counts", "is_fraud_type",
 ]

@@ -19,7 +19,6 @@ from ..schema import CANONICAL, FRAUD
 from .profile import profile_running
 
 # The producer's ranges and picking constants.
-AMOUNT_RANGE = (1.0, 100000.0)  # first transaction of a user
 AMOUNT_FACTOR_RANGE = (0.8, 1.2)  # normal amount, x average
 FRAUD_FACTOR_RANGE = (3.0, 10.0)  # high amount, x average
 LOCATION_TIME_WINDOW = (1, 600)  # seconds after the last transaction
@@ -226,4 +225,4 @@ def inject_all(txns: DataFrame, rows_per_block: int | None = None) -> DataFrame:
     return out.select(*CANONICAL, "fraud_types")
 
 
-__all__ = ["with_history", "pick_rows", "pick_types", "apply_behaviour", "inject_all", "BEHAVIOURS", "frac"]
+__all__ = ["with_history", "pick_flags", "pick_rows", "pick_types", "apply_behaviour", "inject_all", "BEHAVIOURS"]

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import rows_per_block as _conf_rows_per_block
@@ -83,9 +83,6 @@ def cut_blocks(df: DataFrame, key: str = "user_id", order: str = "seq", rows_per
 _SPAN = "_span"
 
 
-CARRY_COLS = ["has_prev", "prev_last", "first_row", "pre_sum", "pre_cnt"]
-
-
 def carry_table(blocks: Blocks, fields: list[str], amount: str | None = "amount") -> DataFrame:
     """For each hot block: what it needs from the blocks of the same key before it.
 

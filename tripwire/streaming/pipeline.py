@@ -21,19 +21,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.parse import LABEL_THRESHOLD, filter_null, final_projection, label, parse_transactions
 from ..operators.rollup import scored_long, total_score
-from ..schema import PAYLOAD
+from ..schema import PAYLOAD, SCORED
 from ..session import ensure_checkpoint_dir
 from .processor import score_with_group_state, score_with_state
 
 FILE_RECORD = T.StructType([T.StructField("seq", T.LongType()), T.StructField("value", T.StringType())])
 
-SCORED_TEXT = T.StructType([
-    T.StructField("seq", T.LongType()), T.StructField("transaction_id", T.StringType()),
-    T.StructField("user_id", T.StringType()), T.StructField("txn_time", T.LongType()),
-    T.StructField("amount", T.DoubleType()), T.StructField("location", T.StringType()),
-    T.StructField("transaction_type", T.StringType()), T.StructField("detector", T.StringType()),
-    T.StructField("fraud_score", T.IntegerType()),
-])
+# Scored record on the topic: the arrival offset plus the scored transaction.
+SCORED_TEXT = T.StructType([T.StructField("seq", T.LongType())] + SCORED.fields)
 
 
 def kafka_options(bootstrap: str, topic: str, starting: str = "earliest", max_offsets: int | None = 1_000_000) -> dict:
