@@ -85,13 +85,14 @@ def _drop_helpers(df: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- amount fold
 
-def _amount_fold(factor: float, key: str, order: str, with_entry: bool):
+def _amount_fold(factor: float, key: str, order: str, with_entry: bool, summary: bool = False):
     """Left fold per (key, blk) over rows sorted by (key, blk, order).
 
     State (total, count) of unflagged amounts; the first row of a user starts it
     and scores 0. With ``with_entry`` a block starts from ``_e_total/_e_count``
-    (null: the user's first block) and also reports ``_u_total/_u_count``, the
-    sums of its own unflagged rows up to each row.
+    (null: the user's first block). ``summary`` emits only one row per block
+    (key, blk, ``_u_total``, ``_u_count``: the sums of the block's own unflagged
+    rows) instead of the scored rows.
     """
     def run(batches):
         cur = None
@@ -101,6 +102,7 @@ def _amount_fold(factor: float, key: str, order: str, with_entry: bool):
         last_seq = None
         u_total = 0.0
         u_count = 0
+        done_k, done_b, done_t, done_c = [], [], [], []
         for pdf in batches:
             keys = pdf[key].tolist()
             blks = pdf[BLK].tolist()
@@ -109,12 +111,12 @@ def _amount_fold(factor: float, key: str, order: str, with_entry: bool):
             if with_entry:
                 e_tot = pdf["_e_total"].tolist()
                 e_cnt = pdf["_e_count"].tolist()
-                out_ut = [0.0] * len(keys)
-                out_uc = [0] * len(keys)
             scores = [0] * len(keys)
             for i in range(len(keys)):
                 g = (keys[i], blks[i])
                 if g != cur:
+                    if summary and cur is not None:
+                        done_k.append(cur[0]), done_b.append(cur[1]), done_t.append(u_total), done_c.append(u_count)
                     cur = g
                     last_seq = None
                     started = False
@@ -137,39 +139,51 @@ def _amount_fold(factor: float, key: str, order: str, with_entry: bool):
                     total += a
                     count += 1
                     u_total, u_count = u_total + a, u_count + 1
+            if summary:
+                if done_k:
+                    yield _summary_frame(key, done_k, done_b, done_t, done_c)
+                    done_k, done_b, done_t, done_c = [], [], [], []
+            else:
                 if with_entry:
-                    out_ut[i] = u_total
-                    out_uc[i] = u_count
-            pdf = pdf.assign(amount_score=pd.array(scores, dtype="int32"))
-            if with_entry:
-                pdf = pdf.assign(_u_total=out_ut, _u_count=pd.array(out_uc, dtype="int64"))
-            yield pdf
+                    pdf = pdf.drop(columns=["_e_total", "_e_count"])
+                yield pdf.assign(amount_score=pd.array(scores, dtype="int32"))
+        if summary and cur is not None:
+            done_k.append(cur[0]), done_b.append(cur[1]), done_t.append(u_total), done_c.append(u_count)
+            yield _summary_frame(key, done_k, done_b, done_t, done_c)
     return run
 
 
-def _fold_schema(df: DataFrame, with_entry: bool) -> T.StructType:
+def _summary_frame(key, ks, bs, ts, cs) -> pd.DataFrame:
+    return pd.DataFrame({key: ks, BLK: pd.array(bs, dtype="int64"), "_u_total": ts,
+                         "_u_count": pd.array(cs, dtype="int64")})
+
+
+def _fold_schema(df: DataFrame) -> T.StructType:
     fields = [f for f in df.schema.fields if f.name not in ("_e_total", "_e_count")]
-    if with_entry:
-        fields += [T.StructField("_e_total", T.DoubleType()), T.StructField("_e_count", T.LongType())]
-    fields.append(T.StructField("amount_score", T.IntegerType()))
-    if with_entry:
-        fields += [T.StructField("_u_total", T.DoubleType()), T.StructField("_u_count", T.LongType())]
-    return T.StructType(fields)
+    return T.StructType(fields + [T.StructField("amount_score", T.IntegerType())])
+
+
+def _summary_schema(df: DataFrame, key: str) -> T.StructType:
+    return T.StructType([df.schema[key], T.StructField(BLK, T.LongType()),
+                         T.StructField("_u_total", T.DoubleType()), T.StructField("_u_count", T.LongType())])
 
 
 def _fold_sorted(df: DataFrame, key: str, order: str, factor: float) -> DataFrame:
     """Fold rows that are already partitioned by (key, blk) (one pass, fresh state per block)."""
     sorted_df = df.sortWithinPartitions(key, BLK, order)
-    return sorted_df.mapInPandas(_amount_fold(factor, key, order, False), _fold_schema(df, False))
+    return sorted_df.mapInPandas(_amount_fold(factor, key, order, False), _fold_schema(df))
 
 
 def _fold_hot(hot_rows: DataFrame, key: str, order: str, factor: float, max_blocks: int) -> DataFrame:
     """Fold the blocks of hot users in parallel until the entry states are a fixed point.
 
-    Iteration i folds every block from its current entry estimate; the entry of
-    block b is then re-estimated as the sum of the unflagged totals/counts of
-    blocks < b. A block whose entry is exact folds exactly, so block j is exact
-    after at most j iterations; usually the decisions stop changing after two.
+    Iteration i folds every block from its current entry estimate and keeps
+    only one summary row per block (the sums of its unflagged rows); the entry
+    of block b is then re-estimated as the sum of the summaries of blocks < b.
+    A block whose entry is exact folds exactly, so block j is exact after at
+    most j iterations (in practice the count grows about logarithmically with
+    the number of blocks). Only the small per-block tables are written per
+    iteration; the scored rows are produced once, from the final entries.
     """
     # Callers pass rows already hash-partitioned by (key, blk) (the window's or
     # detect_amount's exchange); the checkpoint keeps that partitioning and order.
@@ -177,33 +191,35 @@ def _fold_hot(hot_rows: DataFrame, key: str, order: str, factor: float, max_bloc
     entry = None
     w = Window.partitionBy(key).orderBy(BLK)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
+
+    def with_entry(e):
+        if e is None:
+            return rows.select("*", F.lit(None).cast("double").alias("_e_total"),
+                               F.lit(None).cast("long").alias("_e_count"))
+        e = e.alias("_e")
+        cond = (F.col(f"_r.{key}") == F.col(f"_e.{key}")) & (F.col(f"_r.{BLK}") == F.col(f"_e.{BLK}"))
+        return rows.alias("_r").join(e, cond, "left").select("_r.*", "_e._e_total", "_e._e_count")
+
     for it in range(max_blocks + 1):
-        if entry is None:
-            src = rows.select("*", F.lit(None).cast("double").alias("_e_total"), F.lit(None).cast("long").alias("_e_count"))
-        else:
-            e = entry.alias("_e")
-            src = rows.alias("_r").join(
-                e, (F.col(f"_r.{key}") == F.col(f"_e.{key}")) & (F.col(f"_r.{BLK}") == F.col(f"_e.{BLK}")), "left",
-            ).select("_r.*", "_e._e_total", "_e._e_count")
-        folded = src.sortWithinPartitions(key, BLK, order).mapInPandas(
-            _amount_fold(factor, key, order, True), _fold_schema(src, True)).checkpoint()
-        exits = folded.groupBy(key, BLK).agg(
-            F.max_by(F.struct("_u_total", "_u_count"), F.col(order)).alias("_u"))
+        src = with_entry(entry).sortWithinPartitions(key, BLK, order)
+        exits = src.mapInPandas(_amount_fold(factor, key, order, True, summary=True), _summary_schema(src, key))
         new_entry = exits.select(
             key, BLK,
-            F.when(F.row_number().over(w) > 1, F.sum("_u._u_total").over(before)).alias("_e_total"),
-            F.when(F.row_number().over(w) > 1, F.sum("_u._u_count").over(before)).alias("_e_count"),
+            F.when(F.row_number().over(w) > 1, F.sum("_u_total").over(before)).alias("_e_total"),
+            F.when(F.row_number().over(w) > 1, F.sum("_u_count").over(before)).alias("_e_count"),
         ).checkpoint()
         if entry is None:
             changed = new_entry.filter(F.col("_e_count").isNotNull()).limit(1).count()
         else:
             a, b = new_entry.alias("a"), entry.alias("b")
-            changed = a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col(f"a.{BLK}") == F.col(f"b.{BLK}")), "full").filter(
+            same_block = (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col(f"a.{BLK}") == F.col(f"b.{BLK}"))
+            changed = a.join(b, same_block, "full").filter(
                 ~F.col("a._e_total").eqNullSafe(F.col("b._e_total")) | ~F.col("a._e_count").eqNullSafe(F.col("b._e_count"))
             ).limit(1).count()
         if not changed:
             log.info("amount fold of hot users: fixed point after %d iteration(s)", it + 1)
-            return folded.drop("_e_total", "_e_count", "_u_total", "_u_count")
+            final = with_entry(entry).sortWithinPartitions(key, BLK, order)
+            return final.mapInPandas(_amount_fold(factor, key, order, True), _fold_schema(final))
         entry = new_entry
     raise RuntimeError("amount fold did not reach a fixed point")  # cannot happen: see docstring
 
