@@ -1,16 +1,16 @@
-"""The service modes wired end to end: detect -> aggregate -> load, and pipeline."""
+"""The service modes wired end to end: detect -> aggregate -> load, and all in one query."""
 
 import uuid
 
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from tripwire.operators.rollup import fraud_pipeline
+from tripwire.operators.rollup import score_and_label
 from tripwire.schema import PAYLOAD
 from tripwire.sources import jdbc
 from tripwire.sources.tables import transactions
 from tripwire.streaming import app
-from tripwire.streaming import pipeline as SP
+from tripwire.streaming import stages as SP
 
 DERBY_DRIVER = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
 
@@ -34,18 +34,18 @@ def test_three_services(spark, scratch):
     stored = jdbc.read_table(spark, url, "fraud_events", {"driver": DERBY_DRIVER})
     stored = stored.toDF(*[c.lower() for c in stored.columns])  # Derby upper-cases names
     got = sorted((r["transaction_id"], r["fraud_score"], r["transaction_type"]) for r in stored.collect())
-    exp = sorted((r["transaction_id"], r["fraud_score"], r["transaction_type"]) for r in fraud_pipeline(tx).collect())
+    exp = sorted((r["transaction_id"], r["fraud_score"], r["transaction_type"]) for r in score_and_label(tx).collect())
     assert got == exp
 
 
-def test_pipeline_mode(spark, scratch):
+def test_all_in_one_mode(spark, scratch):
     tx = transactions(spark, SF_SMALL, "orders")
     SP.as_records(tx, PAYLOAD).coalesce(1).write.json(f"{scratch}/transaction")
-    app.run(spark, ["pipeline", "--source", f"{scratch}/transaction", "--target", f"{scratch}/final",
+    app.run(spark, ["all", "--source", f"{scratch}/transaction", "--target", f"{scratch}/final",
                     "--checkpoint", f"{scratch}/ck", "--trigger", "once"]).awaitTermination()
     sch = "transaction_id string, user_id string, txn_time long, amount decimal(10,3), location string, " \
           "transaction_type string, fraud_score int"
     got = spark.read.schema(SP.FILE_RECORD).json(f"{scratch}/final").select(F.from_json("value", sch).alias("r"))
     a = sorted(tuple(r) for r in got.select("r.*").collect())
-    b = sorted(tuple(r) for r in fraud_pipeline(tx).collect())
+    b = sorted(tuple(r) for r in score_and_label(tx).collect())
     assert a == b

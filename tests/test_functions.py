@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tripwire.functions import scalar as S
 from tripwire.schema import PAYLOAD
-from tripwire.streaming import pipeline as SP
+from tripwire.streaming import stages as SP
 from util import txns
 
 

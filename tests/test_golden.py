@@ -21,7 +21,7 @@ def test_t1_all_detectors_batch(spark, rpb):
 
 def test_t1_final_labels(spark):
     out = {r["transaction_id"]: (r["fraud_score"], r["transaction_type"])
-           for r in R.fraud_pipeline(txns(spark, T1)).collect()}
+           for r in R.score_and_label(txns(spark, T1)).collect()}
     assert out == {"txn-1": (0, "Normal"), "txn-2": (2, "Fraud"), "txn-3": (2, "Fraud"), "txn-4": (1, "Normal")}
 
 

@@ -3,11 +3,11 @@
 import uuid
 
 from conftest import SF_SMALL
-from tripwire.operators.rollup import fraud_pipeline
+from tripwire.operators.rollup import score_and_label
 from tripwire.schema import PAYLOAD
 from tripwire.sources import jdbc
 from tripwire.sources.tables import transactions
-from tripwire.streaming import pipeline as SP
+from tripwire.streaming import stages as SP
 
 DERBY = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
 
@@ -26,10 +26,10 @@ def test_jdbc_stream_sink_idempotent(spark, scratch):
     stored = jdbc.read_table(spark, url, "fraud_events", DERBY)
     assert stored.count() == tx.count()
     # Replaying micro-batch 0 (a restart after a crash) does not duplicate rows.
-    writer(fraud_pipeline(tx), 0)
+    writer(score_and_label(tx), 0)
     assert jdbc.final_count(spark, url, "fraud_events", DERBY).first()["n"] == tx.count()
     a = sorted(tuple(r)[1:8] for r in stored.orderBy("transaction_id").collect())
-    b = sorted(tuple(r) for r in fraud_pipeline(tx).collect())
+    b = sorted(tuple(r) for r in score_and_label(tx).collect())
     assert a == b
 
 

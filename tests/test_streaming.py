@@ -8,7 +8,7 @@ from conftest import SF_SMALL
 from tripwire.operators import detectors as D
 from tripwire.schema import PAYLOAD
 from tripwire.sources.tables import transactions
-from tripwire.streaming import pipeline as SP
+from tripwire.streaming import stages as SP
 from util import scores, txns
 
 WIDE = "transaction_id string, user_id string, txn_time long, amount double, location string, " \
@@ -115,9 +115,9 @@ def test_final_stream_one_query(spark, scratch):
     q = (final.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{scratch}/ck")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    from tripwire.operators.rollup import fraud_pipeline
+    from tripwire.operators.rollup import score_and_label
     a = sorted(tuple(r) for r in spark.read.parquet(out).collect())
-    b = sorted(tuple(r) for r in fraud_pipeline(tx).collect())
+    b = sorted(tuple(r) for r in score_and_label(tx).collect())
     assert a == b
 
 

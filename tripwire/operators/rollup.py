@@ -89,7 +89,7 @@ def total_score(wide: DataFrame, threshold: int = LABEL_THRESHOLD) -> DataFrame:
         (s >= threshold).alias("detected"))
 
 
-def fraud_pipeline(txns: DataFrame, factor: float = AMOUNT_FACTOR, max_gap: int = VELOCITY_MAX_GAP,
+def score_and_label(txns: DataFrame, factor: float = AMOUNT_FACTOR, max_gap: int = VELOCITY_MAX_GAP,
                    threshold: int = LABEL_THRESHOLD, rows_per_block: int | None = None, safe: bool = False) -> DataFrame:
     """End to end (E8): detectors, summed score, label, the 7 table columns."""
     wide = score_all(txns, factor=factor, max_gap=max_gap, rows_per_block=rows_per_block)

@@ -19,7 +19,7 @@ from ..operators import profile as PR
 from ..operators import rollup as R
 from ..schema import CANONICAL
 from ..sources.tables import TRANSACTION_TABLES, read_table, transactions
-from ..streaming import pipeline as SP
+from ..streaming import stages as SP
 from . import oracle as O
 from . import oracle_inject as OI
 
@@ -113,7 +113,7 @@ def sampled_offsets(spark, sf):
 
 def final_count(spark, sf):
     """Rows in the final table."""
-    return R.fraud_pipeline(_ev(spark, sf)).agg(F.count(F.lit(1)).alias("n"))
+    return R.score_and_label(_ev(spark, sf)).agg(F.count(F.lit(1)).alias("n"))
 
 
 # -------------------------------------------------------------------- scalars
@@ -221,12 +221,12 @@ def final_scores_session(spark, sf):
     return R.final_scores_session(R.scored_long(D.score_all(_ev(spark, sf))), gap_seconds=1)
 
 
-def fraud_pipeline(spark, sf):
-    return R.fraud_pipeline(_ev(spark, sf))
+def end_to_end(spark, sf):
+    return R.score_and_label(_ev(spark, sf))
 
 
-def fraud_pipeline_orders(spark, sf):
-    return R.fraud_pipeline(_or(spark, sf))
+def end_to_end_orders(spark, sf):
+    return R.score_and_label(_or(spark, sf))
 
 
 # -------------------------------------------------------------------- profiles
@@ -310,11 +310,11 @@ def inject_backtest(spark, sf):
 
 # ------------------------------------------------------------------ streaming
 
-def stream_fraud_pipeline(spark, sf, chunks: int = 2):
+def stream_end_to_end(spark, sf, chunks: int = 2):
     """A1, A4, A11, E8 as a stream: the events published as topic files in `chunks`
     arrival-ordered drops; after each drop the stateful detector query restarts
     from its checkpoint and appends final rows; the sink is read back."""
-    base = SP.scratch_path(spark, "stream_fraud_pipeline")
+    base = SP.scratch_path(spark, "stream_end_to_end")
     topic, out, ckpt = f"{base}/topic", f"{base}/final", f"{base}/checkpoint"
     tx = _ev(spark, sf)
     lo, hi = tx.agg(F.min("seq"), F.max("seq")).first()
@@ -363,12 +363,12 @@ QUERIES: dict[str, Query] = {
         detect_amount, detect_amount_orders, detect_velocity, detect_velocity_wide, detect_velocity_orders,
         detect_location, detect_location_prev, detect_amount_all, score_all, score_all_orders,
         scored_long, final_scores, final_scores_redelivered, final_scores_dedup, final_scores_tumbling,
-        final_scores_session, fraud_pipeline, fraud_pipeline_orders,
+        final_scores_session, end_to_end, end_to_end_orders,
         user_profile, profile_running, profile_upsert, user_count, profile_lookup, first_transactions,
         sample_users,
         inject_pick_rows, inject_pick_types, inject_normal, inject_spacing, inject_high_amount,
         inject_location, inject_close_time, inject_all, inject_backtest,
-        stream_fraud_pipeline, source_transactions, sink_scored_json, final_projection,
+        stream_end_to_end, source_transactions, sink_scored_json, final_projection,
     ]
 }
 
@@ -463,9 +463,9 @@ SELECT seq, CAST(((d % 86400) + 86400) % 86400 AS BIGINT) AS gap_seconds FROM a"
     "final_scores_dedup": O.final_scores_redelivered_sql(dedup=True),
     "final_scores_tumbling": O.final_scores_tumbling_sql(),
     "final_scores_session": O.final_scores_session_sql(1),
-    "fraud_pipeline": O.fraud_pipeline_sql(),
-    "fraud_pipeline_orders": O.fraud_pipeline_sql("orders"),
-    "stream_fraud_pipeline": O.fraud_pipeline_sql(),
+    "end_to_end": O.end_to_end_sql(),
+    "end_to_end_orders": O.end_to_end_sql("orders"),
+    "stream_end_to_end": O.end_to_end_sql(),
     "source_transactions": f"{_EV}",
     "sink_scored_json": O.scored_long_sql(),
     "final_projection": f"""WITH {O.scores_ctes('events')}, l AS (

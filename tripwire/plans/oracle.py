@@ -149,7 +149,7 @@ m AS (SELECT *, min(txn_time) OVER (PARTITION BY transaction_id, sid) AS session
 {_rollup_select('m', keys='transaction_id, session_start, session_end')}"""
 
 
-def fraud_pipeline_sql(table: str = "events") -> str:
+def end_to_end_sql(table: str = "events") -> str:
     return f"""WITH {scores_ctes(table)}
 SELECT transaction_id, user_id, txn_time, CAST(amount AS DECIMAL(10,3)) AS amount, location,
        CASE WHEN amount_score + velocity_score + location_score >= 2 THEN 'Fraud' ELSE transaction_type END

@@ -7,7 +7,7 @@ Modes (the reference's services, as Spark streaming queries):
 * ``aggregate``: scored topic -> final topic (per transaction and window, summed
   and labelled; ``--window processing|tumbling|session``, ``--dedup``);
 * ``load``: final topic -> JDBC table (batches of 100, idempotent per micro-batch);
-* ``pipeline``: transaction topic -> final rows in one query (scores summed in
+* ``all``: transaction topic -> final rows in one query (scores summed in
   the row) -> ``--sink files|jdbc|console``.
 
 Topics are folders of JSON-lines records (``--fmt files``) or Kafka topics
@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..schema import FINAL_COLUMNS
 from ..sources import jdbc
-from . import pipeline as SP
+from . import stages as SP
 
 FINAL_TEXT = T.StructType([
     T.StructField("transaction_id", T.StringType()), T.StructField("user_id", T.StringType()),
@@ -37,7 +37,7 @@ FINAL_TEXT = T.StructType([
 
 def _args(argv=None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="tripwire.streaming.app")
-    p.add_argument("mode", choices=["detect", "aggregate", "load", "pipeline"])
+    p.add_argument("mode", choices=["detect", "aggregate", "load", "all"])
     p.add_argument("--source", required=True, help="input topic (folder or Kafka topic)")
     p.add_argument("--target", default="", help="output topic / folder / JDBC table")
     p.add_argument("--checkpoint", required=True)
