@@ -183,3 +183,4 @@ def test_null_user_stream(spark, scratch):
     cols = PAYLOAD + ["amount_score", "velocity_score", "location_score"]
     SP.write_topic(SP.as_records(SP.detector_stream(SP.read_topic(spark, topic)), cols), out, ckpt).awaitTermination()
     assert scores(_read_wide(spark, out)) == {1: (0, 0, 0), 2: (1, 1, 1), 3: (0, 0, 0), 4: (0, 0, 0)}
+
