@@ -184,3 +184,37 @@ def test_null_user_stream(spark, scratch):
     SP.write_topic(SP.as_records(SP.detector_stream(SP.read_topic(spark, topic)), cols), out, ckpt).awaitTermination()
     assert scores(_read_wide(spark, out)) == {1: (0, 0, 0), 2: (1, 1, 1), 3: (0, 0, 0), 4: (0, 0, 0)}
 
+
+
+def test_state_ttl(spark, scratch):
+    """A user idle for longer than the TTL starts fresh (first row again).
+
+    TTL needs a continuously running query: timeouts fire in micro-batches
+    without data, so the query never goes idle and the sink is polled instead.
+    """
+    topic, out, ckpt = f"{scratch}/topic", f"{scratch}/out", f"{scratch}/ckpt"
+    cols = PAYLOAD + ["amount_score", "velocity_score", "location_score"]
+
+    def wait_for(seq, deadline=60):
+        t0 = time.time()
+        while time.time() - t0 < deadline:
+            time.sleep(1)
+            try:
+                got = scores(_read_wide(spark, out))
+            except Exception:  # no output file yet
+                continue
+            if seq in got:
+                return got
+        raise AssertionError(f"row {seq} not written")
+
+    SP.as_records(txns(spark, [(1, "u", 100, 10, "VN")]), PAYLOAD).coalesce(1).write.json(topic)
+    wide = SP.detector_stream(SP.read_topic(spark, topic), ttl_ms=1000)
+    q = SP.write_topic(SP.as_records(wide, cols), out, ckpt, trigger={"processingTime": "500 milliseconds"})
+    try:
+        wait_for(1)
+        time.sleep(3)  # u's state times out meanwhile
+        SP.as_records(txns(spark, [(3, "u", 105, 100, "US")]), PAYLOAD).coalesce(1).write.mode("append").json(topic)
+        got = wait_for(3)
+    finally:
+        q.stop()
+    assert got[3] == (0, 0, 0)  # without the TTL it would be (1, 1, 1)

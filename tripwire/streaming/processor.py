@@ -136,8 +136,7 @@ def score_with_group_state(txns: DataFrame, factor: float = AMOUNT_FACTOR,
     after that much processing time without transactions (its next one starts
     fresh), which bounds the state of users who stop transacting. Timeouts fire
     in micro-batches without data, so use TTL with a processing-time trigger
-    (an available-now run keeps running them and does not finish). Not covered
-    by the tests yet.
+    (an available-now run keeps running them and does not finish).
     """
     def fn(key, pdfs, state):
         if state.hasTimedOut:
