@@ -188,6 +188,20 @@ def score_all_orders(spark, sf):
     return D.score_all(_or(spark, sf))
 
 
+HOT_USER = "user-hot"  # a third of the events re-keyed to one user (the skew to design for)
+
+
+def _ev_hot(spark, sf):
+    tx = _ev(spark, sf)
+    return tx.withColumn("user_id", F.when(F.col("seq") % 3 == 0, F.lit(HOT_USER)).otherwise(F.col("user_id")))
+
+
+def score_all_hot_user(spark, sf):
+    """D1-D4 with one user holding a third of all rows, cut into blocks of 500 rows:
+    the carries and the amount fold's fixed point against the sequential oracle."""
+    return D.score_all(_ev_hot(spark, sf), rows_per_block=500)
+
+
 # --------------------------------------------------------------------- roll-up
 
 def scored_long(spark, sf):
@@ -368,7 +382,7 @@ QUERIES: dict[str, Query] = {
         sample_users,
         inject_pick_rows, inject_pick_types, inject_normal, inject_spacing, inject_high_amount,
         inject_location, inject_close_time, inject_all, inject_backtest,
-        stream_end_to_end, source_transactions, sink_scored_json, final_projection,
+        stream_end_to_end, source_transactions, sink_scored_json, final_projection, score_all_hot_user,
     ]
 }
 
@@ -467,6 +481,9 @@ SELECT seq, CAST(((d % 86400) + 86400) % 86400 AS BIGINT) AS gap_seconds FROM a"
     "end_to_end_orders": O.end_to_end_sql("orders"),
     "stream_end_to_end": O.end_to_end_sql(),
     "source_transactions": f"{_EV}",
+    "score_all_hot_user": O.score_all_sql(source=f"""SELECT seq, transaction_id,
+       CASE WHEN seq % 3 = 0 THEN 'user-hot' ELSE user_id END AS user_id,
+       txn_time, amount, location, transaction_type FROM ({_EV})"""),
     "sink_scored_json": O.scored_long_sql(),
     "final_projection": f"""WITH {O.scores_ctes('events')}, l AS (
 {O.scored_long_body()}),

@@ -68,8 +68,8 @@ def detect_sql(detector: str, table: str = "events", factor: float = 3.0, max_ga
     return f"WITH {scores_ctes(table, factor, max_gap)}\nSELECT {CANON}, {col} AS fraud_score FROM s"
 
 
-def score_all_sql(table: str = "events") -> str:
-    return f"WITH {scores_ctes(table)}\nSELECT * FROM s"
+def score_all_sql(table: str = "events", source: str | None = None) -> str:
+    return f"WITH {scores_ctes(table, source=source)}\nSELECT * FROM s"
 
 
 def detect_location_prev_sql(table: str = "events") -> str:
