@@ -50,3 +50,14 @@ def test_flatten_nested_transaction(spark):
         [("txn-1", "user-1", 12.5, dt.datetime(2024, 1, 1, 0, 0, 7, 900000), ("Vietnam",), "Normal")], NESTED_TRANSACTION)
     r = flatten_transaction(nested).first()
     assert (r["txn_time"], r["location"], r["amount"]) == (1704067207, "Vietnam", 12.5)
+
+
+def test_kafka_options_and_app_args():
+    from tripwire.streaming import app
+    opts = SP.kafka_options("broker:9092", "transaction")
+    assert opts["subscribe"] == "transaction" and opts["startingOffsets"] == "earliest"
+    assert opts["kafka.bootstrap.servers"] == "broker:9092" and int(opts["maxOffsetsPerTrigger"]) > 0
+    a = app._args(["aggregate", "--source", "s", "--target", "t", "--checkpoint", "c", "--window", "session",
+                   "--dedup", "--trigger", "once"])
+    assert (a.mode, a.window, a.dedup, app._trigger(a)) == ("aggregate", "session", True, {"availableNow": True})
+    assert app._trigger(app._args(["all", "--source", "s", "--checkpoint", "c"])) == {"processingTime": "5 seconds"}
