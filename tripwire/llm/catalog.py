@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from tripwire.llm import simhash
+from tripwire.llm import decontaminate, langid, mixing, secrets, simhash
 
 QUERIES = {
+    "op2_decontaminate": decontaminate.query,
     "op3_simhash": simhash.query,
+    "op4_langid": langid.query,
+    "op5_mixing": mixing.query,
+    "op7_secrets": secrets.query,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_mixing": mixing.ORACLE,
+}
