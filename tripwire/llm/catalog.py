@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tripwire.llm import decontaminate, langid, mixing, secrets, simhash
+from tripwire.llm import decontaminate, langid, mixing, neighbours, secrets, simhash
 
 QUERIES = {
+    "op1_neighbours": neighbours.query,
     "op2_decontaminate": decontaminate.query,
     "op3_simhash": simhash.query,
     "op4_langid": langid.query,
