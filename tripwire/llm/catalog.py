@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripwire.llm import decontaminate, langid, mixing, neighbours, secrets, simhash
+from tripwire.llm import decontaminate, html_text, langid, mixing, neighbours, secrets, simhash
 
 QUERIES = {
     "op1_neighbours": neighbours.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_langid": langid.query,
     "op5_mixing": mixing.query,
     "op7_secrets": secrets.query,
+    "op9_html_text": html_text.query,
 }
 
 ORACLE: dict[str, str] = {
