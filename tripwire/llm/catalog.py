@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripwire.llm import decontaminate, html_text, langid, mixing, neighbours, secrets, simhash
+from tripwire.llm import decontaminate, html_text, langid, mixing, neighbours, secrets, simhash, url_filter
 
 QUERIES = {
     "op1_neighbours": neighbours.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_mixing": mixing.query,
     "op7_secrets": secrets.query,
     "op9_html_text": html_text.query,
+    "op10_url_filter": url_filter.query,
 }
 
 ORACLE: dict[str, str] = {
