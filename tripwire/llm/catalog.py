@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripwire.llm import decontaminate, html_text, langid, mixing, neighbours, secrets, simhash, url_filter
+from tripwire.llm import decontaminate, html_text, langid, mixing, neighbours, secrets, simhash, url_filter, warc
 
 QUERIES = {
     "op1_neighbours": neighbours.query,
@@ -11,10 +11,12 @@ QUERIES = {
     "op4_langid": langid.query,
     "op5_mixing": mixing.query,
     "op7_secrets": secrets.query,
+    "op8_warc": warc.query,
     "op9_html_text": html_text.query,
     "op10_url_filter": url_filter.query,
 }
 
 ORACLE: dict[str, str] = {
     "op5_mixing": mixing.ORACLE,
+    "op8_warc": warc.ORACLE,
 }
