@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripwire.llm import decontaminate, html_text, langid, mixing, neighbours, secrets, simhash, url_filter, warc
+from tripwire.llm import decontaminate, html_text, langid, mixing, neighbours, passages, secrets, simhash, url_filter, warc
 
 QUERIES = {
     "op1_neighbours": neighbours.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_simhash": simhash.query,
     "op4_langid": langid.query,
     "op5_mixing": mixing.query,
+    "op6_passages": passages.query,
     "op7_secrets": secrets.query,
     "op8_warc": warc.query,
     "op9_html_text": html_text.query,
