@@ -124,13 +124,19 @@ def training_rows(docs: DataFrame, per_language: int = 400, max_languages: int =
     and texts over ``max_chars`` are no examples. Whole texts are taken. Each (language,
     doc_id) counts once.
     """
-    named = docs.where("lang is not null and doc_id is not null and text is not null").withColumn("_h", F.xxhash64("doc_id"))
-    common = [r.lang for r in named.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()]
+    span = 1 << 31
+    named = (docs.where("lang is not null and doc_id is not null and text is not null")
+             .withColumn("_h", F.pmod(F.xxhash64("doc_id"), F.lit(span))))
+    common = named.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    # Of a large language only the low hashes, some four times the rows wanted, are ranked.
+    low = F.lit(None).cast("long")
+    for r in common:
+        low = F.when(F.col("lang") == r.lang, F.lit(min(span, 4 * per_language * span // r["count"]))).otherwise(low)
     w = Window.partitionBy("lang").orderBy("_h", "doc_id")
-    picked = (named.where(F.col("lang").isin(common)).select("lang", "_h", "doc_id")
+    picked = (named.select("lang", "_h", "doc_id").where(F.col("_h") < low).distinct()
               .withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= per_language))
     ids = sorted({r.doc_id for r in picked.select("doc_id").collect()})
-    got = (named.where(F.col("doc_id").isin(ids) & F.col("lang").isin(common) & (F.length("text") <= max_chars))
+    got = (named.where(F.col("doc_id").isin(ids) & F.col("lang").isin([r.lang for r in common]) & (F.length("text") <= max_chars))
            .select("doc_id", "text", "lang").collect())
     once = {(r.doc_id, r.lang): r.text for r in sorted(got, key=lambda r: (r.doc_id, r.lang, r.text))}
     return [(t, g) for (_, g), t in sorted(once.items())]
