@@ -78,7 +78,8 @@ def schedule(per_source: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFra
     earlier = Window.partitionBy("source_no").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     per_chunk = per_chunk.select("source_no", "chunk", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("passed"))
     inside = Window.partitionBy("source_no", "chunk").orderBy("slot")
-    return (slots.join(per_chunk, ["source_no", "chunk"])
+    # Slots come out of a few ranges, so their number is not seen in the plan: no broadcast of them.
+    return (slots.hint("merge").join(per_chunk, ["source_no", "chunk"])
             .select("source_no", "slot", (F.col("passed") + F.row_number().over(inside) - 1).alias("rank"), "slots"))
 
 
@@ -134,7 +135,7 @@ def mix(placed: DataFrame, per_source: DataFrame, block_tokens: int = BLOCK_TOKE
               .withColumn("lo", F.greatest("a", begin(F.col("rank"))))
               .withColumn("hi", F.least("b", begin(F.col("rank") + 1)))
               .select("source_no", "rank", "start", "doc_id", (F.col("lo") - F.col("a")).alias("first"), (F.col("hi") - F.col("lo")).alias("words")))
-    return (pieces.join(slots.select("source_no", "rank", "slot"), ["source_no", "rank"])
+    return (pieces.join(slots.select("source_no", "rank", "slot").hint("merge"), ["source_no", "rank"])
             .select("slot", "source_no", "start", "doc_id", "first", "words"))
 
 
