@@ -48,6 +48,19 @@ def _reversed(x: Column, bits: int) -> Column:
     return F.shiftrightunsigned(x, 64 - bits) if bits else F.lit(0).cast("long")
 
 
+def _grid(per_source: DataFrame, block_tokens: int) -> tuple[DataFrame, int]:
+    """source_no, first, last (grid points of each source with a target of a word or more) and m, for 2^m points."""
+    live = per_source.where("target >= 1").select("source_no", "target")
+    total = live.agg(F.coalesce(F.sum("target"), F.lit(0.0)).alias("t")).first().t
+    m = max(0, int(-(-total // block_tokens)) - 1).bit_length()
+    upto = Window.orderBy("source_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    top = F.sum("target").over(upto)
+    edge = lambda x: F.least(F.ceil(x / F.lit(total or 1.0) * float(1 << m)), F.lit(1 << m)).cast("long")
+    grid = (live.withColumn("first", F.least(edge(top - F.col("target")), F.lit((1 << m) - 1)))
+            .withColumn("last", F.greatest(edge(top) - 1, F.col("first"))))
+    return grid.select("source_no", "first", "last"), m
+
+
 def schedule(per_source: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """Slots of the mix: source_no, slot, rank, slots (of the source), from (source_no, target).
 
@@ -59,14 +72,7 @@ def schedule(per_source: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFra
     source whose stretch is too short to hold a point shares the next one's slot, so
     every source with a target of a word or more has a slot.
     """
-    live = per_source.where("target >= 1").select("source_no", "target")
-    total = live.agg(F.coalesce(F.sum("target"), F.lit(0.0)).alias("t")).first().t
-    m = max(0, int(-(-total // block_tokens)) - 1).bit_length()
-    upto = Window.orderBy("source_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    top = F.sum("target").over(upto)
-    edge = lambda x: F.least(F.ceil(x / F.lit(total or 1.0) * float(1 << m)), F.lit(1 << m)).cast("long")
-    grid = (live.withColumn("first", F.least(edge(top - F.col("target")), F.lit((1 << m) - 1)))
-            .withColumn("last", F.greatest(edge(top) - 1, F.col("first"))))
+    grid, m = _grid(per_source, block_tokens)
     spread = (grid.select("source_no", "last", (F.col("last") - F.col("first") + 1).alias("slots"),
                           F.explode(F.sequence("first", "last", F.lit(SLOT_CHUNK))).alias("from_point"))
               .repartition("source_no", "from_point"))
@@ -118,7 +124,7 @@ def mix(placed: DataFrame, per_source: DataFrame, block_tokens: int = BLOCK_TOKE
     slot's rank fills the slot: ``words`` words of each document in it, from word ``first`` on.
     """
     slots = schedule(per_source, block_tokens)
-    counts = slots.groupBy("source_no").agg(F.max("slots").alias("slots"))
+    counts = _grid(per_source, block_tokens)[0].select("source_no", (F.col("last") - F.col("first") + 1).alias("slots"))
     sources = (per_source.join(counts, "source_no")
                .select("source_no", "source_size", F.floor("target").alias("goal"), "slots")
                .withColumn("base", F.floor(F.col("goal") / F.col("slots")))
