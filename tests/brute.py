@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 
 def brute_scores(rows, factor=3.0, max_gap=20):
     """rows: iterable of dicts with seq, user_id, txn_time, amount, location.
@@ -17,14 +19,14 @@ def brute_scores(rows, factor=3.0, max_gap=20):
         prev_time = None
         first_loc = None
         for i, r in enumerate(rs):
-            a = r["amount"]
+            a = Fraction(str(r["amount"]))
             if i == 0:
                 total, count = a, 1
                 prev_time = r["txn_time"]
                 first_loc = r["location"]
                 out[r["seq"]] = (0, 0, 0)
                 continue
-            if a >= (total / count) * factor:
+            if a >= (total / count) * Fraction(str(factor)):
                 sa = 1
             else:
                 sa = 0

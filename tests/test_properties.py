@@ -10,7 +10,7 @@ from util import scores, txns
 row = st.tuples(
     st.sampled_from(["a", "b", "c"]),                      # user
     st.integers(min_value=0, max_value=200),               # time (out of order allowed)
-    st.sampled_from([0.0, 1.0, 2.5, 3.0, 7.5, 10.0, 30.0, 100.0]),  # amounts with exact 3x ties
+    st.sampled_from([0.0, 0.1, 0.2, 0.3, 1.0, 1.1, 2.5, 3.0, 7.5, 10.0, 30.0, 100.0]),  # amounts with exact 3x ties
     st.sampled_from(["VN", "vn", "US", None]),             # location
 )
 

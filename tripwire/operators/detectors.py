@@ -7,22 +7,26 @@ Input: canonical transactions (``seq`` = arrival order). Every detector keys by
 * velocity and location are windows (JVM, whole-stage codegen);
 * amount has feedback (a flagged amount is left out of the average the next
   rows are judged by), so it is a sorted left fold in Arrow batches
-  (``mapInPandas``) that never holds a user whole; hot users' blocks are folded
-  in parallel from estimated entry states and re-folded until every block's
-  entry state equals what the blocks before it leave (a fixed point).
+  (:mod:`.amount`) that never holds a user whole and hands all columns but its own
+  through untouched; the entry states of a hot user's blocks are found first, see
+  :func:`block_entries`.
 """
 
 from __future__ import annotations
 
 import logging
+from decimal import Decimal
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.scalar import location_differs
-from .sequence import BLK, Blocks, cut_blocks, with_carry
+from .amount import Margin, exact_units, fold, micro_units, ratio
+from .sequence import BLK, Blocks, HotKeys, cut_blocks, on_block, with_carry
 
 # The reference thresholds (parameters everywhere below).
 AMOUNT_FACTOR = 3.0
@@ -31,15 +35,16 @@ VELOCITY_MAX_GAP = 20
 log = logging.getLogger(__name__)
 
 SCORE_COLUMNS = {"amount": "amount_score", "velocity": "velocity_score", "location": "location_score"}
-_CARRY_FIELDS = ["txn_time", "location", "amount"]
-_HELPER_COLS = ["has_prev", "prev_last", "first_row", "pre_sum", "pre_cnt", "_rn"]
+_CARRY_FIELDS = ["txn_time", "location"]
+_HELPER_COLS = ["has_prev", "prev_last", "first_row", "pre_sum", "pre_cnt", "pre_amounts", "_rn", "_exact"]
+EXACT_TYPE = "decimal(24,6)"  # one amount of detect_amount_all; totals are wider
 
 
 # --------------------------------------------------------------------- windows
 
-def _windowed(blocks: Blocks) -> DataFrame:
+def _windowed(blocks: Blocks, amount: str | None = None) -> DataFrame:
     """Rows with carries and the in-block row number (one exchange on key, blk)."""
-    df = with_carry(blocks, _CARRY_FIELDS)
+    df = with_carry(blocks, _CARRY_FIELDS, amount)
     return df.withColumn("_rn", F.row_number().over(blocks.window()))
 
 
@@ -71,11 +76,12 @@ def location_prev_score(blocks: Blocks) -> Column:
 
 
 def amount_all_score(blocks: Blocks, factor: float = AMOUNT_FACTOR) -> Column:
-    """Documented variant: 1 if amount >= factor x average of all earlier amounts."""
+    """Documented variant: 1 if amount >= factor x average of all earlier amounts (exact decimals, column ``_exact``)."""
     before = blocks.window().rowsBetween(Window.unboundedPreceding, -1)
-    total = F.col("pre_sum") + F.coalesce(F.sum("amount").over(before), F.lit(0.0))
-    cnt = F.col("pre_cnt") + F.count("amount").over(before)
-    hit = F.col("amount") >= (total / cnt) * F.lit(factor)
+    total = (F.col("pre_sum").cast("decimal(34,6)") + F.coalesce(F.sum("_exact").over(before), F.lit(0)).cast("decimal(34,6)")).cast("decimal(34,6)")
+    cnt = F.col("pre_amounts") + F.count("_exact").over(before)
+    num, den = ratio(factor)
+    hit = F.col("_exact") * (cnt * den) >= total * F.lit(num)
     return F.when(_is_user_first(blocks) | (cnt == 0), 0).otherwise(F.coalesce(hit.cast("int"), F.lit(0)))
 
 
@@ -85,201 +91,223 @@ def _drop_helpers(df: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- amount fold
 
-def _amount_fold(factor: float, key: str, order: str, with_entry: bool, summary: bool = False):
-    """Left fold per (key, blk) over rows sorted by (key, blk, order).
+def _runs(keys: list, blks: list):
+    """(start, end) of the stretches of equal (key, blk)."""
+    start = 0
+    for i in range(1, len(keys) + 1):
+        if i == len(keys) or keys[i] != keys[start] or blks[i] != blks[start]:
+            yield start, i
+            start = i
+
+
+def _columns(batch: pa.RecordBatch, key: str, order: str):
+    units = [exact_units(u, a) if u is None else u for u, a in zip(batch.column("_u").to_pylist(), batch.column("amount").to_pylist())]
+    return batch.column(key).to_pylist(), batch.column(BLK).to_pylist(), batch.column(order).to_pylist(), units
+
+
+def _scores(factor: float, key: str, order: str, entries: bool):
+    """mapInArrow function: adds amount_score to rows sorted by (key, blk, order); blocks start from ``_e_total, _e_count`` if given."""
+    num_den = ratio(factor)
 
-    State (total, count) of unflagged amounts; the first row of a user starts it
-    and scores 0. With ``with_entry`` a block starts from ``_e_total/_e_count``
-    (null: the user's first block). ``summary`` emits only one row per block
-    (key, blk, ``_u_total``, ``_u_count``: the sums of the block's own unflagged
-    rows) instead of the scored rows.
-    """
     def run(batches):
-        cur = None
-        total = 0.0
-        count = 0
-        started = False
-        last_seq = None
-        u_total = 0.0
-        u_count = 0
-        done_k, done_b, done_t, done_c = [], [], [], []
-        for pdf in batches:
-            keys = pdf[key].tolist()
-            blks = pdf[BLK].tolist()
-            amts = pdf["amount"].tolist()
-            seqs = pdf[order].tolist()
-            if with_entry:
-                e_tot = pdf["_e_total"].tolist()
-                e_cnt = pdf["_e_count"].tolist()
-            scores = [0] * len(keys)
-            for i in range(len(keys)):
-                g = (keys[i], blks[i])
-                if g != cur:
-                    if summary and cur is not None:
-                        done_k.append(cur[0]), done_b.append(cur[1]), done_t.append(u_total), done_c.append(u_count)
-                    cur = g
-                    last_seq = None
-                    started = False
-                    u_total, u_count = 0.0, 0
-                    if with_entry and e_cnt[i] is not None and not (e_cnt[i] != e_cnt[i]) and e_cnt[i] > 0:
-                        total, count, started = float(e_tot[i]), int(e_cnt[i]), True
-                s = seqs[i]
-                if last_seq is not None and s < last_seq:
-                    raise ValueError(f"rows of {g} are not in {order} order")
-                last_seq = s
-                a = amts[i]
-                if a is None or a != a:  # null amount: no score, state unchanged
-                    pass
-                elif not started:
-                    total, count, started = a, 1, True
-                    u_total, u_count = u_total + a, u_count + 1
-                elif a >= (total / count) * factor:
-                    scores[i] = 1
-                else:
-                    total += a
-                    count += 1
-                    u_total, u_count = u_total + a, u_count + 1
-            if summary:
-                if done_k:
-                    yield _summary_frame(key, done_k, done_b, done_t, done_c)
-                    done_k, done_b, done_t, done_c = [], [], [], []
-            else:
-                if with_entry:
-                    pdf = pdf.drop(columns=["_e_total", "_e_count"])
-                yield pdf.assign(amount_score=pd.array(scores, dtype="int32"))
-        if summary and cur is not None:
-            done_k.append(cur[0]), done_b.append(cur[1]), done_t.append(u_total), done_c.append(u_count)
-            yield _summary_frame(key, done_k, done_b, done_t, done_c)
+        cur, total, count, last = None, 0, 0, None
+        for batch in batches:
+            keys, blks, seqs, units = _columns(batch, key, order)
+            scores: list[int] = []
+            for a, b in _runs(keys, blks):
+                if (keys[a], blks[a]) != cur:
+                    cur, last, total, count = (keys[a], blks[a]), None, 0, 0
+                    if entries and (n := batch.column("_e_count")[a].as_py()):
+                        total, count = int(batch.column("_e_total")[a].as_py()), n
+                if any(x > y for x, y in zip(seqs[a:b], seqs[a + 1:b])) or last is not None and last > seqs[a]:
+                    raise ValueError(f"rows of {cur} are not in {order} order")
+                last = seqs[b - 1]
+                part, total, count = fold(units[a:b], total, count, num_den)
+                scores += part
+            kept = [n for n in batch.schema.names if n not in ("_u", "_e_total", "_e_count")]
+            yield pa.RecordBatch.from_arrays([batch.column(n) for n in kept] + [pa.array(scores, pa.int32())], kept + ["amount_score"])
     return run
 
 
-def _summary_frame(key, ks, bs, ts, cs) -> pd.DataFrame:
-    return pd.DataFrame({key: ks, BLK: pd.array(bs, dtype="int64"), "_u_total": ts,
-                         "_u_count": pd.array(cs, dtype="int64")})
+_SUMMARY = "f_total decimal(38,0), f_count long, d_total decimal(38,0), d_count long, " + ", ".join(
+    f"{side}_{what} decimal(38,0)" for side in ("fl", "kp") for what in ("slack", "lo", "hi"))
 
 
-def _fold_schema(df: DataFrame) -> T.StructType:
-    fields = [f for f in df.schema.fields if f.name not in ("_e_total", "_e_count")]
-    return T.StructType(fields + [T.StructField("amount_score", T.IntegerType())])
+def _summaries(factor: float, key: str, order: str, schema: T.StructType):
+    """mapInArrow function: one row per block, folded from its entry: the entry, what the block adds, and its margins."""
+    num_den = ratio(factor)
+    arrow = to_arrow_schema(schema)
 
+    def run(batches):
+        cur = entry = state = margin = None
+        done: list[list] = []
+
+        def close():
+            dec = lambda t: [None if x is None else Decimal(x) for x in (t or (None,) * 3)]
+            done.append([*cur, Decimal(entry[0]), entry[1], Decimal(state[0] - entry[0]), state[1] - entry[1], *dec(margin.flagged), *dec(margin.kept)])
+
+        for batch in batches:
+            keys, blks, _, units = _columns(batch, key, order)
+            for a, b in _runs(keys, blks):
+                if (keys[a], blks[a]) != cur:
+                    if cur is not None:
+                        close()
+                    cur, margin = (keys[a], blks[a]), Margin()
+                    entry = (int(batch.column("_e_total")[a].as_py()), batch.column("_e_count")[a].as_py())
+                    state = entry
+                part, total, count = fold(units[a:b], *state, num_den)
+                margin.add(units[a:b], part, *state, num_den)
+                state = (total, count)
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*done), arrow)], schema=arrow)
+                done = []
+        if cur is not None:
+            close()
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*done), arrow)], schema=arrow)
+    return run
 
-def _summary_schema(df: DataFrame, key: str) -> T.StructType:
-    return T.StructType([df.schema[key], T.StructField(BLK, T.LongType()),
-                         T.StructField("_u_total", T.DoubleType()), T.StructField("_u_count", T.LongType())])
 
+def _scan(factor: float, key: str):
+    """applyInPandas function over one user's block table: the blocks' entry states as far as known, and which to fold (again)."""
+    num, den = ratio(factor)
 
-def _fold_sorted(df: DataFrame, key: str, order: str, factor: float) -> DataFrame:
-    """Fold rows that are already partitioned by (key, blk) (one pass, fresh state per block)."""
-    sorted_df = df.sortWithinPartitions(key, BLK, order)
-    return sorted_df.mapInPandas(_amount_fold(factor, key, order, False), _fold_schema(df))
+    def whole(x):
+        return None if x is None or x != x else int(x)
 
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(BLK)
+        total = count = 0
+        out = []
+        for r in pdf.to_dict("records"):
+            n, s, lo, hi = (whole(r[c]) for c in ("n", "s", "lo", "hi"))
+            out.append((total, count))
+            refold = False
+            if not n:
+                d = (0, 0)
+            else:
+                d, folded = None, whole(r["f_count"]) is not None
+                if folded:
+                    d_total, d_count = total - whole(r["f_total"]), count - whole(r["f_count"])
+                    side = lambda p: tuple(whole(r[f"{p}_{c}"]) for c in ("slack", "lo", "hi")) if whole(r[f"{p}_slack"]) is not None else None
+                    started = (count > 0) == (whole(r["f_count"]) > 0)
+                    if started and (count == 0 or Margin(side("fl"), side("kp")).holds(d_total, d_count, (num, den))):
+                        d = (whole(r["d_total"]), whole(r["d_count"]))
+                if d is None and count and den * lo * count >= num * total:
+                    d = (0, 0)  # all flagged
+                if d is None and count and den * hi * count < num * total and den * hi < num * lo:
+                    d = (s, n)  # all kept: the average stays above the smaller of its start and lo
+                if d is None:
+                    refold = True
+                    d = (whole(r["d_total"]), whole(r["d_count"])) if folded else (s, n)
+            out[-1] += (refold,)
+            total, count = total + d[0], count + d[1]
+        return pd.DataFrame({key: pdf[key].tolist(), BLK: pdf[BLK].tolist(), "_e_total": [Decimal(x[0]) for x in out],
+                             "_e_count": [x[1] for x in out], "_refold": [x[2] for x in out]})
+    return run
 
-def _fold_hot(hot_rows: DataFrame, key: str, order: str, factor: float, max_blocks: int) -> DataFrame:
-    """Fold the blocks of hot users in parallel until the entry states are a fixed point.
 
-    Iteration i folds every block from its current entry estimate and keeps
-    only one summary row per block (the sums of its unflagged rows); the entry
-    of block b is then re-estimated as the sum of the summaries of blocks < b.
-    A block whose entry is exact folds exactly, so block j is exact after at
-    most j iterations (in practice the count grows about logarithmically with
-    the number of blocks). Only the small per-block tables are written per
-    iteration; the scored rows are produced once, from the final entries.
+def block_entries(rows: DataFrame, key: str, order: str, factor: float) -> tuple[DataFrame, int]:
+    """Entry state (key, blk, _e_total, _e_count) of every block of the hot users, and the rounds it took.
+
+    ``rows`` are the hot users' (key, blk, order, _u, amount). A table holds for each block the
+    count, sum, least and largest of its amounts, and the last fold of it. A scan over a user's
+    blocks (one row a block) takes a block's effect from its fold if the fold's margins hold for
+    the entry state, or if all its amounts must be flagged or kept; the others are folded again,
+    all at once, from the entry states as they are then thought to be. The first of them has its true
+    entry, so each round settles one block at least; blocks that settle by their margins or bounds,
+    nearly all, need no further round.
     """
-    # Callers pass rows already hash-partitioned by (key, blk) (the window's or
-    # detect_amount's exchange); the checkpoint keeps that partitioning and order.
-    rows = hot_rows.sortWithinPartitions(key, BLK, order).checkpoint()
-    entry = None
-    w = Window.partitionBy(key).orderBy(BLK)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-
-    def with_entry(e):
-        if e is None:
-            return rows.select("*", F.lit(None).cast("double").alias("_e_total"),
-                               F.lit(None).cast("long").alias("_e_count"))
-        e = e.alias("_e")
-        cond = (F.col(f"_r.{key}") == F.col(f"_e.{key}")) & (F.col(f"_r.{BLK}") == F.col(f"_e.{BLK}"))
-        return rows.alias("_r").join(e, cond, "left").select("_r.*", "_e._e_total", "_e._e_count")
-
-    for it in range(max_blocks + 1):
-        src = with_entry(entry).sortWithinPartitions(key, BLK, order)
-        exits = src.mapInPandas(_amount_fold(factor, key, order, True, summary=True), _summary_schema(src, key))
-        new_entry = exits.select(
-            key, BLK,
-            F.when(F.row_number().over(w) > 1, F.sum("_u_total").over(before)).alias("_e_total"),
-            F.when(F.row_number().over(w) > 1, F.sum("_u_count").over(before)).alias("_e_count"),
-        ).checkpoint()
-        if entry is None:
-            changed = new_entry.filter(F.col("_e_count").isNotNull()).limit(1).count()
-        else:
-            a, b = new_entry.alias("a"), entry.alias("b")
-            same_block = (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col(f"a.{BLK}") == F.col(f"b.{BLK}"))
-            changed = a.join(b, same_block, "full").filter(
-                ~F.col("a._e_total").eqNullSafe(F.col("b._e_total")) | ~F.col("a._e_count").eqNullSafe(F.col("b._e_count"))
-            ).limit(1).count()
-        if not changed:
-            log.info("amount fold of hot users: fixed point after %d iteration(s)", it + 1)
-            final = with_entry(entry).sortWithinPartitions(key, BLK, order)
-            return final.mapInPandas(_amount_fold(factor, key, order, True), _fold_schema(final))
-        entry = new_entry
-    raise RuntimeError("amount fold did not reach a fixed point")  # cannot happen: see docstring
-
-
-def _with_amount(windowed: DataFrame, blocks: Blocks, factor: float) -> DataFrame:
+    rows = rows.repartition(key, BLK).sortWithinPartitions(key, BLK, order).checkpoint()
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(_SUMMARY).fields]
+    table = rows.groupBy(key, BLK).agg(
+        F.count("_u").alias("n"), F.sum(F.col("_u").cast("decimal(20,0)")).cast("decimal(38,0)").alias("s"),
+        F.min("_u").alias("lo"), F.max("_u").alias("hi"), F.max(F.col("_u").isNull() & F.col("amount").isNotNull()).alias("odd"))
+    # Amounts beyond a long are known to the fold only: such a block has no bounds that decide it.
+    table = table.select(key, BLK, F.when(F.col("odd"), F.greatest("n", F.lit(1).cast("long"))).otherwise(F.col("n")).alias("n"),
+                         F.coalesce("s", F.lit(0)).cast("decimal(38,0)").alias("s"),
+                         F.when(F.col("odd"), F.lit(-(1 << 62))).otherwise(F.col("lo")).alias("lo"),
+                         F.when(F.col("odd"), F.lit((1 << 63) - 1)).otherwise(F.col("hi")).alias("hi"), *none).checkpoint()
+    key_field = table.schema[key]
+    plan_schema = T.StructType([key_field, T.StructField(BLK, T.LongType()), T.StructField("_e_total", T.DecimalType(38, 0)),
+                                T.StructField("_e_count", T.LongType()), T.StructField("_refold", T.BooleanType())])
+    sum_schema = T.StructType([key_field, T.StructField(BLK, T.LongType())] + T.StructType.fromDDL(_SUMMARY).fields)
+    rounds = 0
+    while True:
+        plan = table.groupBy(key).applyInPandas(_scan(factor, key), plan_schema).checkpoint()
+        todo = plan.filter("_refold")
+        if todo.isEmpty():
+            log.info("amount fold of hot users: settled after %d round(s)", rounds)
+            return plan.drop("_refold"), rounds
+        rounds += 1
+        src = (rows.alias("_r").join(todo.alias("_e"), on_block("_r", "_e", key)).select("_r.*", "_e._e_total", "_e._e_count")
+               .repartition(key, BLK).sortWithinPartitions(key, BLK, order))
+        new = src.mapInArrow(_summaries(factor, key, order, sum_schema), sum_schema).alias("_n")
+        cols = [f.name for f in T.StructType.fromDDL(_SUMMARY).fields]
+        table = (table.alias("_t").join(new, on_block("_t", "_n", key), "left")
+                 .select(f"_t.{key}", f"_t.{BLK}", "_t.n", "_t.s", "_t.lo", "_t.hi",
+                         *[F.when(F.col("_n.f_count").isNotNull(), F.col(f"_n.{c}")).otherwise(F.col(f"_t.{c}")).alias(c) for c in cols])
+                 .checkpoint())
+
+
+def _with_amount(df: DataFrame, blocks: Blocks, factor: float) -> DataFrame:
+    """amount_score added to rows of the blocks (in one pass; hot blocks join their entry states first)."""
     key, order = blocks.key, blocks.order
-    if not blocks.hot:
-        return _fold_sorted(windowed, key, order, factor)
-    whole = _fold_sorted(windowed.filter(F.col(BLK) == 0), key, order, factor)
-    hot = _fold_hot(windowed.filter(F.col(BLK) > 0), key, order, factor, blocks.max_blocks)
-    return whole.unionByName(hot)
+    df = df.withColumn("_u", micro_units("amount"))
+    if blocks.hot:
+        narrow = blocks.df.filter(F.col(BLK) > 0).select(key, BLK, order, micro_units("amount").alias("_u"), "amount")
+        entries, _ = block_entries(narrow, key, order, factor)
+        df = (df.alias("_r").join(entries.alias("_e"), on_block("_r", "_e", key), "left").select("_r.*", "_e._e_total", "_e._e_count")
+              .repartition(key, BLK))
+    schema = T.StructType([f for f in df.schema.fields if f.name not in ("_u", "_e_total", "_e_count")] + [T.StructField("amount_score", T.IntegerType())])
+    return df.sortWithinPartitions(key, BLK, order).mapInArrow(_scores(factor, key, order, blocks.hot), schema)
 
 
 # ------------------------------------------------------------------ public API
 
 def score_all(df: DataFrame, factor: float = AMOUNT_FACTOR, max_gap: int = VELOCITY_MAX_GAP,
-              key: str = "user_id", order: str = "seq", rows_per_block: int | None = None) -> DataFrame:
+              key: str = "user_id", order: str = "seq", rows_per_block: int | None = None, hot: HotKeys | None = None) -> DataFrame:
     """All three detectors in one pass over rows partitioned by user.
 
-    Adds ``amount_score``, ``velocity_score``, ``location_score`` (int 0/1).
+    Adds ``amount_score``, ``velocity_score``, ``location_score`` (int 0/1). ``hot`` are
+    the hot keys if they are known (``sequence.hot_keys``).
     """
-    blocks = cut_blocks(df, key, order, rows_per_block)
+    blocks = cut_blocks(df, key, order, rows_per_block, hot)
     w = _windowed(blocks).select(
         "*", velocity_score(blocks, max_gap).alias("velocity_score"), location_score(blocks).alias("location_score"))
-    out = _with_amount(_drop_helpers(w), blocks, factor)
-    return out.drop(BLK)
+    return _with_amount(_drop_helpers(w), blocks, factor).drop(BLK)
 
 
 def detect_amount(df: DataFrame, factor: float = AMOUNT_FACTOR, key: str = "user_id", order: str = "seq",
                   rows_per_block: int | None = None) -> DataFrame:
     """Amount detector alone: adds ``fraud_score``."""
     blocks = cut_blocks(df, key, order, rows_per_block)
-    part = blocks.df.repartition(key, BLK)
-    out = _with_amount(part, blocks, factor)
+    out = _with_amount(blocks.df.repartition(key, BLK), blocks, factor)
     return out.drop(BLK).withColumnRenamed("amount_score", "fraud_score")
 
 
+def _one(df: DataFrame, blocks: Blocks, score: Column) -> DataFrame:
+    return _drop_helpers(df.select("*", score.alias("fraud_score"))).drop(BLK)
+
+
 def detect_velocity(df: DataFrame, max_gap: int = VELOCITY_MAX_GAP, key: str = "user_id", order: str = "seq",
                     rows_per_block: int | None = None) -> DataFrame:
     blocks = cut_blocks(df, key, order, rows_per_block)
-    out = _windowed(blocks).select("*", velocity_score(blocks, max_gap).alias("fraud_score"))
-    return _drop_helpers(out).drop(BLK)
+    return _one(_windowed(blocks), blocks, velocity_score(blocks, max_gap))
 
 
 def detect_location(df: DataFrame, key: str = "user_id", order: str = "seq",
                     rows_per_block: int | None = None) -> DataFrame:
     blocks = cut_blocks(df, key, order, rows_per_block)
-    out = _windowed(blocks).select("*", location_score(blocks).alias("fraud_score"))
-    return _drop_helpers(out).drop(BLK)
+    return _one(_windowed(blocks), blocks, location_score(blocks))
 
 
 def detect_location_prev(df: DataFrame, key: str = "user_id", order: str = "seq",
                          rows_per_block: int | None = None) -> DataFrame:
     blocks = cut_blocks(df, key, order, rows_per_block)
-    out = _windowed(blocks).select("*", location_prev_score(blocks).alias("fraud_score"))
-    return _drop_helpers(out).drop(BLK)
+    return _one(_windowed(blocks), blocks, location_prev_score(blocks))
 
 
 def detect_amount_all(df: DataFrame, factor: float = AMOUNT_FACTOR, key: str = "user_id", order: str = "seq",
                       rows_per_block: int | None = None) -> DataFrame:
-    blocks = cut_blocks(df, key, order, rows_per_block)
-    out = _windowed(blocks).select("*", amount_all_score(blocks, factor).alias("fraud_score"))
-    return _drop_helpers(out).drop(BLK)
+    blocks = cut_blocks(df.withColumn("_exact", F.col("amount").try_cast(EXACT_TYPE)), key, order, rows_per_block)
+    return _one(_windowed(blocks, "_exact"), blocks, amount_all_score(blocks, factor))

@@ -1,7 +1,8 @@
 """DuckDB SQL stating the same results as the registered queries.
 
 Tables are DuckDB views over the same parquet files. The amount fold is a
-recursive CTE over each user's rows numbered in arrival order.
+recursive CTE over each user's rows numbered in arrival order, on whole
+micro-units, so that its totals are exact.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ ORDERS_TXN = """SELECT o_orderkey AS seq,
   FROM orders"""
 
 TXN = {"events": EVENTS_TXN, "orders": ORDERS_TXN}
+UNITS = "CAST(CAST(amount AS DECIMAL(38,6)) * 1000000 AS HUGEINT)"
 CANON = "seq, transaction_id, user_id, txn_time, amount, location, transaction_type"
 
 
@@ -36,9 +38,10 @@ def scores_ctes(table: str = "events", factor: float = 3.0, max_gap: int = 20, s
     `source` replaces the table's adapter SQL; `p` prefixes the CTE names.
     """
     src = source or TXN[table]
+    num, den = factor.as_integer_ratio()
     return f"""RECURSIVE {p}t AS ({src}),
 {p}w AS (
-  SELECT *,
+  SELECT *, {UNITS} AS units,
          row_number() OVER (PARTITION BY user_id ORDER BY seq) AS rn,
          lag(txn_time) OVER (PARTITION BY user_id ORDER BY seq) AS prev_time,
          lag(location) OVER (PARTITION BY user_id ORDER BY seq) AS prev_loc,
@@ -46,13 +49,13 @@ def scores_ctes(table: str = "events", factor: float = 3.0, max_gap: int = 20, s
                                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS first_loc
     FROM {p}t),
 {p}r AS (
-  SELECT user_id, rn, seq, 0 AS amount_score, amount AS total, 1 AS cnt FROM {p}w WHERE rn = 1
+  SELECT user_id, rn, seq, 0 AS amount_score, units AS total, CAST(1 AS HUGEINT) AS cnt FROM {p}w WHERE rn = 1
   UNION ALL
   SELECT w.user_id, w.rn, w.seq,
-         CASE WHEN w.amount >= (r.total / r.cnt) * {factor} THEN 1 ELSE 0 END,
-         CASE WHEN w.amount >= (r.total / r.cnt) * {factor} THEN r.total ELSE r.total + w.amount END,
-         CASE WHEN w.amount >= (r.total / r.cnt) * {factor} THEN r.cnt ELSE r.cnt + 1 END
-    FROM {p}r r JOIN {p}w w ON w.user_id = r.user_id AND w.rn = r.rn + 1),
+         CASE WHEN w.units * r.cnt * {den} >= r.total * {num} THEN 1 ELSE 0 END,
+         CASE WHEN w.units * r.cnt * {den} >= r.total * {num} THEN r.total ELSE r.total + w.units END,
+         CASE WHEN w.units * r.cnt * {den} >= r.total * {num} THEN r.cnt ELSE r.cnt + 1 END
+    FROM {p}r r JOIN {p}w w ON w.user_id IS NOT DISTINCT FROM r.user_id AND w.rn = r.rn + 1),
 {p}s AS (
   SELECT w.seq, w.transaction_id, w.user_id, w.txn_time, w.amount, w.location, w.transaction_type,
          CAST(r.amount_score AS INTEGER) AS amount_score,
@@ -81,15 +84,16 @@ SELECT {CANON},
 
 
 def detect_amount_all_sql(table: str = "events", factor: float = 3.0) -> str:
+    num, den = factor.as_integer_ratio()
     return f"""WITH t AS ({TXN[table]}),
 a AS (
   SELECT *,
          row_number() OVER (PARTITION BY user_id ORDER BY seq) AS rn,
-         sum(amount) OVER (PARTITION BY user_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS tot,
+         sum({UNITS}) OVER (PARTITION BY user_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS tot,
          count(amount) OVER (PARTITION BY user_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS cnt
     FROM t)
 SELECT {CANON},
-       CAST(CASE WHEN rn = 1 OR cnt = 0 THEN 0 WHEN amount >= (tot / cnt) * {factor} THEN 1 ELSE 0 END AS INTEGER)
+       CAST(CASE WHEN rn = 1 OR cnt = 0 THEN 0 WHEN {UNITS} * cnt * {den} >= tot * {num} THEN 1 ELSE 0 END AS INTEGER)
          AS fraud_score
   FROM a"""
 

@@ -3,15 +3,17 @@
 One value state per user holds everything the three detectors carry between
 micro-batches: the amount fold (total, count of unflagged amounts), the last
 transaction time and the first location. Rows of a user within a micro-batch
-are ordered by ``seq`` before the fold; across micro-batches the source order
-is the arrival order. The rows of one user in one micro-batch are held
-together, so the micro-batch size (``maxOffsetsPerTrigger`` /
-``maxFilesPerTrigger``) bounds that memory.
+are taken in ``seq`` order (within the source partition, for Kafka); across
+micro-batches the source order is the arrival order. The chunks of one user in one micro-batch are
+held, not copied, until their order is known, so the micro-batch size
+(``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``, both set by default) bounds that memory.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 import pandas as pd
@@ -19,11 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from ..operators.amount import MICRO, fold, ratio
 from ..operators.detectors import AMOUNT_FACTOR, VELOCITY_MAX_GAP
 from ..schema import CANONICAL
 
 STATE_SCHEMA = T.StructType([
-    T.StructField("total", T.DoubleType()),
+    T.StructField("total", T.DecimalType(38, 0)),  # micro-units
     T.StructField("cnt", T.LongType()),
     T.StructField("last_time", T.LongType()),
     T.StructField("first_loc", T.StringType()),
@@ -39,6 +42,9 @@ INPUT_SCHEMA = T.StructType([
     T.StructField("transaction_type", T.StringType()),
 ])
 
+#: Arrival order: a Kafka record's partition comes before its offset.
+ORDER_COLUMNS = ["partition", "seq"]
+
 _INPUT_NAMES = [f.name for f in INPUT_SCHEMA.fields]
 
 WIDE_SCHEMA = T.StructType(INPUT_SCHEMA.fields + [
@@ -48,50 +54,49 @@ WIDE_SCHEMA = T.StructType(INPUT_SCHEMA.fields + [
 ])
 
 
-def _none(v):
-    return None if v is None or (isinstance(v, float) and v != v) else v
-
-
-def fold_user(parts: list, stored, factor: float, max_gap: int):
-    """Score one user's rows of a micro-batch from the stored state; return rows and new state."""
-    pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-    if not pdf["seq"].is_monotonic_increasing:
-        pdf = pdf.sort_values("seq", kind="stable")
-    if stored is not None:
-        total, cnt, last_time, first_loc = stored
-        started = True
-    else:
-        total, cnt, last_time, first_loc, started = 0.0, 0, None, None, False
-    amts = pdf["amount"].tolist()
-    times = pdf["txn_time"].tolist()
-    locs = pdf["location"].tolist()
-    n = len(amts)
-    sa, sv, sl = [0] * n, [0] * n, [0] * n
-    for i in range(n):
-        a, t, loc = _none(amts[i]), _none(times[i]), _none(locs[i])
-        if not started:
-            started, first_loc, last_time = True, loc, t
-            if a is not None:
-                total, cnt = float(a), 1
-            continue
-        if a is not None:
-            if cnt == 0:
-                total, cnt = float(a), 1
-            elif a >= (total / cnt) * factor:
-                sa[i] = 1
-            else:
-                total += a
-                cnt += 1
-        if t is not None and last_time is not None and t - last_time <= max_gap:
-            sv[i] = 1
+def _list(column: pd.Series) -> list:
+    return [None if v is None or v != v else v for v in column.tolist()]
+
+
+def _units(amount: float | None) -> int | None:
+    """Micro-units of an amount, half up on its shortest decimal form as Spark's cast does; None for none."""
+    if amount is None or not math.isfinite(amount):
+        return None
+    return int((Decimal(repr(float(amount))) * MICRO).to_integral_value(ROUND_HALF_UP))
+
+
+def fold_user(chunks: list[pd.DataFrame], stored, factor: float, max_gap: int):
+    """Score one user's chunks of a micro-batch from the stored state; yields the scored chunks, returns the new state.
+
+    The order is found over the chunks' order columns alone; payload columns stay where they are.
+    """
+    order = [c for c in ORDER_COLUMNS if c in chunks[0].columns]
+    sizes = [len(c) for c in chunks]
+    keys = [np.concatenate([c[o].to_numpy() for c in chunks]) for o in order]
+    at = np.lexsort(keys[::-1])
+    amounts, times, locs = ([x for c in chunks for x in _list(c[name])] for name in ("amount", "txn_time", "location"))
+    total, cnt, last_time, first_loc = stored if stored is not None else (Decimal(0), 0, None, None)
+    started = stored is not None
+    scores, total, cnt = fold([_units(amounts[i]) for i in at], int(total), int(cnt), ratio(factor))
+    n = len(at)
+    sa, sv, sl = (np.zeros(n, np.int32) for _ in range(3))
+    sa[at] = scores
+    for i in at:
+        t, loc = times[i], locs[i]
+        if started:
+            if t is not None and last_time is not None and t - last_time <= max_gap:
+                sv[i] = 1
+            if loc != first_loc:
+                sl[i] = 1
+        else:
+            started, first_loc = True, loc
         last_time = t
-        if loc != first_loc:
-            sl[i] = 1
-    out = pdf[_INPUT_NAMES].copy()
-    out["amount_score"] = np.asarray(sa, dtype=np.int32)
-    out["velocity_score"] = np.asarray(sv, dtype=np.int32)
-    out["location_score"] = np.asarray(sl, dtype=np.int32)
-    return out, (float(total), int(cnt), None if last_time is None else int(last_time), first_loc)
+    out, start = [], 0
+    for chunk, size in zip(chunks, sizes):
+        part = slice(start, start + size)
+        out.append(chunk[_INPUT_NAMES].assign(amount_score=sa[part], velocity_score=sv[part], location_score=sl[part]))
+        start += size
+    return out, (Decimal(total), int(cnt), None if last_time is None else int(last_time), first_loc)
 
 
 class DetectorProcessor(StatefulProcessor):
@@ -109,16 +114,20 @@ class DetectorProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         out, new_state = fold_user(list(rows), self.state.get(), self.factor, self.max_gap)
         self.state.update(new_state)
-        yield out
+        yield from out
 
     def close(self) -> None:
         pass
 
 
+def _source(txns: DataFrame) -> DataFrame:
+    return txns.select(*CANONICAL, *(["partition"] if "partition" in txns.columns else []))
+
+
 def score_with_state(txns: DataFrame, factor: float = AMOUNT_FACTOR, max_gap: int = VELOCITY_MAX_GAP,
                      ttl_ms: int | None = None) -> DataFrame:
     """Score a (streaming or batch) frame of canonical transactions with keyed state."""
-    src = txns.select(*CANONICAL)
+    src = _source(txns)
     if not src.isStreaming:
         # The state store coordinator is started with the streaming query manager.
         _ = src.sparkSession.streams.active
@@ -147,8 +156,8 @@ def score_with_group_state(txns: DataFrame, factor: float = AMOUNT_FACTOR,
         state.update(new_state)
         if ttl_ms:
             state.setTimeoutDuration(int(ttl_ms))
-        yield out
+        yield from out
 
     timeout = "ProcessingTimeTimeout" if ttl_ms else "NoTimeout"
-    return txns.select(*CANONICAL).groupBy("user_id").applyInPandasWithState(
+    return _source(txns).groupBy("user_id").applyInPandasWithState(
         fn, WIDE_SCHEMA, STATE_SCHEMA, "append", timeout)
