@@ -26,7 +26,7 @@ def test_three_services(spark, scratch):
                     "--checkpoint", f"{scratch}/ck1", "--trigger", "once"]).awaitTermination()
     for _ in range(2):  # second run: the advanced watermark closes the windows
         app.run(spark, ["aggregate", "--source", f"{scratch}/scored", "--target", f"{scratch}/final",
-                        "--checkpoint", f"{scratch}/ck2", "--window", "tumbling", "--trigger", "once"]).awaitTermination()
+                        "--checkpoint", f"{scratch}/ck2", "--window", "tumbling", "--watermark", "3650 days", "--trigger", "once"]).awaitTermination()
     url = f"jdbc:derby:memory:svc{uuid.uuid4().hex[:8]};create=true"
     app.run(spark, ["load", "--source", f"{scratch}/final", "--target", "fraud_events", "--checkpoint",
                     f"{scratch}/ck3", "--sink", "jdbc", "--jdbc-url", url, "--jdbc-driver", DERBY_DRIVER,

@@ -68,7 +68,7 @@ def test_rollup_stream_event_time_and_dedup(spark, scratch):
         out, ck = f"{scratch}/out{int(dedup)}", f"{scratch}/ck{int(dedup)}"
         # Two runs: the second (no new data) lets the advanced watermark close the windows.
         for _ in range(2):
-            q = (SP.rollup_stream(SP.parse_scored(SP.read_topic(spark, topic)), window="tumbling", dedup=dedup)
+            q = (SP.rollup_stream(SP.parse_scored(SP.read_topic(spark, topic)), window="tumbling", dedup=dedup, watermark="0 seconds")
                  .writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
                  .trigger(availableNow=True).start())
             q.awaitTermination()
@@ -167,7 +167,7 @@ def test_rollup_stream_session(spark, scratch):
         "transaction_type string, detector string, fraud_score int")
     SP.as_records(long, PAYLOAD + ["fraud_score", "detector"]).coalesce(1).write.json(topic)
     for _ in range(2):
-        q = (SP.rollup_stream(SP.parse_scored(SP.read_topic(spark, topic)), window="session", gap_seconds=20)
+        q = (SP.rollup_stream(SP.parse_scored(SP.read_topic(spark, topic)), window="session", gap_seconds=20, watermark="0 seconds")
              .writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
              .trigger(availableNow=True).start())
         q.awaitTermination()

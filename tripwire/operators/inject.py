@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import frac, seconds_of_day_gap, uniform, uniform_int
-from ..schema import CANONICAL, FRAUD
+from ..schema import CANONICAL, FRAUD, FRAUD_TYPES
 from .profile import profile_running
+from .sequence import HotKeys
 
 # The producer's ranges and picking constants.
 AMOUNT_FACTOR_RANGE = (0.8, 1.2)  # normal amount, x average
@@ -27,17 +28,17 @@ NORMAL_TXN_MIN_GAP = 30  # seconds; closer normal transactions are moved
 NORMAL_TXN_MOVE = (30, 1000)  # seconds after the last transaction
 FRAUD_INTERVAL = 1000  # rows per picking block
 FRAUD_COUNT_RANGE = (0, 20)  # frauds per block
-HIGH_VALUE, PROXIMITY, TIME = "High Value Fraud", "Proximity Fraud", "Time Fraud"
-FRAUD_TYPE_ORDER = [HIGH_VALUE, PROXIMITY, TIME]
+HIGH_VALUE, PROXIMITY, TIME = FRAUD_TYPES
+FRAUD_TYPE_ORDER = FRAUD_TYPES
 
 
 def _key() -> Column:
     return F.col("seq").cast("string")
 
 
-def with_history(txns: DataFrame, rows_per_block: int | None = None) -> DataFrame:
+def with_history(txns: DataFrame, rows_per_block: int | None = None, hot: HotKeys | None = None) -> DataFrame:
     """Rows plus the profile just before each (null averages on a user's first row)."""
-    run = profile_running(txns, rows_per_block=rows_per_block)
+    run = profile_running(txns, rows_per_block=rows_per_block, hot=hot)
     return run.select(
         "seq", "transaction_id", "user_id", "txn_time", "amount", "location", "transaction_type",
         F.col("average_amt_before").alias("avg_before"), F.col("last_txn_time_before").alias("last_time"),
@@ -82,34 +83,54 @@ BEHAVIOURS: dict[str, Callable[..., dict[str, Column]]] = {
 }
 
 
+#: Lists of locations up to this length are broadcast.
+BROADCAST_LOCATIONS = 10_000
+
+
+def numbered_locations(locations: DataFrame) -> DataFrame:
+    """lk, loc, idx, m: the distinct locations (case-insensitive) numbered from 0 in order of md5, and how many there are.
+
+    Counted and numbered by the first two hex digits of the md5, so no task sees them all;
+    only the 256 counts are added up in one.
+    """
+    distinct = (locations.filter(F.col("location").isNotNull()).groupBy(F.lower("location").alias("lk")).agg(F.min("location").alias("loc"))
+                .withColumn("h", F.md5("lk")).withColumn("part", F.substring("h", 1, 2)))
+    counts = distinct.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.orderBy("part")
+    offsets = counts.select("part", (F.sum("n").over(upto.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("before"),
+                            F.sum("n").over(upto.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("m"))
+    inside = Window.partitionBy("part").orderBy("h", "lk")
+    return (distinct.join(offsets, "part")
+            .select("lk", "loc", (F.col("before") + F.row_number().over(inside) - 1).alias("idx"), "m"))
+
+
 def with_other_location(df: DataFrame, locations: DataFrame) -> DataFrame:
     """`_other_location`: another location than the user's main one (case-insensitive).
 
-    The distinct locations are numbered in lower-case order; the row takes the
-    entry 1..m-1 places after its main location (repeatable), which never equals
-    it. The numbered list is joined twice; AQE broadcasts it when its measured
-    size is small. No main location, or a single location: null (no move).
+    The distinct locations are numbered in a repeatable order; the row takes the
+    entry 1..m-1 places after its main location, which never equals it. A list of up to
+    BROADCAST_LOCATIONS is broadcast, so rows are not shuffled onto a few locations; a longer
+    one is joined plainly. No main location, or a single location: null (no move).
     """
-    distinct = locations.filter(F.col("location").isNotNull()).groupBy(F.lower("location").alias("lk")).agg(
-        F.min("location").alias("loc"))
-    numbered = distinct.select(
-        "lk", "loc", (F.row_number().over(Window.orderBy("lk")) - 1).alias("idx"),
-        F.count(F.lit(1)).over(Window.partitionBy()).alias("m"))
-    main = numbered.select(F.col("lk").alias("_mlk"), F.col("idx").alias("_midx"), F.col("m").alias("_m"))
+    numbered = numbered_locations(locations).checkpoint()
+    small = F.broadcast if numbered.count() <= BROADCAST_LOCATIONS else (lambda x: x)
+    main = small(numbered.select(F.col("lk").alias("_mlk"), F.col("idx").alias("_midx"), F.col("m").alias("_m")))
     out = df.join(main, F.lower(F.col("main_location")) == F.col("_mlk"), "left")
     shift = F.lit(1) + F.floor(frac(_key(), "loc_pick") * (F.col("_m") - 1))
     out = out.withColumn("_oidx", F.when(F.col("_m") >= 2, F.pmod(F.col("_midx") + shift, F.col("_m"))))
-    other = numbered.select(F.col("idx").alias("_oidx2"), F.col("loc").alias("_other_location"))
+    other = small(numbered.select(F.col("idx").alias("_oidx2"), F.col("loc").alias("_other_location")))
     out = out.join(other, out["_oidx"] == other["_oidx2"], "left")
     return out.drop("_mlk", "_midx", "_m", "_oidx", "_oidx2")
 
 
-# Fixed value: a prime above the number of positions (0..FRAUD_INTERVAL) per block.
-PERM_PRIME = 1009
+def _prime_from(n: int) -> int:
+    """Smallest prime of n or more."""
+    while n < 2 or any(n % d == 0 for d in range(2, int(n ** 0.5) + 1)):
+        n += 1
+    return n
 
 
-def _pick_coefficients(block: Column) -> tuple[Column, Column]:
-    p = PERM_PRIME
+def _pick_coefficients(block: Column, p: int) -> tuple[Column, Column]:
     return (F.lit(1) + F.floor(frac(block, "perm_a") * F.lit(p - 1))).cast("long"), \
         F.floor(frac(block, "perm_b") * F.lit(p)).cast("long")
 
@@ -117,16 +138,18 @@ def _pick_coefficients(block: Column) -> tuple[Column, Column]:
 def pick_position(a: Column, b: Column, pos: Column, interval: int = FRAUD_INTERVAL) -> Column:
     """Rank of `pos` in a repeatable random order of the positions 0..interval of a block.
 
-    x -> (a*x + b) mod p is a bijection of 0..p-1 (p prime, a != 0); walking
-    the cycle until the value falls in 0..interval (at most p - interval - 1
+    x -> (a*x + b) mod p is a bijection of 0..p-1 (p the first prime above the interval, a != 0);
+    walking the cycle until the value falls in 0..interval (at most p - interval - 1
     more steps) makes it a bijection of 0..interval. A row expression: no join,
     window or shuffle.
     """
-    p = PERM_PRIME
+    p = _prime_from(interval + 1)
 
     def f(x: Column) -> Column:
         return F.pmod(a * x + b, F.lit(p))
 
+    if p == interval + 1:
+        return f(pos)
     walk = F.sequence(F.lit(1), F.lit(p - interval - 1))
     return F.aggregate(walk, f(pos), lambda acc, _: F.when(acc <= F.lit(interval), acc).otherwise(f(acc)))
 
@@ -141,7 +164,7 @@ def pick_flags(txns: DataFrame, interval: int = FRAUD_INTERVAL) -> DataFrame:
     block = F.expr(f"seq div {int(interval)}")
     pos = F.pmod(F.col("seq"), F.lit(int(interval)))
     out = txns.select("*", block.alias("block"), pos.alias("pos"))
-    pa, pb = _pick_coefficients(F.col("block"))
+    pa, pb = _pick_coefficients(F.col("block"), _prime_from(interval + 1))
     out = out.select("*", uniform_int(lo, hi, F.col("block"), "count").alias("n"), pa.alias("_pa"), pb.alias("_pb"))
     rank = pick_position(F.col("_pa"), F.col("_pb"), F.col("pos"), interval)
     return out.select("*", (rank < F.col("n")).alias("picked")).drop("_pa", "_pb")
@@ -188,14 +211,14 @@ def apply_behaviour(txns: DataFrame, name: str, rows_per_block: int | None = Non
     return out.select("seq", "amount", "txn_time", "location")
 
 
-def inject_all(txns: DataFrame, rows_per_block: int | None = None) -> DataFrame:
+def inject_all(txns: DataFrame, rows_per_block: int | None = None, hot: HotKeys | None = None) -> DataFrame:
     """Chosen rows get normal behaviour, then their fraud behaviours in order; labelled Fraud.
 
     A user's first row is never altered. The last time-setting behaviour in the
     drawn order sets the time (else the normal spacing move). Output: canonical
     columns plus ``fraud_types`` (comma-separated, in order; null when untouched).
     """
-    h = with_history(txns, rows_per_block)
+    h = with_history(txns, rows_per_block, hot)
     h = with_other_location(h, txns.select("location"))
     h = pick_flags(h)
     h = h.select("*", F.when(F.col("picked") & ~F.col("is_first"), fraud_types_col()).alias("fraud_types"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sequence import BLK, cut_blocks, with_carry
+from .sequence import BLK, HotKeys, cut_blocks, with_carry
 
 TOTAL_TYPE = "decimal(38,6)"
 
@@ -45,14 +45,14 @@ def user_profile(txns: DataFrame, key: str = "user_id", order: str = "seq") -> D
 
 
 def profile_running(txns: DataFrame, key: str = "user_id", order: str = "seq",
-                    rows_per_block: int | None = None) -> DataFrame:
+                    rows_per_block: int | None = None, hot: HotKeys | None = None) -> DataFrame:
     """The profile as it stood after each transaction, and just before it (F2).
 
     ``*_before`` columns are the profile the row was generated from (null for
     the user's first row).
     """
     base = txns.withColumn("_amt", _amt())
-    blocks = cut_blocks(base, key, order, rows_per_block)
+    blocks = cut_blocks(base, key, order, rows_per_block, hot)
     df = with_carry(blocks, ["txn_time", "location"], amount="_amt")
     w = blocks.window()
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -101,14 +101,10 @@ def profile_lookup(ids: DataFrame, profiles: DataFrame, key: str = "user_id") ->
 
 
 def first_transactions(txns: DataFrame, key: str = "user_id", order: str = "seq") -> DataFrame:
-    """Each user's first transaction.
-
-    The per-user minimum combines map-side; the semi join is on (key, order),
-    which is unique per row, so a hot user does not land in one task.
-    """
-    firsts = txns.groupBy(key).agg(F.min(order).alias("_first"))
-    cond = txns[key].eqNullSafe(firsts[key]) & (txns[order] == firsts["_first"])
-    return txns.join(firsts, cond, "left_semi")
+    """Each user's first transaction (F5): one scan and one aggregate that combines map-side."""
+    rest = [c for c in txns.columns if c != key]
+    first = txns.groupBy(key).agg(F.min_by(F.struct(*rest), F.col(order)).alias("_f"))
+    return first.select(key, *[F.col(f"_f.{c}").alias(c) for c in rest]).select(*txns.columns)
 
 
 def sample_users(profiles: DataFrame, n: int, key: str = "user_id", salt: str = "pick") -> DataFrame:
@@ -131,10 +127,14 @@ def profile_deltas(txns: DataFrame, key: str = "user_id", order: str = "seq") ->
 
 def merge_profiles(deltas: DataFrame, key: str = "user_id") -> DataFrame:
     """Merge partial profiles into one row per user (same columns as ``user_profile``; F3 upsert)."""
-    agg = deltas.groupBy(key).agg(
-        F.sum("txn_count").alias("txn_count"), F.sum("total_amt").cast(TOTAL_TYPE).alias("total_amt"),
-        F.min_by("first", F.col("first.seq")).alias("_f"), F.max_by("last", F.col("last.seq")).alias("_l"))
-    return agg.select(
+    return merge_deltas(deltas, key).select(
         key, "txn_count", "total_amt", _avg(F.col("total_amt"), F.col("txn_count")).alias("average_amt"),
-        F.col("_f.txn_time").alias("first_txn_time"), F.col("_f.location").alias("main_location"),
-        F.col("_l.txn_time").alias("last_txn_time"), F.col("_l.location").alias("last_location"))
+        F.col("first.txn_time").alias("first_txn_time"), F.col("first.location").alias("main_location"),
+        F.col("last.txn_time").alias("last_txn_time"), F.col("last.location").alias("last_location"))
+
+
+def merge_deltas(deltas: DataFrame, key: str = "user_id") -> DataFrame:
+    """Partial profiles merged to one per user, still partial: a compacted form of ``deltas``."""
+    return deltas.groupBy(key).agg(
+        F.sum("txn_count").alias("txn_count"), F.sum("total_amt").cast(TOTAL_TYPE).alias("total_amt"),
+        F.min_by("first", F.col("first.seq")).alias("first"), F.max_by("last", F.col("last.seq")).alias("last"))

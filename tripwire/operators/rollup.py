@@ -20,12 +20,11 @@ def scored_long(wide: DataFrame) -> DataFrame:
     return wide.select(*keep, F.expr(f"stack({len(DETECTORS)}, {args}) AS (detector, fraud_score)"))
 
 
-def _rollup(scored: DataFrame, keys: list[str], order: str = "seq", threshold: int = LABEL_THRESHOLD) -> DataFrame:
-    payload = [c for c in PAYLOAD if c not in keys]
-    agg = scored.groupBy(*keys).agg(
-        F.sum("fraud_score").cast("int").alias("fraud_score"),
-        F.max_by(F.struct(*payload), F.col(order)).alias("_base"),
-    )
+def _payload(df: DataFrame, keys: list[str]) -> list[str]:
+    return [c for c in [*PAYLOAD, "extras"] if c not in keys and c in df.columns]
+
+
+def _labelled(agg: DataFrame, keys: list[str], payload: list[str], threshold: int) -> DataFrame:
     return agg.select(
         *keys,
         *[F.col(f"_base.{c}").alias(c) for c in payload if c != "transaction_type"],
@@ -35,26 +34,33 @@ def _rollup(scored: DataFrame, keys: list[str], order: str = "seq", threshold: i
     )
 
 
+def _rollup(scored: DataFrame, keys: list[str], order: str = "seq", threshold: int = LABEL_THRESHOLD, dedup: bool = False) -> DataFrame:
+    payload = _payload(scored, keys)
+    if dedup:  # copies of a (transaction, detector) count once: the largest score of each detector
+        score = sum((F.coalesce(F.max(F.when(F.col("detector") == d, F.col("fraud_score"))), F.lit(0)) for d in DETECTORS), F.lit(0))
+    else:
+        score = F.sum("fraud_score")
+    agg = scored.groupBy(*keys).agg(score.cast("int").alias("fraud_score"),
+                                    F.max_by(F.struct(*payload), F.col(order)).alias("_base"))
+    return _labelled(agg, keys, payload, threshold)
+
+
 def final_scores(scored: DataFrame, dedup: bool = False, threshold: int = LABEL_THRESHOLD) -> DataFrame:
     """Per transaction: summed score, payload of the last delivery, label.
 
-    Both aggregates combine map-side, so a transaction delivered very often is
-    pre-aggregated before the shuffle. ``dedup`` drops redeliveries of the same
-    (transaction, detector) first.
+    One aggregate that combines map-side, so a transaction delivered very often is
+    pre-aggregated before the only shuffle. ``dedup`` counts redeliveries of the same
+    (transaction, detector) once.
     """
-    if dedup:
-        scored = scored.dropDuplicates(["transaction_id", "detector"])
-    return _rollup(scored, ["transaction_id"], threshold=threshold)
+    return _rollup(scored, ["transaction_id"], threshold=threshold, dedup=dedup)
 
 
 def final_scores_tumbling(scored: DataFrame, seconds: int = 1, dedup: bool = False,
                           threshold: int = LABEL_THRESHOLD) -> DataFrame:
     """Tumbling event-time window on ``txn_time`` per transaction."""
-    if dedup:
-        scored = scored.dropDuplicates(["transaction_id", "detector"])
     ts = F.timestamp_seconds("txn_time")
     win = F.window(ts, f"{int(seconds)} seconds")
-    out = _rollup(scored.withColumn("_w", win), ["transaction_id", "_w"], threshold=threshold)
+    out = _rollup(scored.withColumn("_w", win), ["transaction_id", "_w"], threshold=threshold, dedup=dedup)
     return out.select(F.unix_seconds("_w.start").alias("window_start"), *[c for c in out.columns if c != "_w"])
 
 
@@ -67,7 +73,7 @@ def final_scores_session(scored: DataFrame, gap_seconds: int = 1, key: str = "tr
     payload of the latest delivery. A key delivered very often is thus reduced
     before the session merge, which sorts each key's rows in one task.
     """
-    payload = [c for c in PAYLOAD if c not in (key, "txn_time")]
+    payload = _payload(scored, [key, "txn_time"])
     pre = scored.groupBy(key, "txn_time").agg(
         F.sum("fraud_score").alias("fraud_score"),
         F.max_by(F.struct(*payload, F.col("seq")), F.col("seq")).alias("_p"))

@@ -17,6 +17,7 @@ from ..operators import detectors as D
 from ..operators import inject as I
 from ..operators import profile as PR
 from ..operators import rollup as R
+from ..operators.sequence import hot_keys
 from ..schema import CANONICAL
 from ..sources.tables import TRANSACTION_TABLES, read_table, transactions
 from ..streaming import stages as SP
@@ -80,12 +81,40 @@ def filter_null(spark, sf):
 
 
 def parse_rejects(spark, sf):
-    """The reject stream of the same parse, counted."""
+    """What a PERMISSIVE parse rejects (broken text, an amount or time that is no number) and a whole number above 2^53 that it keeps exactly."""
     tx = _ev(spark, sf)
-    raw = tx.select("seq", F.when(F.col("location") == "error", F.lit("{bad")).otherwise(
-        F.to_json(F.struct(*CANONICAL[1:]))).alias("value"))
+    n, good = F.pmod("seq", F.lit(7)), F.to_json(F.struct(*CANONICAL[1:]))
+    fields = ["transaction_id", "user_id", "location", "transaction_type"]
+    raw = tx.select("seq", F.when(n == 1, F.lit("{bad")).when(
+        n == 2, F.to_json(F.struct(*fields, "txn_time", F.lit("abc").alias("amount")))).when(
+        n == 3, F.to_json(F.struct(*fields, "amount", F.lit("12.5").alias("txn_time")))).when(
+        n == 4, F.to_json(F.struct(*fields, "amount", (F.col("txn_time") + (1 << 53)).alias("txn_time")))).otherwise(good).alias("value"))
     parsed = P.parse_transactions(raw, mode="PERMISSIVE", keep=["seq"])
-    return P.rejects(parsed).agg(F.count(F.lit(1)).alias("n_rejects"))
+    kind = F.when(F.col("_corrupt") == "{bad", "text").when(F.col("txn_time").isNull(), "time").otherwise("amount")
+    return (P.rejects(parsed).select("seq", kind.alias("kind"), "txn_time")
+            .unionByName(parsed.filter("_corrupt is null and txn_time > 9007199254740992").select("seq", F.lit("kept").alias("kind"), "txn_time")))
+
+
+def final_rejects(spark, sf):
+    """A PERMISSIVE parse, then the rows whose amount the final table can't hold."""
+    tx = _ev(spark, sf).withColumn("amount", F.when(F.pmod("seq", F.lit(5)) == 0, F.col("amount") + 1e7).otherwise(F.col("amount")))
+    parsed = P.filter_null(P.parse_transactions(SP.as_records(tx, CANONICAL[1:]), mode="PERMISSIVE", keep=["seq"]))
+    return P.final_rejects(parsed).select("seq", "amount")
+
+
+def unknown_fields(spark, sf):
+    """B1, B2: fields the schema does not know go through parse and serialise."""
+    tx = transactions_with(spark, sf, "events", ("props",))
+    raw = tx.select("seq", F.to_json(F.struct(*CANONICAL[1:], F.struct("props").alias("more"))).alias("value"))
+    parsed = P.parse_transactions(raw, keep=["seq"], extras=True)
+    return parsed.select("seq", F.get_json_object(P.as_json(CANONICAL[1:], "extras"), "$.more.props").alias("props"))
+
+
+def add_time(spark, sf):
+    """A time moved by 30 seconds and by 1500 milliseconds."""
+    ts = F.timestamp_seconds("txn_time")
+    return _ev(spark, sf).select("seq", F.unix_millis(S.add_seconds(ts, F.lit(30))).alias("plus_seconds"),
+                                 F.unix_millis(S.add_millis(ts, F.lit(1500))).alias("plus_millis"))
 
 
 def flatten_transaction(spark, sf):
@@ -126,8 +155,8 @@ def round3(spark, sf):
 def location_ci(spark, sf):
     """Each row's location against its user's main location."""
     tx = _ev(spark, sf)
-    prof = PR.user_profile(tx).select("user_id", "main_location")
-    j = tx.join(prof, "user_id")
+    prof = PR.user_profile(tx).select(F.col("user_id").alias("_u"), "main_location")
+    j = tx.join(prof, F.col("user_id").eqNullSafe(F.col("_u")), "left")
     return j.select("seq", "location", "main_location",
                     S.location_eq_ci("location", F.upper("main_location")).alias("same_ci"),
                     S.location_differs("location", F.upper("main_location")).alias("differs_cs"))
@@ -202,6 +231,21 @@ def score_all_hot_user(spark, sf):
     return D.score_all(_ev_hot(spark, sf), rows_per_block=500)
 
 
+def score_all_burst_user(spark, sf):
+    """D1-D4 with a third of the rows on one user whose first row lies far before a burst, and a null user with as many."""
+    tx = _ev(spark, sf)
+    n = F.pmod("seq", F.lit(3))
+    user = F.when(n == 0, F.lit(HOT_USER)).when(n == 1, F.lit(None)).otherwise(F.col("user_id"))
+    first = F.col("seq") < 3
+    return D.score_all(tx.withColumn("user_id", user).withColumn("seq", F.when(first, F.col("seq") - 10**12).otherwise(F.col("seq"))), rows_per_block=400)
+
+
+def score_all_zero_start(spark, sf):
+    """D1-D4 with a hot user whose first amounts are 0, so that all later ones are flagged."""
+    tx = _ev_hot(spark, sf)
+    return D.score_all(tx.withColumn("amount", F.when((F.col("user_id") == HOT_USER) & (F.col("seq") < 6), 0.0).otherwise(F.col("amount"))), rows_per_block=500)
+
+
 # --------------------------------------------------------------------- roll-up
 
 def scored_long(spark, sf):
@@ -228,11 +272,16 @@ def final_scores_dedup(spark, sf):
 
 
 def final_scores_tumbling(spark, sf):
-    return R.final_scores_tumbling(R.scored_long(D.score_all(_ev(spark, sf))), seconds=1)
+    """Error events are delivered again a second later, so their transactions fall in two windows."""
+    long = R.scored_long(D.score_all(_ev(spark, sf)))
+    copies = F.when(F.col("location") == "error", 1).otherwise(0)
+    late = long.withColumn("_late", F.explode(F.sequence(F.lit(0), copies)))
+    return R.final_scores_tumbling(late.withColumn("txn_time", F.col("txn_time") + F.col("_late")).drop("_late"), seconds=1)
 
 
 def final_scores_session(spark, sf):
-    return R.final_scores_session(R.scored_long(D.score_all(_ev(spark, sf))), gap_seconds=1)
+    """Sessions of a user, up to an hour between transactions."""
+    return R.final_scores_session(R.scored_long(D.score_all(_ev(spark, sf))), gap_seconds=3600, key="user_id")
 
 
 def end_to_end(spark, sf):
@@ -288,14 +337,6 @@ def inject_pick_types(spark, sf):
     return I.pick_types(I.pick_rows(_ev(spark, sf)).select("seq"))
 
 
-def inject_normal(spark, sf):
-    return I.apply_behaviour(_ev(spark, sf), "normal")
-
-
-def inject_spacing(spark, sf):
-    return I.apply_behaviour(_or(spark, sf), "spacing")
-
-
 def inject_high_amount(spark, sf):
     return I.apply_behaviour(_ev(spark, sf), I.HIGH_VALUE)
 
@@ -314,8 +355,9 @@ def inject_all(spark, sf):
 
 def inject_backtest(spark, sf):
     """Detectors run on injected rows: per fraud-type list, how many were detected."""
-    inj = I.inject_all(_ev(spark, sf))
-    j = R.total_score(D.score_all(inj))  # fraud_types rides along through the detectors
+    tx = _ev(spark, sf)
+    hot = hot_keys(tx)  # the users stay the same, so they are counted once
+    j = R.total_score(D.score_all(I.inject_all(tx, hot=hot), hot=hot))  # fraud_types rides along through the detectors
     return j.groupBy(F.coalesce("fraud_types", F.lit("none")).alias("fraud_types")).agg(
         F.count(F.lit(1)).alias("n"),
         F.count(F.when(F.col("detected"), 1)).alias("n_detected"),
@@ -344,24 +386,103 @@ def stream_end_to_end(spark, sf, chunks: int = 2):
     return spark.read.parquet(out)
 
 
+def _drain(df: DataFrame, out: str, checkpoint: str, mode: str = "append") -> None:
+    """Run a stream over what its source holds now and write its rows."""
+    (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode(mode)
+     .trigger(availableNow=True).start().awaitTermination())
+
+
 def source_transactions(spark, sf):
     """A1: the transaction topic (events published as JSON-lines records) read by a
     stream (available-now trigger) and parsed; the stream's sink is read back."""
     base = SP.scratch_path(spark, "source_transactions")
-    topic, out = f"{base}/topic", f"{base}/parsed"
-    SP.as_records(_ev(spark, sf), CANONICAL[1:]).write.json(topic)
-    parsed = P.parse_transactions(SP.read_topic(spark, topic), keep=["seq"]).select(*CANONICAL)
-    q = (parsed.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{base}/ck")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    SP.as_records(_ev(spark, sf), CANONICAL[1:]).write.json(f"{base}/topic")
+    _drain(P.parse_transactions(SP.read_topic(spark, f"{base}/topic"), keep=["seq"]).select(*CANONICAL), f"{base}/parsed", f"{base}/ck")
+    return spark.read.parquet(f"{base}/parsed")
 
 
 def sink_scored_json(spark, sf):
-    """A4: the scored records written to the scored topic (JSON lines) and read back."""
+    """A4: the scored records written to the scored topic by the streaming writer, keyed by user, and read back."""
     base = SP.scratch_path(spark, "sink_scored_json")
-    SP.scored_records(D.score_all(_ev(spark, sf))).write.json(base)
-    return SP.parse_scored(spark.read.schema(SP.FILE_RECORD).json(base))
+    SP.as_records(_ev(spark, sf), CANONICAL[1:]).write.json(f"{base}/txn")
+    scored = SP.scored_records(SP.detector_stream(SP.read_topic(spark, f"{base}/txn", max_files_per_trigger=10_000)))
+    SP.write_topic(scored, f"{base}/scored", f"{base}/ck").awaitTermination()
+    return SP.parse_scored(spark.read.schema(SP.FILE_RECORD).json(f"{base}/scored")).drop("extras")
+
+
+def source_scored(spark, sf):
+    """A2: the scored topic read by a stream and parsed."""
+    base = SP.scratch_path(spark, "source_scored")
+    SP.scored_records(D.score_all(_ev(spark, sf))).write.json(f"{base}/topic")
+    _drain(SP.parse_scored(SP.read_topic(spark, f"{base}/topic")), f"{base}/parsed", f"{base}/ck")
+    return spark.read.parquet(f"{base}/parsed").drop("extras")
+
+
+def source_final(spark, sf):
+    """Final records as bytes, read by a stream, decoded and parsed to table columns."""
+    base = SP.scratch_path(spark, "source_final")
+    rows = R.total_score(D.score_all(_ev(spark, sf)))
+    SP.as_records(rows, [*CANONICAL[1:], "fraud_score"]).select("seq", F.encode("value", "UTF-8").alias("value")).write.parquet(f"{base}/topic")
+    raw = spark.readStream.schema("seq long, value binary").parquet(f"{base}/topic")
+    _drain(SP.parse_final(raw.select("seq", P.decode_utf8("value").alias("value"))), f"{base}/parsed", f"{base}/ck")
+    return P.final_projection(spark.read.parquet(f"{base}/parsed"))
+
+
+def processing_windows(spark, sf):
+    """Which one-second window of arrival a record falls in is not repeatable; the sum over a transaction's windows is."""
+    base = SP.scratch_path(spark, "processing_windows")
+    SP.scored_records(D.score_all(_ev(spark, sf))).write.json(f"{base}/topic")
+    rolled = SP.rollup_stream(SP.parse_scored(SP.read_topic(spark, f"{base}/topic")), window="processing")
+    (rolled.writeStream.outputMode("complete").foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(f"{base}/out"))
+     .option("checkpointLocation", f"{base}/ck").trigger(availableNow=True).start().awaitTermination())
+    return spark.read.parquet(f"{base}/out").groupBy("transaction_id").agg(F.sum("fraud_score").alias("fraud_score"))
+
+
+SCORED_FIELDS = [*CANONICAL[1:], "fraud_score", "detector"]
+
+
+def _closing(long: DataFrame) -> DataFrame:
+    """A record so late in event time that it closes all windows."""
+    return long.limit(1).withColumn("transaction_id", F.lit("closing")).withColumn("txn_time", F.lit(4_000_000_000).cast("long"))
+
+
+def stream_rollup_orders(spark, sf):
+    """Orders, half of which come out of time order, rolled up in one-second windows over several micro-batches.
+
+    The watermark allows for the ten years that the orders span, so none is late.
+    """
+    base = SP.scratch_path(spark, "stream_rollup_orders")
+    long = R.scored_long(D.score_all(_or(spark, sf)))
+    SP.as_records(long, SCORED_FIELDS).repartitionByRange(4, "seq").write.json(f"{base}/topic")
+    SP.as_records(_closing(long), SCORED_FIELDS).write.mode("append").json(f"{base}/topic")
+    scored = SP.parse_scored(SP.read_topic(spark, f"{base}/topic", max_files_per_trigger=2))
+    rolled = SP.rollup_stream(scored, window="tumbling", watermark="3650 days")
+    for _ in range(2):  # the second run closes what the last record's time allows
+        _drain(rolled, f"{base}/out", f"{base}/ck")
+    return spark.read.parquet(f"{base}/out").filter("transaction_id != 'closing'").drop("extras")
+
+
+def stream_dedup(spark, sf):
+    """Redeliveries, in other micro-batches than their first delivery, counted once."""
+    base = SP.scratch_path(spark, "stream_dedup")
+    long = R.scored_long(D.score_all(_ev(spark, sf)))
+    for drop in (long, long.filter("location = 'error'"), _closing(long)):
+        SP.as_records(drop, SCORED_FIELDS).write.mode("append").json(f"{base}/topic")
+        scored = SP.parse_scored(SP.read_topic(spark, f"{base}/topic"))
+        rolled = SP.rollup_stream(scored, window="tumbling", watermark="3650 days", dedup=True)
+        _drain(rolled, f"{base}/out", f"{base}/ck")
+    _drain(rolled, f"{base}/out", f"{base}/ck")  # closes what the last record's time allows
+    return spark.read.parquet(f"{base}/out").filter("transaction_id != 'closing'").drop("extras", "window_start")
+
+
+def stream_profiles(spark, sf):
+    """Profiles of the orders kept by a stream in several micro-batches, compacted on the way."""
+    base = SP.scratch_path(spark, "stream_profiles")
+    SP.as_records(_or(spark, sf), CANONICAL[1:]).repartitionByRange(5, "seq").write.json(f"{base}/topic")
+    parsed = P.parse_transactions(SP.read_topic(spark, f"{base}/topic", max_files_per_trigger=1), keep=["seq"])
+    (parsed.writeStream.foreachBatch(SP.profile_delta_writer(f"{base}/profiles", compact_every=2)).option("checkpointLocation", f"{base}/ck")
+     .trigger(availableNow=True).start().awaitTermination())
+    return SP.read_profiles(spark, f"{base}/profiles")
 
 
 def final_projection(spark, sf):
@@ -380,9 +501,11 @@ QUERIES: dict[str, Query] = {
         final_scores_session, end_to_end, end_to_end_orders,
         user_profile, profile_running, profile_upsert, user_count, profile_lookup, first_transactions,
         sample_users,
-        inject_pick_rows, inject_pick_types, inject_normal, inject_spacing, inject_high_amount,
+        inject_pick_rows, inject_pick_types, inject_high_amount,
         inject_location, inject_close_time, inject_all, inject_backtest,
         stream_end_to_end, source_transactions, sink_scored_json, final_projection, score_all_hot_user,
+        score_all_burst_user, score_all_zero_start, final_rejects, unknown_fields, add_time, source_scored, source_final,
+        processing_windows, stream_rollup_orders, stream_dedup, stream_profiles,
     ]
 }
 
@@ -439,7 +562,13 @@ SELECT t.seq, t.transaction_id, t.user_id, t.txn_time, t.amount,
        CASE WHEN o.o_orderstatus <> 'P' THEN t.location END AS location, t.transaction_type
   FROM t JOIN orders o ON o.o_orderkey = t.seq""",
     "filter_null": f"WITH t AS ({_EV}) SELECT * FROM t WHERE location <> 'error'",
-    "parse_rejects": f"WITH t AS ({_EV}) SELECT count(*) AS n_rejects FROM t WHERE location = 'error'",
+    "parse_rejects": f"""WITH t AS ({_EV})
+SELECT seq, CASE seq % 7 WHEN 1 THEN 'text' WHEN 2 THEN 'amount' WHEN 3 THEN 'time' ELSE 'kept' END AS kind,
+       CASE seq % 7 WHEN 2 THEN txn_time WHEN 4 THEN txn_time + 9007199254740992 END AS txn_time
+  FROM t WHERE seq % 7 IN (1, 2, 3, 4)""",
+    "final_rejects": f"WITH t AS ({_EV}) SELECT seq, amount + 1e7 AS amount FROM t WHERE seq % 5 = 0",
+    "unknown_fields": "SELECT event_id AS seq, props FROM events",
+    "add_time": f"WITH t AS ({_EV}) SELECT seq, txn_time * 1000 + 30000 AS plus_seconds, txn_time * 1000 + 1500 AS plus_millis FROM t",
     "flatten_transaction": f"WITH t AS ({_EV}) SELECT transaction_id, user_id, txn_time, amount, location, "
                            "'Normal' AS transaction_type FROM t",
     "quality_rules": f"""WITH t AS ({_EV} UNION ALL {_OR})
@@ -455,7 +584,7 @@ p AS (SELECT user_id, arg_min(location, seq) AS main_location FROM t GROUP BY us
 SELECT t.seq, t.location, p.main_location,
        lower(t.location) = lower(upper(p.main_location)) AS same_ci,
        t.location IS DISTINCT FROM upper(p.main_location) AS differs_cs
-  FROM t JOIN p USING (user_id)""",
+  FROM t LEFT JOIN p ON p.user_id IS NOT DISTINCT FROM t.user_id""",
     "seconds_of_day_gap": f"""WITH t AS ({_OR}),
 a AS (SELECT seq, txn_time - lag(txn_time) OVER (PARTITION BY user_id ORDER BY seq) AS d FROM t)
 SELECT seq, CAST(((d % 86400) + 86400) % 86400 AS BIGINT) AS gap_seconds FROM a""",
@@ -476,7 +605,7 @@ SELECT seq, CAST(((d % 86400) + 86400) % 86400 AS BIGINT) AS gap_seconds FROM a"
     "final_scores_redelivered": O.final_scores_redelivered_sql(dedup=False),
     "final_scores_dedup": O.final_scores_redelivered_sql(dedup=True),
     "final_scores_tumbling": O.final_scores_tumbling_sql(),
-    "final_scores_session": O.final_scores_session_sql(1),
+    "final_scores_session": O.final_scores_session_sql(3600),
     "end_to_end": O.end_to_end_sql(),
     "end_to_end_orders": O.end_to_end_sql("orders"),
     "stream_end_to_end": O.end_to_end_sql(),
@@ -484,6 +613,21 @@ SELECT seq, CAST(((d % 86400) + 86400) % 86400 AS BIGINT) AS gap_seconds FROM a"
     "score_all_hot_user": O.score_all_sql(source=f"""SELECT seq, transaction_id,
        CASE WHEN seq % 3 = 0 THEN 'user-hot' ELSE user_id END AS user_id,
        txn_time, amount, location, transaction_type FROM ({_EV})"""),
+    "score_all_burst_user": O.score_all_sql(source=f"""SELECT CASE WHEN seq < 3 THEN seq - 1000000000000 ELSE seq END AS seq, transaction_id,
+       CASE seq % 3 WHEN 0 THEN 'user-hot' WHEN 1 THEN NULL ELSE user_id END AS user_id,
+       txn_time, amount, location, transaction_type FROM ({_EV})"""),
+    "score_all_zero_start": O.score_all_sql(source=f"""SELECT seq, transaction_id,
+       CASE WHEN seq % 3 = 0 THEN 'user-hot' ELSE user_id END AS user_id, txn_time,
+       CASE WHEN seq % 3 = 0 AND seq < 6 THEN 0 ELSE amount END AS amount, location, transaction_type FROM ({_EV})"""),
+    "source_scored": O.scored_long_sql(),
+    "source_final": O.end_to_end_sql(),
+    "processing_windows": f"""WITH {O.scores_ctes()}
+SELECT transaction_id, CAST(amount_score + velocity_score + location_score AS BIGINT) AS fraud_score FROM s""",
+    "stream_rollup_orders": f"""WITH {O.scores_ctes('orders')}, l AS (
+{O.scored_long_body()})
+{O._rollup_select('(SELECT *, txn_time AS window_start FROM l)', keys='transaction_id, window_start')}""",
+    "stream_dedup": O.final_scores_redelivered_sql(dedup=True),
+    "stream_profiles": _profile_sql(_OR),
     "sink_scored_json": O.scored_long_sql(),
     "final_projection": f"""WITH {O.scores_ctes('events')}, l AS (
 {O.scored_long_body()}),
@@ -508,13 +652,11 @@ SELECT * EXCLUDE (h) FROM (SELECT *, md5(user_id || 'pick') AS h FROM p) ORDER B
 
 
 def _inject_oracles() -> dict[str, str]:
-    ev, od = _EV, _OR
+    ev = _EV
     backtest_src = "SELECT seq, transaction_id, user_id, txn_time, amount, location, transaction_type FROM inj"
     return {
         "inject_pick_rows": f"WITH t AS ({ev}),\n{OI.picked_sql()}\nSELECT seq, block, pos, n FROM picked",
         "inject_pick_types": f"WITH t AS ({ev}),\n{OI.picked_sql()},\n{OI.types_sql()}\nSELECT * FROM types",
-        "inject_normal": OI.behaviour_sql(ev, "normal"),
-        "inject_spacing": OI.behaviour_sql(od, "spacing"),
         "inject_high_amount": OI.behaviour_sql(ev, I.HIGH_VALUE),
         "inject_location": OI.behaviour_sql(ev, I.PROXIMITY),
         "inject_close_time": OI.behaviour_sql(ev, I.TIME),

@@ -134,23 +134,28 @@ l2 AS (SELECT * FROM l UNION ALL SELECT * FROM l WHERE {REDELIVER_WHERE})
 
 
 def final_scores_tumbling_sql() -> str:
-    src = "(SELECT *, txn_time AS window_start FROM l)"
-    return (f"WITH {scores_ctes('events')}, l AS (\n{scored_long_body()})\n"
-            + _rollup_select(src, keys="transaction_id, window_start"))
+    """One-second windows; error events come a second time one second later, which is another window."""
+    return f"""WITH {scores_ctes('events')}, l AS (
+{scored_long_body()}),
+l2 AS (SELECT * FROM l UNION ALL SELECT * REPLACE (txn_time + 1 AS txn_time) FROM l WHERE {REDELIVER_WHERE})
+{_rollup_select('(SELECT *, txn_time AS window_start FROM l2)', keys='transaction_id, window_start')}"""
 
 
-def final_scores_session_sql(gap: int = 1) -> str:
-    # Sessions per transaction on txn_time; a row opens a new session when it is
-    # more than `gap` seconds after the previous one (equal joins).
+def final_scores_session_sql(gap: int, key: str = "user_id") -> str:
+    """Sessions per key on txn_time: a row more than `gap` seconds after the previous one opens another."""
+    payload = [c for c in ("transaction_id", "user_id", "amount", "location") if c != key]
     return f"""WITH {scores_ctes('events')}, l AS (
 {scored_long_body()}),
-g AS (SELECT *, CASE WHEN txn_time - lag(txn_time) OVER (PARTITION BY transaction_id ORDER BY txn_time) <= {gap}
+g AS (SELECT *, CASE WHEN txn_time - lag(txn_time) OVER (PARTITION BY {key} ORDER BY txn_time) <= {gap}
                      THEN 0 ELSE 1 END AS brk FROM l),
-n AS (SELECT *, sum(brk) OVER (PARTITION BY transaction_id ORDER BY txn_time, seq, detector
+n AS (SELECT *, sum(brk) OVER (PARTITION BY {key} ORDER BY txn_time, seq, detector
                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM g),
-m AS (SELECT *, min(txn_time) OVER (PARTITION BY transaction_id, sid) AS session_start,
-                max(txn_time) OVER (PARTITION BY transaction_id, sid) + {gap} AS session_end FROM n)
-{_rollup_select('m', keys='transaction_id, session_start, session_end')}"""
+m AS (SELECT *, min(txn_time) OVER (PARTITION BY {key}, sid) AS session_start,
+                max(txn_time) OVER (PARTITION BY {key}, sid) + {gap} AS session_end FROM n)
+SELECT {key}, session_start, session_end, {', '.join(f'arg_max({c}, seq) AS {c}' for c in payload)}, arg_max(txn_time, seq) AS txn_time,
+       CASE WHEN sum(fraud_score) >= 2 THEN 'Fraud' ELSE arg_max(transaction_type, seq) END AS transaction_type,
+       CAST(sum(fraud_score) AS INTEGER) AS fraud_score, sum(fraud_score) >= 2 AS detected
+  FROM m GROUP BY {key}, session_start, session_end"""
 
 
 def end_to_end_sql(table: str = "events") -> str:

@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
-from ..operators import inject as I
-
 TWO_32 = "4294967296.0"
 
+# The producer's ranges and picking constants, stated here once more so that
+# the SQL does not depend on the code it checks.
+AMOUNT_FACTOR_RANGE = (0.8, 1.2)
+FRAUD_FACTOR_RANGE = (3.0, 10.0)
+LOCATION_TIME_WINDOW = (1, 600)
+CLOSE_TIME_WINDOW = (1, 20000)
+NORMAL_TXN_MIN_GAP = 30
+NORMAL_TXN_MOVE = (30, 1000)
+FRAUD_INTERVAL = 1000
+FRAUD_COUNT_RANGE = (0, 20)
+PERM_PRIME = 1009
+HIGH_VALUE, PROXIMITY, TIME = "High Value Fraud", "Proximity Fraud", "Time Fraud"
+
 
 def frac_sql(key: str, salt: str) -> str:
     return f"(CAST(('0x' || substr(md5(CAST({key} AS VARCHAR) || '{salt}'), 1, 8)) AS BIGINT) / {TWO_32})"
@@ -34,7 +45,7 @@ h AS (
                  lag(txn_time) OVER (PARTITION BY user_id ORDER BY seq) AS last_time
             FROM t
           WINDOW u AS (PARTITION BY user_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))),
-loc AS (SELECT lk, loc, row_number() OVER (ORDER BY lk) - 1 AS idx
+loc AS (SELECT lk, loc, row_number() OVER (ORDER BY md5(lk), lk) - 1 AS idx
           FROM (SELECT lower(location) AS lk, min(location) AS loc FROM t WHERE location IS NOT NULL GROUP BY 1)),
 m AS (SELECT count(*) AS m FROM loc)"""
 
@@ -48,8 +59,8 @@ def other_location_sql() -> str:
     FROM h CROSS JOIN m LEFT JOIN loc ml ON ml.lk = lower(h.main_location))"""
 
 
-def pick_position_sql(block: str, pos: str, interval: int = I.FRAUD_INTERVAL) -> str:
-    p = I.PERM_PRIME
+def pick_position_sql(block: str, pos: str, interval: int = FRAUD_INTERVAL) -> str:
+    p = PERM_PRIME
     a = f"(1 + floor({frac_sql(block, 'perm_a')} * {p - 1}))"
     b = f"floor({frac_sql(block, 'perm_b')} * {p})"
 
@@ -65,9 +76,9 @@ def pick_position_sql(block: str, pos: str, interval: int = I.FRAUD_INTERVAL) ->
     return out
 
 
-def picked_sql(interval: int = I.FRAUD_INTERVAL, src: str = "t") -> str:
+def picked_sql(interval: int = FRAUD_INTERVAL, src: str = "t") -> str:
     """CTE picked: seq, block, pos, n of the chosen rows."""
-    lo, hi = I.FRAUD_COUNT_RANGE
+    lo, hi = FRAUD_COUNT_RANGE
     return f"""bp AS (SELECT seq, seq // {interval} AS block, seq % {interval} AS pos FROM {src}),
 picked AS (SELECT seq, block, pos, n FROM (
   SELECT *, {uniform_int_sql(lo, hi, 'block', 'count')} AS n,
@@ -75,7 +86,7 @@ picked AS (SELECT seq, block, pos, n FROM (
 
 
 def types_sql(src: str = "picked") -> str:
-    names = ", ".join(f"('{t}')" for t in I.FRAUD_TYPE_ORDER)
+    names = ", ".join(f"('{t}')" for t in (HIGH_VALUE, PROXIMITY, TIME))
     return f"""ty AS (SELECT p.seq, x.t, {uniform_int_sql(1, 3, 'p.seq', 'k')} AS k,
                   row_number() OVER (PARTITION BY p.seq ORDER BY md5(CAST(p.seq AS VARCHAR) || x.t)) AS r
              FROM {src} p CROSS JOIN (VALUES {names}) x(t)),
@@ -88,38 +99,38 @@ def _gap() -> str:
 
 def _ts(kind: str) -> str:
     if kind == "spacing":
-        lo, hi = I.NORMAL_TXN_MOVE
+        lo, hi = NORMAL_TXN_MOVE
         return f"(last_time * 1000 + {uniform_int_sql(lo, hi, 'seq', 'spacing')} * 1000)"
-    if kind == I.PROXIMITY:
-        lo, hi = I.LOCATION_TIME_WINDOW
+    if kind == PROXIMITY:
+        lo, hi = LOCATION_TIME_WINDOW
         return f"(last_time * 1000 + {uniform_int_sql(lo, hi, 'seq', 'loc_time')} * 1000)"
-    lo, hi = I.CLOSE_TIME_WINDOW
+    lo, hi = CLOSE_TIME_WINDOW
     return f"(last_time * 1000 + {uniform_int_sql(lo, hi, 'seq', 'close')})"
 
 
 def _amount(kind: str) -> str:
-    lo, hi = I.AMOUNT_FACTOR_RANGE if kind == "normal" else I.FRAUD_FACTOR_RANGE
+    lo, hi = AMOUNT_FACTOR_RANGE if kind == "normal" else FRAUD_FACTOR_RANGE
     return f"(avg_before * {uniform_sql(lo, hi, 'seq', 'normal' if kind == 'normal' else 'high')})"
 
 
 def behaviour_sql(txn_sql: str, name: str) -> str:
     ctes = history_sql(txn_sql)
     src = "h"
-    if name == I.PROXIMITY:
+    if name == PROXIMITY:
         ctes += ",\n" + other_location_sql()
         src = "ho"
     amount, ts, loc = "amount", "NULL", "location"
     if name == "normal":
         amount = _amount("normal")
     elif name == "spacing":
-        ts = f"CASE WHEN {_gap()} <= {I.NORMAL_TXN_MIN_GAP} THEN {_ts('spacing')} END"
-    elif name == I.HIGH_VALUE:
+        ts = f"CASE WHEN {_gap()} <= {NORMAL_TXN_MIN_GAP} THEN {_ts('spacing')} END"
+    elif name == HIGH_VALUE:
         amount = _amount("high")
-    elif name == I.PROXIMITY:
+    elif name == PROXIMITY:
         loc = "coalesce(other_location, location)"
-        ts = _ts(I.PROXIMITY)
+        ts = _ts(PROXIMITY)
     else:
-        ts = _ts(I.TIME)
+        ts = _ts(TIME)
     return f"""WITH {ctes}
 SELECT seq,
        CASE WHEN is_first THEN amount ELSE {amount} END AS amount,
@@ -130,7 +141,7 @@ SELECT seq,
 
 def inject_all_ctes(txn_sql: str) -> str:
     """CTEs ending in `inj`: canonical columns plus fraud_types."""
-    P, T = I.PROXIMITY, I.TIME
+    P, T = PROXIMITY, TIME
 
     def pos_ts(i: int) -> str:
         t = f"string_split(fraud_types, ',')[{i}]"
@@ -144,13 +155,13 @@ def inject_all_ctes(txn_sql: str) -> str:
 a AS (SELECT ho.*, types.fraud_types, (types.fraud_types IS NOT NULL AND NOT ho.is_first) AS alter
         FROM ho LEFT JOIN types USING (seq)),
 b AS (SELECT *, CASE WHEN NOT alter THEN NULL {pos_ts(3)} {pos_ts(2)} {pos_ts(1)}
-                     WHEN {_gap()} <= {I.NORMAL_TXN_MIN_GAP} THEN {_ts('spacing')} END AS ts_ms
+                     WHEN {_gap()} <= {NORMAL_TXN_MIN_GAP} THEN {_ts('spacing')} END AS ts_ms
         FROM a),
 inj AS (
   SELECT seq, transaction_id, user_id,
          CASE WHEN ts_ms IS NULL THEN txn_time ELSE ts_ms // 1000 END AS txn_time,
          CASE WHEN NOT alter THEN amount
-              WHEN contains(fraud_types, '{I.HIGH_VALUE}') THEN {_amount('high')}
+              WHEN contains(fraud_types, '{HIGH_VALUE}') THEN {_amount('high')}
               ELSE {_amount('normal')} END AS amount,
          CASE WHEN alter AND contains(fraud_types, '{P}') AND other_location IS NOT NULL THEN other_location
               ELSE location END AS location,

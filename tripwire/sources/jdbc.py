@@ -2,8 +2,9 @@
 
 Rows are written with Spark's JDBC writer in batches of ``batchsize`` rows.
 A streaming query calls :func:`jdbc_batch_writer` from ``foreachBatch``: every
-row carries the micro-batch id, and a replayed micro-batch first deletes the
-rows of its id, so a restart after a failure does not duplicate rows
+row carries the streaming query's id and the micro-batch id, and a replayed
+micro-batch first deletes the rows of its own two ids, so a restart after a failure does
+not duplicate rows and a query with another checkpoint leaves earlier rows alone
 (the delete and the DDL go through a JDBC connection on the driver).
 """
 
@@ -21,7 +22,7 @@ BATCH_SIZE = 100
 TABLE_DDL_COLUMNS = [
     ("transaction_id", "VARCHAR(255)"), ("user_id", "VARCHAR(255)"), ("txn_time", "BIGINT"),
     ("amount", "DECIMAL(10,3)"), ("location", "VARCHAR(255)"), ("transaction_type", "VARCHAR(255)"),
-    ("fraud_score", "INT"), ("batch_id", "BIGINT"),
+    ("fraud_score", "INT"), ("query_id", "VARCHAR(64)"), ("batch_id", "BIGINT"),
 ]
 
 # Auto-numbered key clause per database (the id is given by the database).
@@ -58,31 +59,45 @@ def _execute(spark: SparkSession, url: str, props: dict, statements: list[str],
         conn.close()
 
 
+def table_exists(spark: SparkSession, url: str, table: str, props: dict | None = None) -> bool:
+    try:
+        _execute(spark, url, props or {}, [f"SELECT COUNT(*) FROM {table} WHERE 1 = 0"])
+    except Exception as e:  # noqa: BLE001
+        if "SQL" not in str(e):
+            raise
+        return False
+    return True
+
+
 def create_table(spark: SparkSession, url: str, table: str, props: dict | None = None, drop: bool = True) -> None:
-    """Drop (optionally) and create the final table."""
+    """Create the final table (A8): anew, or only if it is missing with ``drop=False``."""
     props = props or {}
     cols = ", ".join(f"{c} {t}" for c, t in TABLE_DDL_COLUMNS)
     ident = IDENTITY.get(_dialect(url), IDENTITY["postgresql"])
-    stmts = [f"DROP TABLE {table}"] if drop else []
-    _execute(spark, url, props, stmts, ignore_errors=True)
+    if table_exists(spark, url, table, props):
+        if not drop:
+            return
+        _execute(spark, url, props, [f"DROP TABLE {table}"])
     _execute(spark, url, props, [f"CREATE TABLE {table} ({ident}, {cols})"])
 
 
 def write_final(df: DataFrame, url: str, table: str, props: dict | None = None, batch_id: int | None = None,
-                batch_size: int = BATCH_SIZE) -> None:
-    """Append the 7 final columns (plus batch id) in JDBC batches of `batch_size` rows."""
+                batch_size: int = BATCH_SIZE, query_id: str = "batch") -> None:
+    """Append the 7 final columns (plus query and batch id) in JDBC batches of `batch_size` rows."""
     props = dict(props or {})
     props.setdefault("batchsize", str(batch_size))
-    out = df.select(*FINAL_COLUMNS, F.lit(batch_id).cast("long").alias("batch_id"))
+    out = df.select(*FINAL_COLUMNS, F.lit(query_id).alias("query_id"), F.lit(batch_id).cast("long").alias("batch_id"))
     out.write.jdbc(url, table, mode="append", properties=props)
 
 
 def jdbc_batch_writer(url: str, table: str, props: dict | None = None, batch_size: int = BATCH_SIZE):
-    """``foreachBatch`` function: idempotent per micro-batch id; each batch is flushed whole (A10)."""
+    """``foreachBatch`` function: idempotent per query and micro-batch id; each batch is flushed whole (A10)."""
+    from ..streaming.stages import query_id
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        _execute(spark, url, props or {}, [f"DELETE FROM {table} WHERE batch_id = {int(batch_id)}"])
-        write_final(batch, url, table, props, batch_id, batch_size)
+        spark, query = batch.sparkSession, query_id(batch)
+        _execute(spark, url, props or {}, [f"DELETE FROM {table} WHERE query_id = '{query}' AND batch_id = {int(batch_id)}"])
+        write_final(batch, url, table, props, batch_id, batch_size, query)
     return write
 
 

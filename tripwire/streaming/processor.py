@@ -18,6 +18,7 @@ from decimal import ROUND_HALF_UP, Decimal
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -40,6 +41,7 @@ INPUT_SCHEMA = T.StructType([
     T.StructField("amount", T.DoubleType()),
     T.StructField("location", T.StringType()),
     T.StructField("transaction_type", T.StringType()),
+    T.StructField("extras", T.StringType()),  # unknown fields of the record
 ])
 
 #: Arrival order: a Kafka record's partition comes before its offset.
@@ -121,7 +123,8 @@ class DetectorProcessor(StatefulProcessor):
 
 
 def _source(txns: DataFrame) -> DataFrame:
-    return txns.select(*CANONICAL, *(["partition"] if "partition" in txns.columns else []))
+    extras = F.col("extras") if "extras" in txns.columns else F.lit(None).cast("string").alias("extras")
+    return txns.select(*CANONICAL, extras, *(["partition"] if "partition" in txns.columns else []))
 
 
 def score_with_state(txns: DataFrame, factor: float = AMOUNT_FACTOR, max_gap: int = VELOCITY_MAX_GAP,

@@ -19,40 +19,49 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.parse import LABEL_THRESHOLD, filter_null, final_projection, label, parse_transactions
+from ..functions.parse import (LABEL_THRESHOLD, as_json, decode_utf8, filter_null, final_projection, final_rejects, label,
+                               parse_transactions, unknown_fields)
 from ..operators.rollup import scored_long, total_score
-from ..schema import PAYLOAD, SCORED
+from ..schema import DETECTORS, PAYLOAD, SCORED
 from ..session import ensure_checkpoint_dir
 from .processor import score_with_group_state, score_with_state
 
-FILE_RECORD = T.StructType([T.StructField("seq", T.LongType()), T.StructField("value", T.StringType())])
+FILE_RECORD = T.StructType([T.StructField("seq", T.LongType()), T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
 
 # Scored record on the topic: the arrival offset plus the scored transaction.
 SCORED_TEXT = T.StructType([T.StructField("seq", T.LongType())] + SCORED.fields)
 
 
-def kafka_options(bootstrap: str, topic: str, starting: str = "earliest", max_offsets: int | None = 1_000_000) -> dict:
+#: Bounds of a micro-batch (and so of one user's rows that the stateful stage holds): Kafka records, topic files.
+MAX_OFFSETS = 1_000_000
+MAX_FILES = 64
+
+
+def kafka_options(bootstrap: str, topic: str, starting: str = "earliest", max_offsets: int | None = MAX_OFFSETS,
+                  fail_on_data_loss: bool = True) -> dict:
     """Connector options in one place.
 
-    ``max_offsets`` bounds a micro-batch, and with it the rows of one user the
-    stateful stage holds at once (the reference polls 100 records at a time,
-    which is a client setting, not a batch size).
+    ``max_offsets`` bounds a micro-batch (the reference polls 100 records at a time,
+    which is a client setting, not a batch size). Offsets that are gone from the
+    topic stop the query unless ``fail_on_data_loss`` is turned off.
     """
     opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic, "startingOffsets": starting,
-            "failOnDataLoss": "false"}
+            "failOnDataLoss": str(bool(fail_on_data_loss)).lower()}
     if max_offsets:
         opts["maxOffsetsPerTrigger"] = str(max_offsets)
     return opts
 
 
-def read_topic(spark: SparkSession, where: str, fmt: str = "files", max_files_per_trigger: int | None = None,
+def read_topic(spark: SparkSession, where: str, fmt: str = "files", max_files_per_trigger: int | None = MAX_FILES,
                **kafka) -> DataFrame:
-    """A stream of (seq, value) records: a folder of JSON-lines files or a Kafka topic."""
+    """A stream of (seq, value) records: a folder of JSON-lines files or a Kafka topic.
+
+    Kafka records carry their partition too: offsets only order the records of one.
+    """
     if fmt == "kafka":
         raw = spark.readStream.format("kafka").options(**kafka_options(kafka["bootstrap"], where, **{
             k: v for k, v in kafka.items() if k != "bootstrap"})).load()
-        return raw.select(F.col("offset").alias("seq"), F.col("partition"),
-                          F.col("value").cast("string").alias("value"))
+        return raw.select(F.col("offset").alias("seq"), F.col("partition"), decode_utf8("value").alias("value"))
     reader = spark.readStream.schema(FILE_RECORD)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -61,7 +70,7 @@ def read_topic(spark: SparkSession, where: str, fmt: str = "files", max_files_pe
 
 def write_topic(df: DataFrame, where: str, checkpoint: str, fmt: str = "files", trigger: dict | None = None,
                 query_name: str | None = None, **kafka) -> StreamingQuery:
-    """Write (seq, value) records to a folder of JSON files or a Kafka topic."""
+    """Write (seq, key, value) records to a folder of JSON files or a Kafka topic."""
     w = df.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
     if query_name:
         w = w.queryName(query_name)
@@ -73,10 +82,18 @@ def write_topic(df: DataFrame, where: str, checkpoint: str, fmt: str = "files",
     return w.format("json").option("path", where).start()
 
 
-def as_records(df: DataFrame, columns: list[str], seq: str = "seq") -> DataFrame:
-    """Rows to (seq, value) topic records; null fields are kept (B2)."""
-    return df.select(F.col(seq).alias("seq"),
-                     F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("value"))
+def as_records(df: DataFrame, columns: list[str], seq: str = "seq", key: str = "user_id") -> DataFrame:
+    """Rows to (seq, key, value) topic records (B2); null fields are kept, unknown fields of an ``extras`` column go along.
+
+    The key keeps a user's records in one Kafka partition, and so in order.
+    """
+    value = as_json(columns, "extras" if "extras" in df.columns else None)
+    keyed = [F.col(key).cast("string").alias("key")] if key in df.columns else []
+    return df.select(F.col(seq).alias("seq"), *keyed, value.alias("value"))
+
+
+def _arrival(records: DataFrame) -> list[str]:
+    return ["seq"] + [c for c in ["partition"] if c in records.columns]
 
 
 def detector_stream(records: DataFrame, mode: str = "FAILFAST", api: str = "group_state", **params) -> DataFrame:
@@ -84,9 +101,10 @@ def detector_stream(records: DataFrame, mode: str = "FAILFAST", api: str = "grou
 
     ``api="group_state"`` (default, ``applyInPandasWithState``: the state travels
     with the Arrow batches) or ``"transform"`` (``transformWithStateInPandas``,
-    state through the state server; also runs on batch frames).
+    state through the state server; also runs on batch frames). With mode PERMISSIVE the
+    rejects are left out here; ``parse_transactions`` and ``rejects`` give them.
     """
-    parsed = parse_transactions(records, mode=mode, keep=["seq"])
+    parsed = parse_transactions(records, mode=mode, keep=_arrival(records), extras=True)
     if mode.upper() == "PERMISSIVE":
         parsed = filter_null(parsed).drop("_corrupt")
     if api == "transform":
@@ -96,40 +114,56 @@ def detector_stream(records: DataFrame, mode: str = "FAILFAST", api: str = "grou
 
 def scored_records(wide: DataFrame) -> DataFrame:
     """Stage 1 output in the shared-topic form: one record per (transaction, detector)."""
-    long = scored_long(wide)
-    return as_records(long, PAYLOAD + ["fraud_score", "detector"])
+    return as_records(scored_long(wide), PAYLOAD + ["fraud_score", "detector"])
+
+
+def _parsed(records: DataFrame, fields: list[T.StructField]) -> DataFrame:
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in fields])
+    known = [f.name for f in fields]
+    p = records.select(*_arrival(records), F.from_json("value", text, {"mode": "FAILFAST"}).alias("r"), unknown_fields(F.col("value"), known).alias("extras"))
+    return p.select(*_arrival(records), *[F.col(f"r.{f.name}").cast(f.dataType).alias(f.name) for f in fields], "extras")
 
 
 def parse_scored(records: DataFrame) -> DataFrame:
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in SCORED_TEXT.fields if f.name != "seq"])
-    p = records.select("seq", F.from_json("value", text, {"mode": "FAILFAST"}).alias("r"))
-    return p.select("seq", *[F.col(f"r.{f.name}").cast(f.dataType).alias(f.name)
-                             for f in SCORED_TEXT.fields if f.name != "seq"])
+    """Scored records to columns (a bad record stops the job), unknown fields in ``extras``."""
+    return _parsed(records, [f for f in SCORED_TEXT.fields if f.name != "seq"])
+
+
+def parse_final(records: DataFrame) -> DataFrame:
+    """Final records to columns."""
+    return _parsed(records, [f for f in SCORED.fields if f.name != "detector"])
 
 
 def rollup_stream(scored: DataFrame, window: str = "processing", seconds: int = 1, gap_seconds: int = 1,
-                  watermark: str = "0 seconds", dedup: bool = False, threshold: int = LABEL_THRESHOLD) -> DataFrame:
+                  watermark: str | None = None, dedup: bool = False, threshold: int = LABEL_THRESHOLD) -> DataFrame:
     """Stage 2: per transaction and window, sum the scores and label.
 
     ``processing``: tumbling 1 s windows of arrival (processing) time, as the
-    reference; ``tumbling``/``session``: windows of event time ``txn_time``.
-    Append mode: a window is emitted once the watermark passes its end.
+    reference; ``tumbling``/``session``: windows of event time ``txn_time``, for which a
+    ``watermark`` must say how far behind the latest time a record may come (times out of order are
+    usual here). A window is emitted once the watermark passes its end; a record later than that is
+    left out and counted by the query (``late_records``). ``dedup`` counts a
+    (transaction, detector) once per window: the copies meet in the window's state, so a
+    redelivery counts once however many micro-batches later it comes, until the window is emitted.
     """
     if window == "processing":
-        ts = F.current_timestamp()
+        ts, watermark = F.current_timestamp(), watermark or "0 seconds"
+    elif watermark is None:
+        raise ValueError("event-time windows need a watermark, e.g. '1 hour'")
     else:
         ts = F.timestamp_seconds("txn_time")
     s = scored.withColumn("_t", ts).withWatermark("_t", watermark)
-    if dedup:
-        s = s.dropDuplicatesWithinWatermark(["transaction_id", "detector"])
     if window == "session":
         win = F.session_window("_t", f"{int(gap_seconds)} seconds")
     else:
         win = F.window("_t", f"{int(seconds)} seconds")
-    payload = [c for c in PAYLOAD if c != "transaction_id"]
+    payload = [c for c in [*PAYLOAD, "extras"] if c != "transaction_id" and c in scored.columns]
+    if dedup:
+        score = sum((F.coalesce(F.max(F.when(F.col("detector") == d, F.col("fraud_score"))), F.lit(0)) for d in DETECTORS), F.lit(0))
+    else:
+        score = F.sum("fraud_score")
     agg = s.groupBy(win.alias("_w"), "transaction_id").agg(
-        F.sum("fraud_score").cast("int").alias("fraud_score"),
-        F.max_by(F.struct(*payload), F.col("seq")).alias("_base"))
+        score.cast("int").alias("fraud_score"), F.max_by(F.struct(*payload), F.col("seq")).alias("_base"))
     return agg.select(
         F.unix_seconds("_w.start").alias("window_start"), "transaction_id",
         *[F.col(f"_base.{c}").alias(c) for c in payload if c != "transaction_type"],
@@ -137,11 +171,37 @@ def rollup_stream(scored: DataFrame, window: str = "processing", seconds: int =
         "fraud_score", (F.col("fraud_score") >= threshold).alias("detected"))
 
 
-def final_stream(wide: DataFrame, threshold: int = LABEL_THRESHOLD, safe: bool = True) -> DataFrame:
-    """Stages 1-2 in one query (E8): the three scores summed in the row, 7 table columns."""
+def late_records(query: StreamingQuery) -> int:
+    """Records that came after their window was emitted, over the micro-batches that the query still reports."""
+    return sum(int(op.numRowsDroppedByWatermark) for p in query.recentProgress for op in p.stateOperators)
+
+
+def final_stream(wide: DataFrame, threshold: int = LABEL_THRESHOLD, safe: bool = False) -> DataFrame:
+    """Stages 1-2 in one query (E8): the three scores summed in the row, 7 table columns.
+
+    An amount that the table can't hold stops the query, or with ``safe`` its row is left
+    to ``final_rejects`` (see ``split_writer``).
+    """
     return final_projection(total_score(wide, threshold), safe=safe)
 
 
+def split_writer(write_rows, rejects_path: str):
+    """``foreachBatch`` function over rows with a score: table rows to ``write_rows(batch, batch_id)``, oversize ones as JSON under ``rejects_path``."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            final_rejects(batch).write.mode("overwrite").json(f"{rejects_path.rstrip('/')}/query={query_id(batch)}/batch={int(batch_id)}")
+            write_rows(final_projection(batch, safe=True), batch_id)
+        finally:
+            batch.unpersist()
+    return write
+
+
+def query_id(batch: DataFrame) -> str:
+    """Id of the streaming query that runs a ``foreachBatch`` function: the same after restarts from its checkpoint, another for any other."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
@@ -154,13 +214,50 @@ def with_progress_count(df: DataFrame, name: str = "messages") -> DataFrame:
     return df.observe(name, F.count(F.lit(1)).alias("n"))
 
 
-def profile_delta_writer(path: str, key: str = "user_id"):
-    """``foreachBatch`` function: append each micro-batch's per-user profile delta
-    under ``batch_id=<id>``; a replayed batch overwrites its own partition, so
-    the folder holds each batch once. ``merge_profiles(spark.read.parquet(path))``
-    is the current profile of every user (F1, F3 on streams)."""
-    from ..operators.profile import profile_deltas
+def profile_delta_writer(path: str, key: str = "user_id", compact_every: int = 100):
+    """``foreachBatch`` function: keeps the profile of every user under ``path`` (F1, F3 on streams).
+
+    Each micro-batch's per-user delta is written under its query's id and its batch id, so a
+    replayed batch overwrites its own and another query's are left alone. Every
+    ``compact_every`` batches the deltas since the last snapshot are merged with it by user into a
+    new snapshot, so a reader merges few files however long the query runs.
+    """
+    from ..operators.profile import merge_deltas, profile_deltas
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        profile_deltas(batch, key).write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
+        base = f"{path.rstrip('/')}/query={query_id(batch)}"
+        profile_deltas(batch, key).write.mode("overwrite").parquet(f"{base}/deltas/batch={int(batch_id)}")
+        if (batch_id + 1) % compact_every == 0:
+            spark = batch.sparkSession
+            parts = _profile_parts(spark, base, before=batch_id + 1)
+            merge_deltas(spark.read.parquet(*parts), key).write.mode("overwrite").parquet(f"{base}/snapshots/upto={int(batch_id)}")
     return write
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the complete folders in a folder of any Hadoop file system."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(p)]
+
+
+def _profile_parts(spark: SparkSession, base: str, before: int | None = None) -> list[str]:
+    """Latest snapshot of one query and the deltas after it (only those under batch ``before``)."""
+    def numbered(kind: str, name: str) -> list[int]:
+        found = [int(x.split("=")[1]) for x in _children(spark, f"{base}/{kind}") if x.startswith(f"{name}=")]
+        found = [n for n in found if before is None or n < before]
+        return [n for n in found if "_SUCCESS" in _children(spark, f"{base}/{kind}/{name}={n}")]
+    # A replayed batch must not count its own old snapshot.
+    upto = max((n for n in numbered("snapshots", "upto") if before is None or n < before - 1), default=-1)
+    deltas = [f"{base}/deltas/batch={n}" for n in sorted(numbered("deltas", "batch")) if n > upto]
+    return ([f"{base}/snapshots/upto={upto}"] if upto >= 0 else []) + deltas
+
+
+def read_profiles(spark: SparkSession, path: str, key: str = "user_id") -> DataFrame:
+    """Current profile of every user from what ``profile_delta_writer`` keeps, over all queries that wrote there."""
+    from ..operators.profile import merge_profiles
+    parts = [p for q in _children(spark, path) if q.startswith("query=") for p in _profile_parts(spark, f"{path.rstrip('/')}/{q}")]
+    return merge_profiles(spark.read.parquet(*parts), key)
