@@ -1,7 +1,7 @@
 """Training-data pipeline over `documents`: five stages, each written as Parquet and read by the next.
 
-1. language ID: documents whose language can't be told (null, no letter, or calibrated
-   probability under a half) go;
+1. language ID: documents whose language can't be told (null, no letter, or far less sure than
+   any text of the learned languages) go;
 2. SimHash near-duplicates: one document of each group stays, the one with the smallest doc_id;
 3. benchmark decontamination: documents that hold a benchmark passage go;
 4. secret scans: secrets are replaced by a mark, n_chars follows;

@@ -17,7 +17,7 @@ def test_run_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = langid.fit_language_model(docs)
     rows = {r.doc_id: r for r in docs.collect()}
-    left = {d: r for d, r in rows.items() if model.predict(r.text)[0] != "und" and model.predict(r.text)[1] >= 0.5}
+    left = {d: r for d, r in rows.items() if model.predict(r.text)[0] != "und" and model.predict(r.text)[1] >= model.reject_below}
     fp = {d: brute_fp(r.text) for d, r in left.items()}
     root = brute_components(set(fp.values()), lambda x, y: (x ^ y).bit_count() <= 3)
     best = {}

@@ -58,6 +58,7 @@ class LanguageModel:
     weights: np.ndarray
     bias: np.ndarray
     temperature: float = 1.0
+    reject_below: float = 0.5
 
     def logits(self, counts: np.ndarray) -> np.ndarray:
         return counts @ self.weights / max(1.0, counts.sum()) + self.bias
@@ -75,8 +76,9 @@ def train(rows: list[tuple[str, str]], n_buckets: int = 1 << 15, dim: int = 16,
           seed: int = 7) -> LanguageModel:
     """Fit by stochastic gradient descent on (text, language) rows.
 
-    Every fifth row is kept out of the descent and sets the softmax temperature, so
-    that the scores are probabilities.
+    Every fifth row is kept out of the descent and calibrates: it sets the softmax temperature, so
+    that the scores are probabilities, and the score under which a text is rejected, half of
+    the least score that any of these rows is rightly identified with, 0.5 at most.
     """
     rows = [(t, g) for t, g in rows if t and any(map(str.isalpha, t))]
     languages = sorted({g for _, g in rows})
@@ -113,6 +115,9 @@ def train(rows: list[tuple[str, str]], n_buckets: int = 1 << 15, dim: int = 16,
     def loss(t):
         return -np.log(np.maximum(_softmax(z / t)[np.arange(len(y)), y], 1e-12)).mean()
     model.temperature = float(min(np.geomspace(0.25, 8, 41), key=loss))
+    p = _softmax(z / model.temperature)
+    right = p.max(axis=1)[p.argmax(axis=1) == y]
+    model.reject_below = float(min(0.5, right.min() / 2)) if len(right) else 0.5
     return model
 
 
@@ -163,17 +168,18 @@ def fit_language_model(docs: DataFrame, **bounds) -> LanguageModel:
     return train(training_rows(docs.where(~held_out()).select("doc_id", "text", "lang"), **bounds))
 
 
-def identify(docs: DataFrame, model: LanguageModel, reject_below: float = 0.5) -> DataFrame:
+def identify(docs: DataFrame, model: LanguageModel, reject_below: float | None = None) -> DataFrame:
     """``docs`` with lang_pred, score and rejected.
 
     rejected: the text is null or has no letter (lang_pred ``und``, score 0), or the
-    calibrated probability of its best language is under ``reject_below``, i.e. it is more
-    likely wrong than right. Columns of ``docs`` with these names are replaced. Repeated
+    calibrated probability of its best language is under ``reject_below`` (the model's own,
+    see ``train``): far less sure than any text of the learned languages. Columns of ``docs`` with these names are replaced. Repeated
     rows stay; an empty table gives an empty result; with nothing learned all is ``und``.
     """
+    limit = model.reject_below if reject_below is None else reject_below
     found = docs.drop("lang_pred", "score", "rejected").withColumn("_found", language(F.col("text"), model))
     return (found.withColumn("lang_pred", F.col("_found.lang")).withColumn("score", F.col("_found.score"))
-            .withColumn("rejected", (F.col("lang_pred") == UNDETERMINED) | (F.col("score") < reject_below)).drop("_found"))
+            .withColumn("rejected", (F.col("lang_pred") == UNDETERMINED) | (F.col("score") < limit)).drop("_found"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
