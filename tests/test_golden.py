@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tripwire.functions.parse import final_projection, parse_transactions
+from tripwire.functions.parse import final_projection, final_rejects, parse_transactions
 from tripwire.operators import detectors as D
 from tripwire.operators import rollup as R
 from tripwire.streaming.processor import score_with_state
@@ -89,7 +89,8 @@ def test_amount_too_big(spark):
     df = txns(spark, [(0, "u", 0, 10_000_000, "VN")]).withColumn("fraud_score", F.lit(0))
     with pytest.raises(Exception):
         final_projection(df).collect()
-    assert final_projection(df, safe=True).collect()[0]["amount"] is None
+    assert final_projection(df, safe=True).count() == 0
+    assert [r["amount"] for r in final_rejects(df).collect()] == [10_000_000]
 
 
 def test_malformed_json(spark):

@@ -48,3 +48,17 @@ def test_inject_all_labels_and_first_rows(spark):
     assert j.filter(F.col("is_first") & F.col("fraud_types").isNotNull()).count() == 0
     assert j.filter(F.col("fraud_types").isNotNull() & (F.col("transaction_type") != "Fraud")).count() == 0
     assert inj.count() == tx.count()
+
+
+def test_pick_counts_for_other_intervals(spark):
+    """n rows of every full block are picked whatever the interval."""
+    for interval in (1, 7, 1008, 2000):
+        df = I.pick_flags(spark.range(interval * 12).select(F.col("id").alias("seq")), interval)
+        for r in df.groupBy("block").agg(F.sum(F.col("picked").cast("int")).alias("c"), F.max("n").alias("n")).collect():
+            assert min(r["n"], interval + 1) - 1 <= r["c"] <= r["n"], (interval, r)
+
+
+def test_numbered_locations(spark):
+    df = spark.createDataFrame([(f"L{i % 700}",) for i in range(2000)] + [("l5",), (None,)], "location string")
+    got = I.numbered_locations(df).collect()
+    assert sorted(r["idx"] for r in got) == list(range(700)) and {r["m"] for r in got} == {700}

@@ -2,6 +2,7 @@
 
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -35,8 +36,6 @@ def test_stream_equals_batch_with_restarts(spark, scratch):
     assert scores(got) == scores(D.score_all(tx))
 
 
-import pytest
-
 
 @pytest.mark.parametrize("api", ["group_state", "transform"])
 def test_t1_two_micro_batches(spark, scratch, api):
@@ -122,11 +121,11 @@ def test_final_stream_one_query(spark, scratch):
 
 
 def test_profile_deltas_stream_equals_batch(spark, scratch):
-    from tripwire.operators.profile import merge_profiles, user_profile
+    from tripwire.operators.profile import user_profile
     topic, deltas, ckpt = f"{scratch}/topic", f"{scratch}/deltas", f"{scratch}/ckpt"
     tx = transactions(spark, SF_SMALL, "orders")
     recs = SP.as_records(tx, PAYLOAD)
-    writer = SP.profile_delta_writer(deltas)
+    writer = SP.profile_delta_writer(deltas, compact_every=1)
     for lo, hi in ((0, 600), (600, 10**9)):
         recs.filter((F.col("seq") >= lo) & (F.col("seq") < hi)).coalesce(1).write.mode("append").json(topic)
         from tripwire.functions.parse import parse_transactions
@@ -134,7 +133,7 @@ def test_profile_deltas_stream_equals_batch(spark, scratch):
         q = (parsed.writeStream.foreachBatch(writer).option("checkpointLocation", ckpt)
              .trigger(availableNow=True).start())
         q.awaitTermination()
-    got = sorted(tuple(r) for r in merge_profiles(spark.read.parquet(deltas)).collect())
+    got = sorted(tuple(r) for r in SP.read_profiles(spark, deltas).collect())
     exp = sorted(tuple(r) for r in user_profile(tx).collect())
     assert got == exp
 
@@ -218,3 +217,91 @@ def test_state_ttl(spark, scratch):
     finally:
         q.stop()
     assert got[3] == (0, 0, 0)  # without the TTL it would be (1, 1, 1)
+
+
+SCORED = "seq long, transaction_id string, user_id string, txn_time long, amount double, location string, " \
+         "transaction_type string, detector string, fraud_score int"
+
+
+def _scored_drop(spark, topic, rows):
+    long = spark.createDataFrame([(s, t, "u", at, 1.0, "VN", "Normal", det, score) for s, t, at, det, score in rows], SCORED)
+    SP.as_records(long, PAYLOAD + ["fraud_score", "detector"]).coalesce(1).write.mode("append").json(topic)
+
+
+def _rolled(spark, topic, base, **kw):
+    q = (SP.rollup_stream(SP.parse_scored(SP.read_topic(spark, topic)), window="tumbling", **kw)
+         .writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ck")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
+
+
+def test_out_of_order_record_and_late_one(spark, scratch):
+    """A record behind the latest time by less than the watermark counts; one behind by more is counted as late, not lost unseen."""
+    topic = f"{scratch}/topic"
+    _scored_drop(spark, topic, [(1, "t1", 100, "amount", 1)])
+    _rolled(spark, topic, scratch, watermark="60 seconds")
+    _scored_drop(spark, topic, [(2, "t2", 50, "amount", 1)])
+    _rolled(spark, topic, scratch, watermark="60 seconds")
+    _scored_drop(spark, topic, [(3, "end", 10_000, "amount", 0)])
+    _rolled(spark, topic, scratch, watermark="60 seconds")
+    _rolled(spark, topic, scratch, watermark="60 seconds")
+    _scored_drop(spark, topic, [(4, "t3", 20, "amount", 1)])
+    q = _rolled(spark, topic, scratch, watermark="60 seconds")
+    got = {r["transaction_id"] for r in spark.read.parquet(f"{scratch}/out").collect()}
+    assert got == {"t1", "t2"} and SP.late_records(q) == 1
+
+
+def test_event_windows_need_a_watermark(spark, scratch):
+    _scored_drop(spark, f"{scratch}/topic", [(1, "t1", 100, "amount", 1)])
+    with pytest.raises(ValueError):
+        SP.rollup_stream(SP.parse_scored(SP.read_topic(spark, f"{scratch}/topic")), window="session")
+
+
+def test_dedup_across_micro_batches(spark, scratch):
+    topic = f"{scratch}/topic"
+    for rows in ([(1, "t1", 100, "amount", 1)], [(5, "t1", 100, "amount", 1)], [(6, "t1", 100, "location", 1)], [(9, "end", 10**6, "amount", 0)]):
+        _scored_drop(spark, topic, rows)
+        _rolled(spark, topic, scratch, watermark="1 hour", dedup=True)
+    _rolled(spark, topic, scratch, watermark="1 hour", dedup=True)
+    got = [(r["transaction_id"], r["fraud_score"]) for r in spark.read.parquet(f"{scratch}/out").collect()]
+    assert got == [("t1", 2)]
+
+
+def test_user_in_many_chunks():
+    """One user in several out-of-order chunks, and by (partition, offset) where records have a partition."""
+    import pandas as pd
+    from tripwire.streaming.processor import fold_user
+    rows = [(i, f"t{i}", "u", 100 * i, 0.1 if i < 10 else 0.3, "VN", "Normal", None) for i in range(11)]
+    cols = ["seq", "transaction_id", "user_id", "txn_time", "amount", "location", "transaction_type", "extras"]
+    pdf = pd.DataFrame(rows, columns=cols)
+    chunks, state = fold_user([pdf[7:], pdf[:3], pdf[3:7]], None, 3.0, 20)
+    assert [len(c) for c in chunks] == [4, 3, 4]
+    got = pd.concat(chunks).sort_values("seq")
+    assert got["amount_score"].tolist() == [0] * 10 + [1] and int(state[0]) == 1_000_000 and state[1] == 10
+    two = pdf.assign(partition=[1, 0] * 5 + [0], seq=[i // 2 for i in range(11)])
+    first = fold_user([two], None, 3.0, 10**9)[0][0].assign(partition=two["partition"])
+    assert first[first["velocity_score"] == 0].index.tolist() == [1]  # the first of partition 0 comes first
+
+
+def test_unknown_fields_reach_the_final_topic(spark, scratch):
+    spark.createDataFrame([(1, '{"transaction_id":"t","user_id":"u","txn_time":1,"amount":2,"location":"VN","transaction_type":"Normal","note":{"a":[1]}}')],
+                          "seq long, value string").coalesce(1).write.json(f"{scratch}/txn")
+    scored = SP.scored_records(SP.detector_stream(SP.read_topic(spark, f"{scratch}/txn")))
+    SP.write_topic(scored, f"{scratch}/scored", f"{scratch}/ck").awaitTermination()
+    rows = spark.read.schema(SP.FILE_RECORD).json(f"{scratch}/scored")
+    assert rows.count() == 3 and {r["key"] for r in rows.collect()} == {"u"}
+    from tripwire.operators.rollup import final_scores
+    final = SP.as_records(final_scores(SP.parse_scored(rows)).withColumn("seq", F.lit(1)), PAYLOAD + ["fraud_score"])
+    assert [r[0] for r in final.select(F.get_json_object("value", "$.note.a[0]")).collect()] == ["1"]
+
+
+def test_rejects_of_amounts(spark, scratch):
+    from tripwire.operators.rollup import total_score
+    topic = f"{scratch}/topic"
+    SP.as_records(txns(spark, [(1, "u", 1, 5, "VN"), (2, "u", 99, 2e7, "VN")]), PAYLOAD).coalesce(1).write.json(topic)
+    writer = SP.split_writer(lambda df, i: df.write.mode("append").parquet(f"{scratch}/rows"), f"{scratch}/rejects")
+    (total_score(SP.detector_stream(SP.read_topic(spark, topic))).writeStream.foreachBatch(writer).option("checkpointLocation", f"{scratch}/ck")
+     .trigger(availableNow=True).start().awaitTermination())
+    assert [r["transaction_id"] for r in spark.read.parquet(f"{scratch}/rows").collect()] == ["txn-1"]
+    assert [r["transaction_id"] for r in spark.read.json(f"{scratch}/rejects").collect()] == ["txn-2"]
