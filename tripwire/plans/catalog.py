@@ -19,6 +19,7 @@ from ..operators import profile as PR
 from ..operators import rollup as R
 from ..operators.sequence import hot_keys
 from ..schema import CANONICAL
+from ..session import scratch_folder
 from ..sources.tables import TRANSACTION_TABLES, read_table, transactions
 from ..streaming import stages as SP
 from . import oracle as O
@@ -370,7 +371,7 @@ def stream_end_to_end(spark, sf, chunks: int = 2):
     """A1, A4, A11, E8 as a stream: the events published as topic files in `chunks`
     arrival-ordered drops; after each drop the stateful detector query restarts
     from its checkpoint and appends final rows; the sink is read back."""
-    base = SP.scratch_path(spark, "stream_end_to_end")
+    base = scratch_folder(spark, "stream_end_to_end")
     topic, out, ckpt = f"{base}/topic", f"{base}/final", f"{base}/checkpoint"
     tx = _ev(spark, sf)
     lo, hi = tx.agg(F.min("seq"), F.max("seq")).first()
@@ -395,7 +396,7 @@ def _drain(df: DataFrame, out: str, checkpoint: str, mode: str = "append") -> No
 def source_transactions(spark, sf):
     """A1: the transaction topic (events published as JSON-lines records) read by a
     stream (available-now trigger) and parsed; the stream's sink is read back."""
-    base = SP.scratch_path(spark, "source_transactions")
+    base = scratch_folder(spark, "source_transactions")
     SP.as_records(_ev(spark, sf), CANONICAL[1:]).write.json(f"{base}/topic")
     _drain(P.parse_transactions(SP.read_topic(spark, f"{base}/topic"), keep=["seq"]).select(*CANONICAL), f"{base}/parsed", f"{base}/ck")
     return spark.read.parquet(f"{base}/parsed")
@@ -403,7 +404,7 @@ def source_transactions(spark, sf):
 
 def sink_scored_json(spark, sf):
     """A4: the scored records written to the scored topic by the streaming writer, keyed by user, and read back."""
-    base = SP.scratch_path(spark, "sink_scored_json")
+    base = scratch_folder(spark, "sink_scored_json")
     SP.as_records(_ev(spark, sf), CANONICAL[1:]).write.json(f"{base}/txn")
     scored = SP.scored_records(SP.detector_stream(SP.read_topic(spark, f"{base}/txn", max_files_per_trigger=10_000)))
     SP.write_topic(scored, f"{base}/scored", f"{base}/ck").awaitTermination()
@@ -412,7 +413,7 @@ def sink_scored_json(spark, sf):
 
 def source_scored(spark, sf):
     """A2: the scored topic read by a stream and parsed."""
-    base = SP.scratch_path(spark, "source_scored")
+    base = scratch_folder(spark, "source_scored")
     SP.scored_records(D.score_all(_ev(spark, sf))).write.json(f"{base}/topic")
     _drain(SP.parse_scored(SP.read_topic(spark, f"{base}/topic")), f"{base}/parsed", f"{base}/ck")
     return spark.read.parquet(f"{base}/parsed").drop("extras")
@@ -420,7 +421,7 @@ def source_scored(spark, sf):
 
 def source_final(spark, sf):
     """Final records as bytes, read by a stream, decoded and parsed to table columns."""
-    base = SP.scratch_path(spark, "source_final")
+    base = scratch_folder(spark, "source_final")
     rows = R.total_score(D.score_all(_ev(spark, sf)))
     SP.as_records(rows, [*CANONICAL[1:], "fraud_score"]).select("seq", F.encode("value", "UTF-8").alias("value")).write.parquet(f"{base}/topic")
     raw = spark.readStream.schema("seq long, value binary").parquet(f"{base}/topic")
@@ -430,7 +431,7 @@ def source_final(spark, sf):
 
 def processing_windows(spark, sf):
     """Which one-second window of arrival a record falls in is not repeatable; the sum over a transaction's windows is."""
-    base = SP.scratch_path(spark, "processing_windows")
+    base = scratch_folder(spark, "processing_windows")
     SP.scored_records(D.score_all(_ev(spark, sf))).write.json(f"{base}/topic")
     rolled = SP.rollup_stream(SP.parse_scored(SP.read_topic(spark, f"{base}/topic")), window="processing")
     (rolled.writeStream.outputMode("complete").foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(f"{base}/out"))
@@ -451,7 +452,7 @@ def stream_rollup_orders(spark, sf):
 
     The watermark allows for the ten years that the orders span, so none is late.
     """
-    base = SP.scratch_path(spark, "stream_rollup_orders")
+    base = scratch_folder(spark, "stream_rollup_orders")
     long = R.scored_long(D.score_all(_or(spark, sf)))
     SP.as_records(long, SCORED_FIELDS).repartitionByRange(4, "seq").write.json(f"{base}/topic")
     SP.as_records(_closing(long), SCORED_FIELDS).write.mode("append").json(f"{base}/topic")
@@ -464,7 +465,7 @@ def stream_rollup_orders(spark, sf):
 
 def stream_dedup(spark, sf):
     """Redeliveries, in other micro-batches than their first delivery, counted once."""
-    base = SP.scratch_path(spark, "stream_dedup")
+    base = scratch_folder(spark, "stream_dedup")
     long = R.scored_long(D.score_all(_ev(spark, sf)))
     for drop in (long, long.filter("location = 'error'"), _closing(long)):
         SP.as_records(drop, SCORED_FIELDS).write.mode("append").json(f"{base}/topic")
@@ -477,7 +478,7 @@ def stream_dedup(spark, sf):
 
 def stream_profiles(spark, sf):
     """Profiles of the orders kept by a stream in several micro-batches, compacted on the way."""
-    base = SP.scratch_path(spark, "stream_profiles")
+    base = scratch_folder(spark, "stream_profiles")
     SP.as_records(_or(spark, sf), CANONICAL[1:]).repartitionByRange(5, "seq").write.json(f"{base}/topic")
     parsed = P.parse_transactions(SP.read_topic(spark, f"{base}/topic", max_files_per_trigger=1), keep=["seq"])
     (parsed.writeStream.foreachBatch(SP.profile_delta_writer(f"{base}/profiles", compact_every=2)).option("checkpointLocation", f"{base}/ck")

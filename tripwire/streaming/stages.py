@@ -12,8 +12,6 @@ folders of JSON-lines files whose records are ``{"seq": .., "value": ..}``
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +21,6 @@ from ..functions.parse import (LABEL_THRESHOLD, as_json, decode_utf8, filter_nul
                                parse_transactions, unknown_fields)
 from ..operators.rollup import scored_long, total_score
 from ..schema import DETECTORS, PAYLOAD, SCORED
-from ..session import ensure_checkpoint_dir
 from .processor import score_with_group_state, score_with_state
 
 FILE_RECORD = T.StructType([T.StructField("seq", T.LongType()), T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
@@ -202,12 +199,6 @@ def query_id(batch: DataFrame) -> str:
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
 
 
-def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A fresh folder under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return "/".join([base, *parts, uuid.uuid4().hex])
-
-
 def with_progress_count(df: DataFrame, name: str = "messages") -> DataFrame:
     """Running message count (A12): an observed metric, reported per micro-batch in
     ``query.lastProgress["observedMetrics"]`` (batch: ``Observation``); no extra job."""
