@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwire.session import ensure_checkpoint_dir
+from tripwire.session import scratch_folder
 
 #: What separates words: space and the five ASCII control spaces.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -21,10 +19,11 @@ def stash(df: DataFrame) -> DataFrame:
     """``df`` written to a fresh folder under ``spark.checkpoint.dir`` and read again.
 
     It cuts the lineage as checkpoint() does, survives lost executors, and keeps
-    columns apart, so a reader of two columns reads just those.
+    columns apart, so a reader of two columns reads just those. The folder is deleted when the
+    driver ends.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}"
+    path = f"{scratch_folder(spark, 'llm')}/rows"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
