@@ -18,6 +18,8 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_decontaminate": decontaminate.ORACLE,
     "op5_mixing": mixing.ORACLE,
+    "op7_secrets": secrets.ORACLE,
     "op8_warc": warc.ORACLE,
 }

@@ -102,3 +102,21 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
 def query(spark, sf_dir: str) -> DataFrame:
     """op2: benchmark items held by documents."""
     return leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+#: Every alignment of every item, counted by equal tokens on a diagonal.
+ORACLE = r"""
+WITH b AS (
+  SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark),
+bt AS (SELECT item_id, len(w) AS n, unnest(w) AS tok, unnest(range(len(w))) AS j FROM b WHERE len(w) >= 4),
+d AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
+dt AS (SELECT doc_id, unnest(w) AS tok, unnest(range(len(w))) AS i FROM d WHERE len(w) > 0),
+m AS (
+  SELECT doc_id, item_id, n, i - j AS start, count(*) AS matched
+  FROM dt JOIN bt USING (tok) GROUP BY ALL HAVING count(*) >= 0.8 * n),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, start) AS k FROM m)
+SELECT doc_id, item_id, CAST(start AS INTEGER) AS start, CAST(n AS INTEGER) AS n_tokens, CAST(matched AS INTEGER) AS matched,
+       CAST(matched AS DOUBLE) / n AS similarity
+FROM r WHERE k = 1
+"""

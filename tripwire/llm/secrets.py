@@ -155,3 +155,56 @@ def query(spark, sf_dir: str) -> DataFrame:
     n = lambda k: F.size(F.filter("base_spans", lambda s: s["kind"] == k)).cast("long")
     return found.select("doc_id", n(0).alias("n_assign"), n(1).alias("n_access"), n(2).alias("n_hex"),
                         F.sha2(digest("base_spans"), 256).alias("base_sha256"), digest("all_spans").alias("spans"))
+
+
+def _found_sql(name: str, pattern: str, groups: int = 2) -> str:
+    """CTEs: every match of a pattern with the gap before it, then its place from the lengths."""
+    lists = ", ".join(f"regexp_extract_all(t, '(?s:(.*?))({pattern})', {g}) AS g{g}" for g in range(1, groups + 1))
+    parts = ", ".join(f"unnest(g{g}) AS v{g}" for g in range(1, groups + 1))
+    return f"""{name}0 AS (SELECT doc_id, {lists} FROM d),
+{name}1 AS (SELECT doc_id, unnest(range(len(g1))) AS i, {parts} FROM {name}0),
+{name} AS (SELECT *, sum(length(v1) + length(v2)) OVER (PARTITION BY doc_id ORDER BY i) AS e FROM {name}1)"""
+
+
+def _oracle() -> str:
+    assign = ASSIGN.replace("'", "''")
+    allow = " AND ".join(f"NOT regexp_matches(v2, '{p}')" for p in ALLOW)
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+{_found_sql("a", assign, 3)},
+{_found_sql("k", ACCESS)},
+{_found_sql("h", HEX)},
+{_found_sql("c", CANDIDATE)},
+base AS (
+  SELECT doc_id, e - length(v2) AS s, e, 0 AS kind FROM a WHERE length(v3) >= {ASSIGN_VALUE}
+  UNION ALL SELECT doc_id, e - length(v2), e, 1 FROM k
+  UNION ALL SELECT doc_id, e - length(v2), e, 2 FROM h),
+w AS (
+  SELECT doc_id, e - length(v2) AS s, v2, unnest(range({WINDOW}, length(v2) + 1)) AS x,
+         regexp_full_match(v2, '[0-9a-fA-F]+') AS hexa
+  FROM c WHERE {allow}),
+ch AS (SELECT doc_id, s, x, hexa, unnest(string_split(substr(v2, CAST(x - {WINDOW} + 1 AS BIGINT), {WINDOW}), '')) AS ch FROM w),
+n AS (SELECT doc_id, s, x, hexa, ch, count(*) AS n FROM ch GROUP BY ALL),
+en AS (
+  SELECT doc_id, s, x, hexa FROM n GROUP BY ALL
+  HAVING -sum(n / {WINDOW}.0 * log2(n / {WINDOW}.0)) >= CASE WHEN hexa THEN {HEX_BITS} ELSE {MIXED_BITS} END - 1e-12),
+hot AS (
+  SELECT doc_id, s + min(x) - {WINDOW} AS s, s + max(x) AS e, CASE WHEN hexa THEN 3 ELSE 4 END AS kind
+  FROM en GROUP BY doc_id, en.s, hexa),
+spans AS (
+  SELECT * FROM base
+  UNION ALL
+  SELECT * FROM hot WHERE NOT EXISTS (
+    SELECT 1 FROM base WHERE base.doc_id = hot.doc_id AND base.s <= hot.s AND base.e >= hot.e)),
+j AS (
+  SELECT doc_id, count(*) FILTER (kind = 0) AS n0, count(*) FILTER (kind = 1) AS n1, count(*) FILTER (kind = 2) AS n2,
+         string_agg(name, ',' ORDER BY s, kind, e) FILTER (kind < 3) AS b, string_agg(name, ',' ORDER BY s, kind, e) AS spans
+  FROM (SELECT *, list_extract({list(KINDS)}, kind + 1) || ':' || CAST(s AS BIGINT) || ':' || CAST(e AS BIGINT) AS name FROM spans)
+  GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n0, 0) AS n_assign, coalesce(n1, 0) AS n_access, coalesce(n2, 0) AS n_hex,
+       sha256(coalesce(b, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN j USING (doc_id)
+"""
+
+
+ORACLE = _oracle()
