@@ -146,7 +146,7 @@ def final_scores_session_sql(gap: int, key: str = "user_id") -> str:
     payload = [c for c in ("transaction_id", "user_id", "amount", "location") if c != key]
     return f"""WITH {scores_ctes('events')}, l AS (
 {scored_long_body()}),
-g AS (SELECT *, CASE WHEN txn_time - lag(txn_time) OVER (PARTITION BY {key} ORDER BY txn_time) <= {gap}
+g AS (SELECT *, CASE WHEN txn_time - lag(txn_time) OVER (PARTITION BY {key} ORDER BY txn_time, seq, detector) <= {gap}
                      THEN 0 ELSE 1 END AS brk FROM l),
 n AS (SELECT *, sum(brk) OVER (PARTITION BY {key} ORDER BY txn_time, seq, detector
                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM g),
