@@ -38,8 +38,8 @@ def connected(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
 
     Alternates large-star and small-star steps until the edges no longer change.
     Minima combine before the shuffle; the joins that bring them back are plain
-    equality joins, so adaptive execution splits the one of a node with many edges.
-    Each round's edges are kept in the shared folder. Nodes without an edge do not
+    equality joins of kept tables, so adaptive execution splits the edges of a node that has many.
+    Each round's edges and minima are kept in the shared folder. Nodes without an edge do not
     appear; null ends and loops are left out.
     """
     e = stash(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
@@ -47,10 +47,11 @@ def connected(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     mark = None
     for _ in range(max_rounds):
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = stash(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         e = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
              .where("u != v").distinct())
-        low = e.groupBy("u").agg(F.min("v").alias("m"))
+        e = stash(e)
+        low = stash(e.groupBy("u").agg(F.min("v").alias("m")))
         e = e.join(low, "u")
         e = stash(e.select("u", F.col("m").alias("v"))
                   .union(e.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct())
