@@ -88,7 +88,7 @@ def train(rows: list[tuple[str, str]], n_buckets: int = 1 << 15, dim: int = 16,
     for text, g in rows:
         c = subword_counts(text, n_buckets)
         at = np.flatnonzero(c)
-        feats.append((at, c[at] / max(1.0, c.sum()), of[g]))
+        feats.append((at.astype(np.int32), (c[at] / max(1.0, c.sum())).astype(np.float32), of[g]))
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(feats))
     held = [feats[i] for i in order[::5]] if len(feats) >= 20 else feats
@@ -121,7 +121,7 @@ def train(rows: list[tuple[str, str]], n_buckets: int = 1 << 15, dim: int = 16,
     return model
 
 
-def training_rows(docs: DataFrame, per_language: int = 400, max_languages: int = 64,
+def training_rows(docs: DataFrame, per_language: int = 300, max_languages: int = 64,
                   max_chars: int = 20_000) -> list[tuple[str, str]]:
     """A bounded sample of labelled rows: per language, the ``per_language`` first by a hash of doc_id.
 
