@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tripwire.llm import decontaminate, html_text, langid, mixing, neighbours, passages, secrets, simhash, url_filter, warc
+from tripwire.llm import (alignment, decontaminate, html_text, langid, lexical, line_quality, mixing, neighbours, passages,
+                          secrets, simhash, url_filter, warc)
 
 QUERIES = {
     "op1_neighbours": neighbours.query,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_warc": warc.query,
     "op9_html_text": html_text.query,
     "op10_url_filter": url_filter.query,
+    "op11_line_quality": line_quality.query,
+    "op12_lexical": lexical.query,
+    "op13_alignment": alignment.query,
 }
 
 ORACLE: dict[str, str] = {
@@ -22,4 +26,6 @@ ORACLE: dict[str, str] = {
     "op5_mixing": mixing.ORACLE,
     "op7_secrets": secrets.ORACLE,
     "op8_warc": warc.ORACLE,
+    "op11_line_quality": line_quality.ORACLE,
+    "op12_lexical": lexical.ORACLE,
 }
