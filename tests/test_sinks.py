@@ -43,3 +43,31 @@ def test_console_sink_runs(spark, scratch):
     q = SP.write_topic(SP.read_topic(spark, topic), "", f"{scratch}/ck", fmt="console")
     q.awaitTermination()
     assert q.lastProgress["numInputRows"] == 5
+
+
+def test_failure_between_the_steps_leaves_the_old_rows(spark, monkeypatch):
+    """The stage is filled, then the swap breaks at each of its steps: the final table is as before, and a replay gives each row once."""
+    url = f"jdbc:derby:memory:fraud{uuid.uuid4().hex[:8]};create=true"
+    jdbc.create_table(spark, url, "fraud_events", DERBY)
+    tx = score_and_label(transactions(spark, SF_SMALL, "events")).limit(20).cache()
+    writer = jdbc.jdbc_batch_writer(url, "fraud_events", DERBY)
+    writer(tx, 0)
+
+    def rows():
+        return sorted(tuple(r)[1:10] for r in jdbc.read_table(spark, url, "fraud_events", DERBY).collect())
+    before, whole = rows(), jdbc.swap_statements
+    assert len(before) == 20
+    for step in range(3):
+        monkeypatch.setattr(jdbc, "swap_statements", lambda *a, step=step: [*whole(*a)[:step], "DELETE FROM no_such_table"])
+        for batch_id in (0, 1):  # a replayed micro-batch and a new one
+            try:
+                writer(tx, batch_id)
+                raise AssertionError("the swap did not fail")
+            except Exception as e:  # noqa: BLE001
+                assert "no_such_table" in str(e).lower()
+            assert rows() == before
+    monkeypatch.setattr(jdbc, "swap_statements", whole)
+    writer(tx, 0)
+    writer(tx, 1)
+    assert len(rows()) == 40 and jdbc.read_table(spark, url, "fraud_events_stage", DERBY).count() == 0
+    tx.unpersist()

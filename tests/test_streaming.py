@@ -9,6 +9,7 @@ from conftest import SF_SMALL
 from tripwire.operators import detectors as D
 from tripwire.schema import PAYLOAD
 from tripwire.sources.tables import transactions
+from tripwire.streaming import profiles as SPR
 from tripwire.streaming import stages as SP
 from util import scores, txns
 
@@ -125,7 +126,7 @@ def test_profile_deltas_stream_equals_batch(spark, scratch):
     topic, deltas, ckpt = f"{scratch}/topic", f"{scratch}/deltas", f"{scratch}/ckpt"
     tx = transactions(spark, SF_SMALL, "orders")
     recs = SP.as_records(tx, PAYLOAD)
-    writer = SP.profile_delta_writer(deltas, compact_every=1)
+    writer = SPR.profile_delta_writer(deltas, compact_every=1)
     for lo, hi in ((0, 600), (600, 10**9)):
         recs.filter((F.col("seq") >= lo) & (F.col("seq") < hi)).coalesce(1).write.mode("append").json(topic)
         from tripwire.functions.parse import parse_transactions
@@ -133,7 +134,7 @@ def test_profile_deltas_stream_equals_batch(spark, scratch):
         q = (parsed.writeStream.foreachBatch(writer).option("checkpointLocation", ckpt)
              .trigger(availableNow=True).start())
         q.awaitTermination()
-    got = sorted(tuple(r) for r in SP.read_profiles(spark, deltas).collect())
+    got = sorted(tuple(r) for r in SPR.read_profiles(spark, deltas).collect())
     exp = sorted(tuple(r) for r in user_profile(tx).collect())
     assert got == exp
 

@@ -12,9 +12,43 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)``, with the value computed once however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def round3(x) -> Column:
-    """Round to 3 decimals (half up on the decimal form of the double)."""
-    return F.round(_c(x), 3)
+    """A double rounded to 3 decimals by its exact binary value, ties to the even digit: ``float(f"{v:.3f}")``.
+
+    The value is mantissa / 2^shift with a whole mantissa under 2^53, so 1000 * mantissa fits a long and its
+    quotient and remainder by 2^shift decide. From 2^43 on, three decimals tell no two doubles apart; under
+    2^-11 nothing is left.
+    """
+    def rounded(a: Column) -> Column:
+        # 2^shift has shift <= 63: quotient and remainder by its half, which fits a long
+        def by_half(s: Column) -> Column:
+            return _let(F.call_function("div", s["thousand"], s["half"]), lambda q: F.struct(
+                F.call_function("shiftright", q, F.lit(1)).alias("whole"), (q.bitwiseAND(F.lit(1)) == 1).alias("upper"),
+                (s["thousand"] > q * s["half"]).alias("rest")))
+
+        def quotient(h: Column) -> Column:
+            up = h["upper"] & (h["rest"] | (h["whole"].bitwiseAND(F.lit(1)) == 1))
+            return (h["whole"] + F.when(up, 1).otherwise(0)).cast("double") / F.lit(1000.0)
+
+        def parts(shift: Column) -> Column:
+            return F.struct(((a * F.pow(F.lit(2.0), shift)).cast("bigint") * F.lit(1000)).alias("thousand"),
+                            F.call_function("shiftleft", F.lit(1).cast("bigint"), (shift - 1).cast("int")).alias("half"))
+
+        guess = F.lit(52) - F.floor(F.log2(a)).cast("int")  # off by one at most; factors are exact powers of two
+        shift = _let(guess, lambda g: _let(a * F.pow(F.lit(2.0), g), lambda m: g + F.when(m >= 2.0 ** 53, -1).when(m < 2.0 ** 52, 1).otherwise(0)))
+        return _let(_let(_let(shift, parts), by_half), quotient)
+
+    def signed(v: Column) -> Column:
+        a = F.abs(v)
+        inside = (a >= F.lit(2.0 ** -11)) & (a < F.lit(2.0 ** 43))
+        size = F.when(inside, _let(F.when(inside, a).otherwise(F.lit(1.0)), rounded)).when(a < 1, F.lit(0.0)).otherwise(a)
+        return F.when(v < 0, -size).otherwise(size)
+    return _let(_c(x).cast("double"), signed)
 
 
 def frac(key, salt: str = "") -> Column:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from decimal import ROUND_HALF_UP, Decimal
 from fractions import Fraction
 
 from pyspark.sql import Column
@@ -20,16 +21,19 @@ MICRO = 1_000_000
 
 
 def micro_units(amount: Column | str = "amount") -> Column:
-    """Amount in whole micro-units (half up); null where it is null, not finite, or beyond a long (see ``exact_units``)."""
+    """Amount in whole micro-units (half up on its shortest decimal form) where these fit a long, else null (see ``exact_units``)."""
     a = F.col(amount) if isinstance(amount, str) else amount
     return (a.try_cast("decimal(20,6)") * MICRO).try_cast("bigint")
 
 
 def exact_units(units: int | None, amount: float | None) -> int | None:
-    """The units, or those of an amount too large for the column; None for no amount (null, NaN, infinite)."""
+    """The units of ``micro_units``, or by the same rule those of an amount too large for it; None for no amount (null, NaN, infinite).
+
+    Batch blocks and streams both take an amount through these two, so it has the same units on every path, whatever its size.
+    """
     if units is not None or amount is None or not math.isfinite(amount):
         return units
-    return round(Fraction(amount) * MICRO)
+    return int((Decimal(repr(float(amount))) * MICRO).to_integral_value(ROUND_HALF_UP))
 
 
 def ratio(factor: float) -> tuple[int, int]:
@@ -55,6 +59,19 @@ def fold(units: list[int | None], total: int, count: int, factor: tuple[int, int
     return scores, total, count
 
 
+def fold_all(units: list[int | None], total: int, count: int, factor: tuple[int, int]) -> tuple[list[int], int, int]:
+    """As ``fold``, but the state takes in every amount, flagged or not."""
+    num, den = factor
+    scores = [0] * len(units)
+    for i, a in enumerate(units):
+        if a is None:
+            continue
+        scores[i] = int(count > 0 and a * count * den >= num * total)
+        total += a
+        count += 1
+    return scores, total, count
+
+
 @dataclass
 class Margin:
     """How far one block's decisions are from the line, so that another entry state can be seen to change none.

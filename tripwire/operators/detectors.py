@@ -15,7 +15,6 @@ Input: canonical transactions (``seq`` = arrival order). Every detector keys by
 from __future__ import annotations
 
 import logging
-from decimal import Decimal
 
 import pandas as pd
 import pyarrow as pa
@@ -36,15 +35,14 @@ log = logging.getLogger(__name__)
 
 SCORE_COLUMNS = {"amount": "amount_score", "velocity": "velocity_score", "location": "location_score"}
 _CARRY_FIELDS = ["txn_time", "location"]
-_HELPER_COLS = ["has_prev", "prev_last", "first_row", "pre_sum", "pre_cnt", "pre_amounts", "_rn", "_exact"]
-EXACT_TYPE = "decimal(24,6)"  # one amount of detect_amount_all; totals are wider
+_HELPER_COLS = ["has_prev", "prev_last", "first_row", "pre_sum", "pre_cnt", "pre_amounts", "_rn"]
 
 
 # --------------------------------------------------------------------- windows
 
-def _windowed(blocks: Blocks, amount: str | None = None) -> DataFrame:
+def _windowed(blocks: Blocks) -> DataFrame:
     """Rows with carries and the in-block row number (one exchange on key, blk)."""
-    df = with_carry(blocks, _CARRY_FIELDS, amount)
+    df = with_carry(blocks, _CARRY_FIELDS)
     return df.withColumn("_rn", F.row_number().over(blocks.window()))
 
 
@@ -75,16 +73,6 @@ def location_prev_score(blocks: Blocks) -> Column:
     return F.when(_is_user_first(blocks), 0).otherwise(location_differs("location", prev).cast("int"))
 
 
-def amount_all_score(blocks: Blocks, factor: float = AMOUNT_FACTOR) -> Column:
-    """Documented variant: 1 if amount >= factor x average of all earlier amounts (exact decimals, column ``_exact``)."""
-    before = blocks.window().rowsBetween(Window.unboundedPreceding, -1)
-    total = (F.col("pre_sum").cast("decimal(34,6)") + F.coalesce(F.sum("_exact").over(before), F.lit(0)).cast("decimal(34,6)")).cast("decimal(34,6)")
-    cnt = F.col("pre_amounts") + F.count("_exact").over(before)
-    num, den = ratio(factor)
-    hit = F.col("_exact") * (cnt * den) >= total * F.lit(num)
-    return F.when(_is_user_first(blocks) | (cnt == 0), 0).otherwise(F.coalesce(hit.cast("int"), F.lit(0)))
-
-
 def _drop_helpers(df: DataFrame) -> DataFrame:
     return df.drop(*_HELPER_COLS)
 
@@ -101,7 +89,7 @@ def _runs(keys: list, blks: list):
 
 
 def _columns(batch: pa.RecordBatch, key: str, order: str):
-    units = [exact_units(u, a) if u is None else u for u, a in zip(batch.column("_u").to_pylist(), batch.column("amount").to_pylist())]
+    units = [exact_units(u, a) for u, a in zip(batch.column("_u").to_pylist(), batch.column("amount").to_pylist())]
     return batch.column(key).to_pylist(), batch.column(BLK).to_pylist(), batch.column(order).to_pylist(), units
 
 
@@ -129,8 +117,9 @@ def _scores(factor: float, key: str, order: str, entries: bool):
     return run
 
 
-_SUMMARY = "f_total decimal(38,0), f_count long, d_total decimal(38,0), d_count long, " + ", ".join(
-    f"{side}_{what} decimal(38,0)" for side in ("fl", "kp") for what in ("slack", "lo", "hi"))
+#: Totals and margins are whole numbers of any size, hence texts.
+_SUMMARY = "f_total string, f_count long, d_total string, d_count long, " + ", ".join(
+    f"{side}_{what} string" for side in ("fl", "kp") for what in ("slack", "lo", "hi"))
 
 
 def _summaries(factor: float, key: str, order: str, schema: T.StructType):
@@ -143,8 +132,8 @@ def _summaries(factor: float, key: str, order: str, schema: T.StructType):
         done: list[list] = []
 
         def close():
-            dec = lambda t: [None if x is None else Decimal(x) for x in (t or (None,) * 3)]
-            done.append([*cur, Decimal(entry[0]), entry[1], Decimal(state[0] - entry[0]), state[1] - entry[1], *dec(margin.flagged), *dec(margin.kept)])
+            text = lambda t: [None if x is None else str(x) for x in (t or (None,) * 3)]
+            done.append([*cur, str(entry[0]), entry[1], str(state[0] - entry[0]), state[1] - entry[1], *text(margin.flagged), *text(margin.kept)])
 
         for batch in batches:
             keys, blks, _, units = _columns(batch, key, order)
@@ -172,7 +161,7 @@ def _scan(factor: float, key: str):
     num, den = ratio(factor)
 
     def whole(x):
-        return None if x is None or x != x else int(x)
+        return None if x is None or x != x else int(x)  # texts, decimals and floats of missing longs
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(BLK)
@@ -192,16 +181,16 @@ def _scan(factor: float, key: str):
                     started = (count > 0) == (whole(r["f_count"]) > 0)
                     if started and (count == 0 or Margin(side("fl"), side("kp")).holds(d_total, d_count, (num, den))):
                         d = (whole(r["d_total"]), whole(r["d_count"]))
-                if d is None and count and den * lo * count >= num * total:
+                if d is None and count and lo is not None and den * lo * count >= num * total:
                     d = (0, 0)  # all flagged
-                if d is None and count and den * hi * count < num * total and den * hi < num * lo:
+                if d is None and count and lo is not None and den * hi * count < num * total and den * hi < num * lo:
                     d = (s, n)  # all kept: the average stays above the smaller of its start and lo
                 if d is None:
                     refold = True
                     d = (whole(r["d_total"]), whole(r["d_count"])) if folded else (s, n)
             out[-1] += (refold,)
             total, count = total + d[0], count + d[1]
-        return pd.DataFrame({key: pdf[key].tolist(), BLK: pdf[BLK].tolist(), "_e_total": [Decimal(x[0]) for x in out],
+        return pd.DataFrame({key: pdf[key].tolist(), BLK: pdf[BLK].tolist(), "_e_total": [str(x[0]) for x in out],
                              "_e_count": [x[1] for x in out], "_refold": [x[2] for x in out]})
     return run
 
@@ -225,10 +214,9 @@ def block_entries(rows: DataFrame, key: str, order: str, factor: float) -> tuple
     # Amounts beyond a long are known to the fold only: such a block has no bounds that decide it.
     table = table.select(key, BLK, F.when(F.col("odd"), F.greatest("n", F.lit(1).cast("long"))).otherwise(F.col("n")).alias("n"),
                          F.coalesce("s", F.lit(0)).cast("decimal(38,0)").alias("s"),
-                         F.when(F.col("odd"), F.lit(-(1 << 62))).otherwise(F.col("lo")).alias("lo"),
-                         F.when(F.col("odd"), F.lit((1 << 63) - 1)).otherwise(F.col("hi")).alias("hi"), *none).checkpoint()
+                         *[F.when(~F.col("odd"), F.col(c).cast("string")).alias(c) for c in ("lo", "hi")], *none).checkpoint()
     key_field = table.schema[key]
-    plan_schema = T.StructType([key_field, T.StructField(BLK, T.LongType()), T.StructField("_e_total", T.DecimalType(38, 0)),
+    plan_schema = T.StructType([key_field, T.StructField(BLK, T.LongType()), T.StructField("_e_total", T.StringType()),
                                 T.StructField("_e_count", T.LongType()), T.StructField("_refold", T.BooleanType())])
     sum_schema = T.StructType([key_field, T.StructField(BLK, T.LongType())] + T.StructType.fromDDL(_SUMMARY).fields)
     rounds = 0
@@ -309,5 +297,6 @@ def detect_location_prev(df: DataFrame, key: str = "user_id", order: str = "seq"
 
 def detect_amount_all(df: DataFrame, factor: float = AMOUNT_FACTOR, key: str = "user_id", order: str = "seq",
                       rows_per_block: int | None = None) -> DataFrame:
-    blocks = cut_blocks(df.withColumn("_exact", F.col("amount").try_cast(EXACT_TYPE)), key, order, rows_per_block)
-    return _one(_windowed(blocks, "_exact"), blocks, amount_all_score(blocks, factor))
+    """Documented variant: against the average of all earlier amounts, exact whatever their size."""
+    from .plugin import AverageOfAllDetector, score_with
+    return score_with(df, [AverageOfAllDetector(factor)], key, order, rows_per_block).withColumnRenamed("amount_all_score", "fraud_score")

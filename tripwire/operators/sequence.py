@@ -135,7 +135,7 @@ def carry_table(blocks: Blocks, fields: list[str], amount: str | None = None) ->
     per_block = hot_rows.groupBy(k, BLK).agg(
         F.min_by(row, F.col(o)).alias("_first"),
         F.max_by(row, F.col(o)).alias("_last"),
-        F.sum(summed).alias("_sum"), F.count(summed).alias("_amounts"), F.count(F.lit(1)).alias("_cnt"),
+        F.try_sum(summed).alias("_sum"), F.count(summed).alias("_amounts"), F.count(F.lit(1)).alias("_cnt"),
     )
     w = Window.partitionBy(k).orderBy(BLK)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -144,7 +144,9 @@ def carry_table(blocks: Blocks, fields: list[str], amount: str | None = None) ->
         (F.row_number().over(w) > 1).alias("has_prev"),
         F.lag("_last").over(w).alias("prev_last"),
         F.first("_first").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("first_row"),
-        F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("pre_sum"),
+        # null if the sum of a block, or of them all, outgrew its type
+        F.when(F.coalesce(F.bool_or(F.col("_sum").isNull() & (F.col("_amounts") > 0)).over(before), F.lit(False)), None)
+        .when(F.coalesce(F.sum("_amounts").over(before), F.lit(0)) == 0, 0).otherwise(F.try_sum("_sum").over(before)).alias("pre_sum"),
         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("pre_cnt"),
         F.coalesce(F.sum("_amounts").over(before), F.lit(0)).alias("pre_amounts"),
     )
@@ -166,7 +168,7 @@ def with_carry(blocks: Blocks, fields: list[str], amount: str | None = None) ->
         F.coalesce(F.col("_c.has_prev"), F.lit(False)).alias("has_prev"),
         F.col("_c.prev_last").alias("prev_last"),
         F.col("_c.first_row").alias("first_row"),
-        F.coalesce(F.col("_c.pre_sum"), F.lit(0)).alias("pre_sum"),
+        F.when(F.col("_c.has_prev").isNull(), 0).otherwise(F.col("_c.pre_sum")).alias("pre_sum"),
         F.coalesce(F.col("_c.pre_cnt"), zero).alias("pre_cnt"),
         F.coalesce(F.col("_c.pre_amounts"), zero).alias("pre_amounts"),
     )

@@ -21,6 +21,7 @@ from ..operators.sequence import hot_keys
 from ..schema import CANONICAL
 from ..session import scratch_folder
 from ..sources.tables import TRANSACTION_TABLES, read_table, transactions
+from ..streaming import profiles as SPR
 from ..streaming import stages as SP
 from . import oracle as O
 from . import oracle_inject as OI
@@ -481,9 +482,9 @@ def stream_profiles(spark, sf):
     base = scratch_folder(spark, "stream_profiles")
     SP.as_records(_or(spark, sf), CANONICAL[1:]).repartitionByRange(5, "seq").write.json(f"{base}/topic")
     parsed = P.parse_transactions(SP.read_topic(spark, f"{base}/topic", max_files_per_trigger=1), keep=["seq"])
-    (parsed.writeStream.foreachBatch(SP.profile_delta_writer(f"{base}/profiles", compact_every=2)).option("checkpointLocation", f"{base}/ck")
+    (parsed.writeStream.foreachBatch(SPR.profile_delta_writer(f"{base}/profiles", compact_every=2)).option("checkpointLocation", f"{base}/ck")
      .trigger(availableNow=True).start().awaitTermination())
-    return SP.read_profiles(spark, f"{base}/profiles")
+    return SPR.read_profiles(spark, f"{base}/profiles")
 
 
 def final_projection(spark, sf):
@@ -528,7 +529,7 @@ def _avg_sql(total: str, count: str) -> str:
 def _profile_sql(src: str) -> str:
     return f"""WITH t AS ({src})
 SELECT user_id, count(*) AS txn_count, sum(CAST(amount AS DECIMAL(38,6))) AS total_amt,
-       {_avg_sql("sum(CAST(amount AS DECIMAL(38,6)))", "count(*)")} AS average_amt,
+       {_avg_sql("sum(CAST(amount AS DECIMAL(38,6)))", "count(amount)")} AS average_amt,
        arg_min(txn_time, seq) AS first_txn_time, arg_min(location, seq) AS main_location,
        arg_max(txn_time, seq) AS last_txn_time, arg_max(location, seq) AS last_location
   FROM t GROUP BY user_id"""
@@ -539,19 +540,22 @@ def _running_sql(src: str) -> str:
 a AS (
   SELECT seq, user_id, transaction_id, txn_time, amount, location, transaction_type,
          count(*) OVER u AS txn_count,
-         CAST(sum(CAST(amount AS DECIMAL(38,6))) OVER u AS DECIMAL(38,6)) AS total_amt,
+         CAST(coalesce(sum(CAST(amount AS DECIMAL(38,6))) OVER u, 0) AS DECIMAL(38,6)) AS total_amt,
          first_value(location) OVER u AS main_location,
          lag(txn_time) OVER (PARTITION BY user_id ORDER BY seq) AS last_txn_time_before,
-         lag(location) OVER (PARTITION BY user_id ORDER BY seq) AS last_location_before
+         lag(location) OVER (PARTITION BY user_id ORDER BY seq) AS last_location_before,
+         nullif(count(amount) OVER u, 0) AS n, nullif(count(amount) OVER b, 0) AS nb,
+         CAST(coalesce(sum(CAST(amount AS DECIMAL(38,6))) OVER b, 0) AS DECIMAL(38,6)) AS tb
     FROM t
-  WINDOW u AS (PARTITION BY user_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-SELECT *, {_avg_sql("total_amt", "txn_count")} AS average_amt,
-       CASE WHEN txn_count > 1 THEN txn_count - 1 END AS txn_count_before,
-       CASE WHEN txn_count > 1 THEN CAST(total_amt - CAST(amount AS DECIMAL(38,6)) AS DECIMAL(38,6)) END
-         AS total_amt_before,
-       CASE WHEN txn_count > 1
-            THEN {_avg_sql("total_amt - CAST(amount AS DECIMAL(38,6))", "txn_count - 1")} END AS average_amt_before
-  FROM a"""
+  WINDOW u AS (PARTITION BY user_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+         b AS (PARTITION BY user_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+p AS (
+  SELECT * EXCLUDE (n, nb, tb), {_avg_sql("total_amt", "n")} AS average_amt,
+         CASE WHEN txn_count > 1 THEN txn_count - 1 END AS txn_count_before,
+         CASE WHEN txn_count > 1 THEN tb END AS total_amt_before,
+         CASE WHEN txn_count > 1 THEN {_avg_sql("tb", "nb")} END AS average_amt_before
+    FROM a)
+SELECT * FROM p"""
 
 
 ORACLE: dict[str, str] = {
@@ -579,7 +583,7 @@ SELECT count(*) AS n_rows, count(*) FILTER (WHERE amount < 0) AS bad_amount,
   FROM t""",
     "sampled_offsets": f"WITH t AS ({_EV}) SELECT seq, user_id AS key, {_JSON_OBJ} AS value FROM t WHERE seq % 10 = 0",
     "final_count": f"WITH t AS ({_EV}) SELECT count(*) AS n FROM t",
-    "round3": f"WITH t AS ({_EV}) SELECT seq, round(amount / 3, 3) AS amount_third FROM t",
+    "round3": f"WITH t AS ({_EV}) SELECT seq, CAST(format('{{:.3f}}', amount / 3) AS DOUBLE) AS amount_third FROM t",
     "location_ci": f"""WITH t AS ({_EV}),
 p AS (SELECT user_id, arg_min(location, seq) AS main_location FROM t GROUP BY user_id)
 SELECT t.seq, t.location, p.main_location,
@@ -673,3 +677,8 @@ SELECT coalesce(inj.fraud_types, 'none') AS fraud_types, count(*) AS n,
 
 
 ORACLE.update(_inject_oracles())
+
+from . import catalog_streams  # noqa: E402
+
+QUERIES.update(catalog_streams.QUERIES)
+ORACLE.update(catalog_streams.oracles(_running_sql, _profile_sql))

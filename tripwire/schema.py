@@ -50,3 +50,11 @@ NESTED_TRANSACTION = T.StructType([
     T.StructField("location", LOCATION),
     T.StructField("transaction_type", T.StringType()),
 ])
+
+
+_TYPES = {"long": T.LongType, "int": T.IntegerType, "string": T.StringType, "double": T.DoubleType, "boolean": T.BooleanType}
+
+
+def columns(text: str) -> T.StructType:
+    """A struct type from ``name type, name type``, also where no session runs yet."""
+    return T.StructType([T.StructField(name, _TYPES[kind]()) for name, kind in (c.split() for c in text.split(","))])

@@ -11,9 +11,7 @@ held, not copied, until their order is known, so the micro-batch size
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
-from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 import pandas as pd
@@ -22,12 +20,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators.amount import MICRO, fold, ratio
+from ..operators.amount import exact_units, fold, micro_units, ratio
 from ..operators.detectors import AMOUNT_FACTOR, VELOCITY_MAX_GAP
 from ..schema import CANONICAL
 
 STATE_SCHEMA = T.StructType([
-    T.StructField("total", T.DecimalType(38, 0)),  # micro-units
+    T.StructField("total", T.StringType()),  # micro-units: a whole number of any size
     T.StructField("cnt", T.LongType()),
     T.StructField("last_time", T.LongType()),
     T.StructField("first_loc", T.StringType()),
@@ -60,13 +58,6 @@ def _list(column: pd.Series) -> list:
     return [None if v is None or v != v else v for v in column.tolist()]
 
 
-def _units(amount: float | None) -> int | None:
-    """Micro-units of an amount, half up on its shortest decimal form as Spark's cast does; None for none."""
-    if amount is None or not math.isfinite(amount):
-        return None
-    return int((Decimal(repr(float(amount))) * MICRO).to_integral_value(ROUND_HALF_UP))
-
-
 def fold_user(chunks: list[pd.DataFrame], stored, factor: float, max_gap: int):
     """Score one user's chunks of a micro-batch from the stored state; yields the scored chunks, returns the new state.
 
@@ -76,10 +67,11 @@ def fold_user(chunks: list[pd.DataFrame], stored, factor: float, max_gap: int):
     sizes = [len(c) for c in chunks]
     keys = [np.concatenate([c[o].to_numpy() for c in chunks]) for o in order]
     at = np.lexsort(keys[::-1])
-    amounts, times, locs = ([x for c in chunks for x in _list(c[name])] for name in ("amount", "txn_time", "location"))
-    total, cnt, last_time, first_loc = stored if stored is not None else (Decimal(0), 0, None, None)
+    amounts, texts, times, locs = ([x for c in chunks for x in _list(c[name])] for name in ("amount", "units_text", "txn_time", "location"))
+    units = [exact_units(None if u is None else int(u), a) for u, a in zip(texts, amounts)]
+    total, cnt, last_time, first_loc = stored if stored is not None else ("0", 0, None, None)
     started = stored is not None
-    scores, total, cnt = fold([_units(amounts[i]) for i in at], int(total), int(cnt), ratio(factor))
+    scores, total, cnt = fold([units[i] for i in at], int(total), int(cnt), ratio(factor))
     n = len(at)
     sa, sv, sl = (np.zeros(n, np.int32) for _ in range(3))
     sa[at] = scores
@@ -98,7 +90,7 @@ def fold_user(chunks: list[pd.DataFrame], stored, factor: float, max_gap: int):
         part = slice(start, start + size)
         out.append(chunk[_INPUT_NAMES].assign(amount_score=sa[part], velocity_score=sv[part], location_score=sl[part]))
         start += size
-    return out, (Decimal(total), int(cnt), None if last_time is None else int(last_time), first_loc)
+    return out, (str(total), int(cnt), None if last_time is None else int(last_time), first_loc)
 
 
 class DetectorProcessor(StatefulProcessor):
@@ -124,7 +116,8 @@ class DetectorProcessor(StatefulProcessor):
 
 def _source(txns: DataFrame) -> DataFrame:
     extras = F.col("extras") if "extras" in txns.columns else F.lit(None).cast("string").alias("extras")
-    return txns.select(*CANONICAL, extras, *(["partition"] if "partition" in txns.columns else []))
+    # Units as text: a long column with nulls would reach pandas as doubles.
+    return txns.select(*CANONICAL, extras, *(["partition"] if "partition" in txns.columns else []), micro_units("amount").cast("string").alias("units_text"))
 
 
 def score_with_state(txns: DataFrame, factor: float = AMOUNT_FACTOR, max_gap: int = VELOCITY_MAX_GAP,

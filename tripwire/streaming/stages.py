@@ -21,6 +21,7 @@ from ..functions.parse import (LABEL_THRESHOLD, as_json, decode_utf8, filter_nul
                                parse_transactions, unknown_fields)
 from ..operators.rollup import scored_long, total_score
 from ..schema import DETECTORS, PAYLOAD, SCORED
+from ..sources import topic
 from .processor import score_with_group_state, score_with_state
 
 FILE_RECORD = T.StructType([T.StructField("seq", T.LongType()), T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
@@ -51,10 +52,15 @@ def kafka_options(bootstrap: str, topic: str, starting: str = "earliest", max_of
 
 def read_topic(spark: SparkSession, where: str, fmt: str = "files", max_files_per_trigger: int | None = MAX_FILES,
                **kafka) -> DataFrame:
-    """A stream of (seq, value) records: a folder of JSON-lines files or a Kafka topic.
+    """A stream of (seq, value) records: a folder of JSON-lines files, a folder topic (``fmt="log"``) or a Kafka topic.
 
-    Kafka records carry their partition too: offsets only order the records of one.
+    Records of a log or of Kafka carry their partition too: offsets only order the records of one. Both
+    take ``starting``: ``earliest`` or ``latest``, for a new query; a log takes its number of ``partitions``.
     """
+    if fmt == "log":
+        raw = (spark.readStream.format(topic.register(spark)).option("path", where).option("partitions", str(kafka.get("partitions", 1)))
+               .option("startingOffsets", kafka.get("starting", "earliest")).load())
+        return raw.select(F.col("offset").alias("seq"), "partition", "value")
     if fmt == "kafka":
         raw = spark.readStream.format("kafka").options(**kafka_options(kafka["bootstrap"], where, **{
             k: v for k, v in kafka.items() if k != "bootstrap"})).load()
@@ -67,13 +73,15 @@ def read_topic(spark: SparkSession, where: str, fmt: str = "files", max_files_pe
 
 def write_topic(df: DataFrame, where: str, checkpoint: str, fmt: str = "files", trigger: dict | None = None,
                 query_name: str | None = None, **kafka) -> StreamingQuery:
-    """Write (seq, key, value) records to a folder of JSON files or a Kafka topic."""
+    """Write (seq, key, value) records to a folder of JSON files, a folder topic (``fmt="log"``) or a Kafka topic."""
     w = df.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
     if query_name:
         w = w.queryName(query_name)
     w = w.trigger(**(trigger or {"availableNow": True}))
     if fmt == "kafka":
         return w.format("kafka").option("kafka.bootstrap.servers", kafka["bootstrap"]).option("topic", where).start()
+    if fmt == "log":
+        return (w.format(topic.register(df.sparkSession)).option("path", where).option("partitions", str(kafka.get("partitions", 1))).start())
     if fmt == "console":
         return w.format("console").option("truncate", "false").start()
     return w.format("json").option("path", where).start()
@@ -205,26 +213,6 @@ def with_progress_count(df: DataFrame, name: str = "messages") -> DataFrame:
     return df.observe(name, F.count(F.lit(1)).alias("n"))
 
 
-def profile_delta_writer(path: str, key: str = "user_id", compact_every: int = 100):
-    """``foreachBatch`` function: keeps the profile of every user under ``path`` (F1, F3 on streams).
-
-    Each micro-batch's per-user delta is written under its query's id and its batch id, so a
-    replayed batch overwrites its own and another query's are left alone. Every
-    ``compact_every`` batches the deltas since the last snapshot are merged with it by user into a
-    new snapshot, so a reader merges few files however long the query runs.
-    """
-    from ..operators.profile import merge_deltas, profile_deltas
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        base = f"{path.rstrip('/')}/query={query_id(batch)}"
-        profile_deltas(batch, key).write.mode("overwrite").parquet(f"{base}/deltas/batch={int(batch_id)}")
-        if (batch_id + 1) % compact_every == 0:
-            spark = batch.sparkSession
-            parts = _profile_parts(spark, base, before=batch_id + 1)
-            merge_deltas(spark.read.parquet(*parts), key).write.mode("overwrite").parquet(f"{base}/snapshots/upto={int(batch_id)}")
-    return write
-
-
 def _children(spark: SparkSession, path: str) -> list[str]:
     """Names of the complete folders in a folder of any Hadoop file system."""
     jvm = spark.sparkContext._jvm
@@ -233,22 +221,3 @@ def _children(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     return [s.getPath().getName() for s in fs.listStatus(p)]
-
-
-def _profile_parts(spark: SparkSession, base: str, before: int | None = None) -> list[str]:
-    """Latest snapshot of one query and the deltas after it (only those under batch ``before``)."""
-    def numbered(kind: str, name: str) -> list[int]:
-        found = [int(x.split("=")[1]) for x in _children(spark, f"{base}/{kind}") if x.startswith(f"{name}=")]
-        found = [n for n in found if before is None or n < before]
-        return [n for n in found if "_SUCCESS" in _children(spark, f"{base}/{kind}/{name}={n}")]
-    # A replayed batch must not count its own old snapshot.
-    upto = max((n for n in numbered("snapshots", "upto") if before is None or n < before - 1), default=-1)
-    deltas = [f"{base}/deltas/batch={n}" for n in sorted(numbered("deltas", "batch")) if n > upto]
-    return ([f"{base}/snapshots/upto={upto}"] if upto >= 0 else []) + deltas
-
-
-def read_profiles(spark: SparkSession, path: str, key: str = "user_id") -> DataFrame:
-    """Current profile of every user from what ``profile_delta_writer`` keeps, over all queries that wrote there."""
-    from ..operators.profile import merge_profiles
-    parts = [p for q in _children(spark, path) if q.startswith("query=") for p in _profile_parts(spark, f"{path.rstrip('/')}/{q}")]
-    return merge_profiles(spark.read.parquet(*parts), key)
