@@ -52,41 +52,72 @@ def tokens(url: Column) -> Column:
     return F.when(F.contains(url, F.lit("://")), F.array_distinct(parts)).otherwise(F.array().cast("array<string>"))
 
 
-def mine(labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.8, longest: int = 3) -> DataFrame:
-    """Rules for blocking (tokens, n, blocked, confidence, key) from rows (url, blocked).
+def token_classes(rows: DataFrame) -> DataFrame:
+    """(token, cls) of tokens that stand in just the same rows of ``rows`` (t): cls is the least of them.
 
-    Spark's FP-growth finds the token sets that occur in ``min_support`` of the rows together
-    with the label; those blocked in ``min_confidence`` of their rows, of up to ``longest``
-    tokens, are rules. A rule is pruned if a part of its tokens is a rule already. key is
-    the rule's rarest token. Null urls and labels and urls without tokens say nothing.
+    Tokens that always come together would multiply the frequent sets by two each; as one item they don't.
+    Equal rows are told by a 128-bit signature of where a token stands.
+    """
+    where = rows.groupBy("t").agg(F.count(F.lit(1)).alias("n")).withColumns({"a": F.xxhash64("t"), "b": F.xxhash64(F.lit(1), "t")})
+    signed = where.select(F.explode("t").alias("token"), "n", "a", "b").groupBy("token").agg(
+        F.sum("n").alias("n"), F.bit_xor("a").alias("a"), F.sum(F.col("b").cast("decimal(38,0)")).alias("b"))
+    least = signed.groupBy("n", "a", "b").agg(F.min("token").alias("cls"))
+    return signed.join(least, ["n", "a", "b"]).select("token", "cls")
+
+
+def _classed(rows: DataFrame, key: str, listed: str, classes: DataFrame) -> DataFrame:
+    """(key, items): the distinct classes of the tokens of each row; a token that was not seen is its own."""
+    each = rows.select(key, F.explode(listed).alias("token")).join(classes, "token", "left")
+    return each.groupBy(key).agg(F.collect_set(F.coalesce("cls", "token")).alias("items"))
+
+
+def mine(labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """Rules for blocking (tokens, n, blocked, confidence, key) from rows (url, blocked), and the classes (token, cls) of their tokens.
+
+    Spark's FP-growth finds the token sets, of any size, that occur in ``min_support`` of the rows together
+    with the label; those blocked in ``min_confidence`` of their rows are rules. A rule is pruned if a part of its tokens
+    is a rule already. Tokens that always come together are one item, named by its least; a url that has any of them has
+    the item. key is the rule's rarest item. Null urls and labels and urls without tokens say nothing.
     """
     spark = labelled.sparkSession
-    rows = (labelled.where("url is not null and blocked is not null").select(tokens(F.col("url")).alias("t"), "blocked").where(F.size("t") > 0)
-            .select(F.when(F.col("blocked"), F.array_append("t", F.lit(BLOCKED))).otherwise(F.col("t")).alias("items")))
+    rows = stash(labelled.where("url is not null and blocked is not null").select(tokens(F.col("url")).alias("t"), "blocked").where(F.size("t") > 0)
+                 .withColumn("row", F.monotonically_increasing_id()))
+    classes = stash(token_classes(rows))
+    items = _classed(rows, "row", "t", classes).join(rows.select("row", "blocked"), "row")
+    items = items.select(F.when(F.col("blocked"), F.array_append("items", F.lit(BLOCKED))).otherwise(F.col("items")).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence,
-                     numPartitions=int(spark.conf.get("spark.sql.shuffle.partitions"))).fit(rows)
-    sets = stash(model.freqItemsets.where(F.size("items") <= longest + 1).select(F.array_sort("items").alias("items"), "freq"))
+                     numPartitions=int(spark.conf.get("spark.sql.shuffle.partitions"))).fit(items)
+    sets = stash(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"))
     joint = (sets.where(F.array_contains("items", BLOCKED) & (F.size("items") > 1))
              .select(F.array_remove("items", BLOCKED).alias("tokens"), F.col("freq").alias("blocked")))
-    rules = (joint.join(sets.select(F.col("items").alias("tokens"), F.col("freq").alias("n")), "tokens")
-             .withColumn("confidence", F.col("blocked") / F.col("n")).where(F.col("confidence") >= min_confidence))
-    rules = stash(rules)
-    n = F.size("tokens")
-    subsets = F.aggregate("tokens", F.array(F.array().cast("array<string>")),
-                          lambda acc, x: F.concat(acc, F.transform(acc, lambda part: F.array_append(part, x))))
-    parts = F.filter(subsets, lambda part: (F.size(part) > 0) & (F.size(part) < n))
-    wider = (rules.where(n > 1).select("tokens", F.explode(parts).alias("part"))
-             .join(rules.select(F.col("tokens").alias("part")), "part").select("tokens").distinct())
-    rules = rules.join(wider, "tokens", "left_anti")
+    rated = stash(joint.join(sets.select(F.col("items").alias("tokens"), F.col("freq").alias("n")), "tokens")
+                  .select("tokens", "n", "blocked", (F.col("blocked") / F.col("n")).alias("confidence"), F.size("tokens").alias("size")))
+    # By size: a set is wider than a rule if a set with one token less is a rule or wider than one. Those sets are all here,
+    # since a part of a frequent set is frequent.
+    rules, over = None, None
+    for size in range(1, (rated.agg(F.max("size")).first()[0] or 0) + 1):
+        level = rated.where(F.col("size") == size)
+        if over is None:
+            level = level.withColumn("wider", F.lit(False))
+        else:
+            less = (level.select("tokens", F.explode("tokens").alias("x")).select("tokens", F.array_remove("tokens", F.col("x")).alias("part"))
+                    .join(over.select(F.col("tokens").alias("part")), "part").select("tokens").distinct().withColumn("wider", F.lit(True)))
+            level = level.join(less, "tokens", "left").withColumn("wider", F.coalesce("wider", F.lit(False)))
+        level = stash(level.withColumn("rule", ~F.col("wider") & (F.col("confidence") >= min_confidence)))
+        over = level.where("rule or wider")
+        rules = level.where("rule") if rules is None else rules.union(level.where("rule"))
+    if rules is None:
+        rules = rated.withColumn("wider", F.lit(False)).withColumn("rule", F.lit(False))
     singles = sets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), F.col("freq").alias("seen"))
     key = (rules.select("tokens", F.explode("tokens").alias("token")).join(singles, "token")
            .groupBy("tokens").agg(F.min(F.struct("seen", "token")).alias("k")).select("tokens", F.col("k.token").alias("key")))
-    return rules.join(key, "tokens").select("tokens", "n", "blocked", "confidence", "key")
+    return rules.join(key, "tokens").select("tokens", "n", "blocked", "confidence", "key"), classes
 
 
-def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """url, confidence of the distinct urls that fit a mined rule (the surest one's), by an inverted index on the rules' rarest tokens."""
-    listed = urls.select("url").where("url is not null").distinct().select("url", tokens(F.col("url")).alias("has"))
+def matched(urls: DataFrame, rules: DataFrame, classes: DataFrame) -> DataFrame:
+    """url, confidence of the distinct urls that fit a mined rule (the surest one's), by an inverted index on the rules' rarest items."""
+    listed = urls.select("url").where("url is not null").distinct().select("url", tokens(F.col("url")).alias("t"))
+    listed = _classed(listed, "url", "t", classes).withColumnRenamed("items", "has")
     hits = (listed.select("url", "has", F.explode("has").alias("key")).join(rules, "key")
             .where(F.size(F.array_except("tokens", "has")) == 0))
     return hits.groupBy("url").agg(F.max("confidence").alias("confidence"))
@@ -106,7 +137,7 @@ def judge(pages: DataFrame, labelled: DataFrame, rules=RULES, **mining) -> DataF
     if learnt.isEmpty():
         sure = df.select("url").limit(0).withColumn("confidence", F.lit(0.0))
     else:
-        sure = matched(df.where("fixed is null"), mine(learnt, **mining))
+        sure = matched(df.where("fixed is null"), *mine(learnt, **mining))
     return (df.join(sure, "url", "left")
             .select("page_id", "host", "path", F.col("fixed.rule").alias("rule"),
                     F.coalesce(F.col("fixed.verdict"), F.when(F.col("confidence").isNotNull(), "block").otherwise("allow")).alias("verdict"),
