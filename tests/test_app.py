@@ -49,3 +49,20 @@ def test_all_in_one_mode(spark, scratch):
     a = sorted(tuple(r) for r in got.select("r.*").collect())
     b = sorted(tuple(r) for r in score_and_label(tx).collect())
     assert a == b
+
+
+def test_services_on_folder_topics(spark, scratch):
+    """publish -> detect -> aggregate over topics of three partitions; a second consumer that starts at the latest offset sees nothing old."""
+    from tripwire.sources import topic
+    tx = transactions(spark, SF_SMALL, "events").filter("seq < 200")
+    tx.select("seq", *PAYLOAD).coalesce(1).write.parquet(f"{scratch}/table")
+    log = ["--fmt", "log", "--partitions", "3", "--trigger", "once"]
+    app.run(spark, ["publish", "--source", f"{scratch}/table", "--target", f"{scratch}/txn", "--sink", "log", "--checkpoint", f"{scratch}/ck1", *log]).awaitTermination()
+    app.run(spark, ["detect", "--source", f"{scratch}/txn", "--target", f"{scratch}/scored", "--sink", "log", "--checkpoint", f"{scratch}/ck2", *log]).awaitTermination()
+    app.run(spark, ["detect", "--source", f"{scratch}/txn", "--target", f"{scratch}/none", "--sink", "log", "--checkpoint", f"{scratch}/ck3",
+                    "--starting", "latest", *log]).awaitTermination()
+    topic.register(spark)
+    scored = spark.read.format(topic.NAME).option("path", f"{scratch}/scored").option("partitions", "3").load()
+    assert scored.count() == 3 * tx.count() and scored.select("partition").distinct().count() == 3
+    none = spark.read.format(topic.NAME).option("path", f"{scratch}/none").option("partitions", "3").load()
+    assert none.count() == 0

@@ -15,8 +15,9 @@ Modes (the reference's services, as Spark streaming queries):
 ``--mode PERMISSIVE`` with ``--rejects FOLDER`` keeps records that can't be read and amounts that the
 table can't hold apart instead of stopping.
 
-Topics are folders of JSON-lines records (``--fmt files``) or Kafka topics
-(``--fmt kafka --bootstrap host:port``). Checkpoints go under ``--checkpoint``.
+Topics are folders of JSON-lines records (``--fmt files``), folder topics with partitions and offsets
+(``--fmt log --partitions n``) or Kafka topics (``--fmt kafka --bootstrap host:port``); ``--sink`` takes the same
+names. ``--starting earliest|latest`` is where a new query starts in the last two. Checkpoints go under ``--checkpoint``.
 """
 
 from __future__ import annotations
@@ -43,9 +44,10 @@ def _args(argv=None) -> argparse.Namespace:
     p.add_argument("--source", required=True, help="input topic (folder or Kafka topic)")
     p.add_argument("--target", default="", help="output topic / folder / JDBC table")
     p.add_argument("--checkpoint", required=True)
-    p.add_argument("--fmt", default="files", choices=["files", "kafka"])
+    p.add_argument("--fmt", default="files", choices=["files", "log", "kafka"])
+    p.add_argument("--partitions", type=int, default=1, help="partitions of a folder topic")
     p.add_argument("--bootstrap", default="")
-    p.add_argument("--sink", default="files", choices=["files", "kafka", "jdbc", "console"])
+    p.add_argument("--sink", default="files", choices=["files", "log", "kafka", "jdbc", "console"])
     p.add_argument("--jdbc-url", default="")
     p.add_argument("--jdbc-driver", default="")
     p.add_argument("--create-table", action="store_true",
@@ -56,7 +58,7 @@ def _args(argv=None) -> argparse.Namespace:
     p.add_argument("--dedup", action="store_true")
     p.add_argument("--mode", dest="parse_mode", default="FAILFAST", choices=["FAILFAST", "PERMISSIVE"])
     p.add_argument("--rejects", default="", help="folder for rejected records (JSON)")
-    p.add_argument("--starting", default="earliest", help="Kafka start offsets of a new query")
+    p.add_argument("--starting", default="earliest", help="start offsets of a new query on a folder topic or Kafka")
     p.add_argument("--allow-data-loss", action="store_true", help="go on when Kafka offsets are gone")
     p.add_argument("--trigger", default="5 seconds", help="processing-time interval, or 'once' (available now)")
     p.add_argument("--max-files", type=int, default=SP.MAX_FILES, help="topic files in a micro-batch")
@@ -71,9 +73,15 @@ def _trigger(a) -> dict:
 def _read(spark: SparkSession, a) -> DataFrame:
     kafka = {"bootstrap": a.bootstrap, "starting": a.starting, "max_offsets": a.max_offsets,
              "fail_on_data_loss": not a.allow_data_loss} if a.fmt == "kafka" else {}
+    if a.fmt == "log":
+        kafka = {"partitions": a.partitions, "starting": a.starting}
     return SP.read_topic(spark, a.source, fmt=a.fmt, max_files_per_trigger=a.max_files, **kafka)
 
 
+def _sink_options(a) -> dict:
+    return {"bootstrap": a.bootstrap} if a.sink == "kafka" else {"partitions": a.partitions} if a.sink == "log" else {}
+
+
 def _jdbc_props(a) -> dict:
     return {"driver": a.jdbc_driver} if a.jdbc_driver else {}
 
@@ -100,7 +108,7 @@ def _write_rows(df: DataFrame, a, spark: SparkSession) -> StreamingQuery:
             df = final_projection(df)
         return (df.writeStream.foreachBatch(writer).option("checkpointLocation", a.checkpoint)
                 .trigger(**_trigger(a)).start())
-    kafka = {"bootstrap": a.bootstrap} if a.sink == "kafka" else {}
+    kafka = _sink_options(a)
     return SP.write_topic(_final_records(df), a.target, a.checkpoint, fmt=a.sink, trigger=_trigger(a), **kafka)
 
 
@@ -113,7 +121,7 @@ def _start_rejects(src: DataFrame, a) -> None:
 
 def run(spark: SparkSession, argv=None) -> StreamingQuery:
     a = _args(argv)
-    kafka = {"bootstrap": a.bootstrap} if a.sink == "kafka" else {}
+    kafka = _sink_options(a)
     if a.mode == "publish":
         rows = spark.readStream.schema(PUBLISHED).option("maxFilesPerTrigger", str(a.max_files)).parquet(a.source)
         return SP.write_topic(SP.as_records(rows, PAYLOAD), a.target, a.checkpoint, fmt=a.sink, trigger=_trigger(a), **kafka)
