@@ -67,7 +67,8 @@ def fold_user(chunks: list[pd.DataFrame], stored, factor: float, max_gap: int):
     sizes = [len(c) for c in chunks]
     keys = [np.concatenate([c[o].to_numpy() for c in chunks]) for o in order]
     at = np.lexsort(keys[::-1])
-    amounts, texts, times, locs = ([x for c in chunks for x in _list(c[name])] for name in ("amount", "units_text", "txn_time", "location"))
+    amounts, times, locs = ([x for c in chunks for x in _list(c[name])] for name in ("amount", "txn_time", "location"))
+    texts = [x for c in chunks for x in (_list(c["units_text"]) if "units_text" in c else [None] * len(c))]
     units = [exact_units(None if u is None else int(u), a) for u, a in zip(texts, amounts)]
     total, cnt, last_time, first_loc = stored if stored is not None else ("0", 0, None, None)
     started = stored is not None
