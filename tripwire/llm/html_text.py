@@ -17,6 +17,7 @@ footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p
 tr ul""".split())
 LEFT_OUT = frozenset("head nav footer aside form button dialog menu header".split())
 ROOTS = frozenset("article main".split())
+CONTAINERS = frozenset("article div main section td center blockquote".split())
 ENDS_EARLY = frozenset("p li dt dd tr td th option".split())
 VOID = frozenset("br hr img input meta link source wbr col area base embed param track".split())
 LABELS = re.compile(
@@ -51,12 +52,16 @@ def _marks_out(tag: str, attrs: str, in_root: bool) -> bool:
     return False
 
 
-def page_lines(page: str) -> list[tuple[str, int, bool]]:
-    """Lines (text, length that counts, in an article) of a page: one for each block; left-out blocks are blank lines.
+def page_lines(page: str) -> tuple[list[tuple[str, int, bool, int]], list[int]]:
+    """Lines (text, length that counts, in an article, container) of a page, one for each block, and the parent of each container.
 
-    Linked text does not count towards a line's length.
+    Left-out blocks are blank lines. Linked text does not count towards a line's length. Containers are numbered in
+    page order, 0 is the page; an end tag closes the innermost open container of its name, with
+    all in it, and counts for nothing where none is open.
     """
-    lines: list[tuple[str, int, bool]] = []
+    lines: list[tuple[str, int, bool, int]] = []
+    parents, opened = [0], [(0, "")]
+    counts = dict.fromkeys(CONTAINERS, 0)
     parts: list[str] = []
     linked = roots = links = depth = at = 0
     skip = None
@@ -65,7 +70,7 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
         nonlocal parts, linked
         text = " ".join(html.unescape("".join(parts)).split()) if parts else ""
         if text:
-            lines.append((text, max(0, len(text) - linked), roots > 0))
+            lines.append((text, max(0, len(text) - linked), roots > 0, opened[-1][0]))
         parts, linked = [], 0
 
     def take(text: str):
@@ -87,11 +92,11 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
                 depth += -1 if closes else 0 if skip in ENDS_EARLY else 1
             early = skip in ENDS_EARLY and (tag == skip or (skip == "p" and tag in BLOCKS) or (closes and tag in ("ul", "ol", "dl", "table")))
             if tag in BLOCKS:
-                lines.append(("", 0, False))
+                lines.append(("", 0, False, opened[-1][0]))
             if depth > 0 and not early:
                 continue
-            skip = None
-            if closes and tag not in ROOTS:
+            own, skip = tag == skip, None
+            if closes and own:
                 continue
         if tag in BLOCKS:
             end_line()
@@ -100,51 +105,107 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
         if tag == "a":
             links = 0 if closes else 1
         if closes:
-            if tag in ROOTS:
-                roots = max(0, roots - 1)
+            if tag in CONTAINERS and counts[tag]:
+                end_line()
+                name = ""
+                while name != tag:
+                    name = opened.pop()[1]
+                    counts[name] -= 1
+                roots = sum(counts[x] for x in ROOTS)
             continue
         if tag not in VOID and _marks_out(tag, m["attrs"], roots > 0):
             end_line()
-            lines.append(("", 0, False))
+            lines.append(("", 0, False, opened[-1][0]))
             skip, depth = tag, 1
-        elif tag in ROOTS:
-            roots += 1
+        elif tag in CONTAINERS:
+            parents.append(opened[-1][0])
+            opened.append((len(parents) - 1, tag))
+            counts[tag] += 1
+            roots += tag in ROOTS
     take(page[at:])
     end_line()
-    return lines
+    return lines, parents
+
+
+def _story(lengths: list[int], holders: list[int], parents: list[int], share: float) -> tuple[int, list[bool]]:
+    """The innermost container that holds ``share`` of all length, and which containers are in it."""
+    held = [0] * len(parents)
+    for n, c in zip(lengths, holders):
+        held[c] += n
+    for c in range(len(parents) - 1, 0, -1):
+        held[parents[c]] += held[c]
+    story = 0
+    for c in range(1, len(parents)):  # a container comes after its parent; two that are apart can't both hold most
+        if parents[c] == story and held[c] >= share * held[0]:
+            story = c
+    inside = [False] * len(parents)
+    inside[story] = True
+    for c in range(story + 1, len(parents)):
+        inside[c] = inside[parents[c]]
+    return story, inside
+
+
+def surges(lengths: list[int], window: int, surge: int, dive: int) -> list[tuple[int, int]]:
+    """Stretches (first line, line after the last) between surge and dive points of the sums over ``window`` lines.
+
+    A stretch begins at the first line with text of the first window that reaches the surge, and ends
+    where the window from a line on falls under the dive. Both are limits for long pages;
+    where the largest sum is under twice the surge, half and an eighth of it take their place.
+    """
+    n = len(lengths)
+    sums = [sum(lengths[:window])]
+    for i in range(n):
+        sums.append(sums[-1] - lengths[i] + (lengths[i + window] if i + window < n else 0))
+    peak = max(sums)
+    up, down = min(surge, -(-peak // 2)), min(dive, -(-peak // 8))
+    found, start = [], None
+    for i in range(n + 1):
+        if start is None and sums[i] >= up > 0:
+            start = i
+            while lengths[start] == 0:
+                start += 1
+        elif start is not None and i > start and (sums[i] < down or i == n):
+            found.append((start, i))
+            start = None
+    return found
 
 
-def main_text(page: str | None, window: int = 3, surge: int = 80, dive: int = 20) -> str:
+def main_text(page: str | None, window: int = 3, surge: int = 80, dive: int = 20, share: float = 0.6) -> str:
     """Main text of a page: its blocks joined by newlines; empty if there is none.
 
-    The lengths of the lines are summed over sliding windows of ``window`` lines. A stretch
-    begins where a sum reaches ``surge`` and ends where one falls under ``dive``; the lines
-    between are kept, short ones as well. Where the page marks an article, other lines count
-    as blank and any text is a surge, only blank windows end a stretch. Without such a mark, stretches
-    of less than a fifth of the longest one's length are boiler-plate.
+    The lengths of the lines without links are summed over sliding windows of ``window`` lines (lines in an
+    article or main element count twice); text between surge and dive points (see ``surges``) is a stretch. The innermost
+    container that holds ``share`` or more of the stretches' length is the story: its stretches
+    and its short lines with unlinked text are kept. Where no container but the page itself
+    does, the stretches are kept, with the lines of their own containers that adjoin them without a
+    blank line; those under a fifth of the longest are boiler-plate.
+
+    Tags that are never closed, closed twice or cut off by the end are read as far as they go; pages of any
+    length are read whole, once from front to back.
     """
     if not page:
         return ""
-    lines = page_lines(page)
-    marked = any(x[2] for x in lines)
-    texts = [t if x or not marked else "" for t, _, x in lines]
-    lengths = [len(t) if marked else n for t, (_, n, _) in zip(texts, lines)]
-    if marked:
-        surge = dive = 1
-    stretches, start = [], None
-    total = sum(lengths[:window])
-    for i in range(len(lengths) + 1):
-        if start is None and total >= surge:
-            start = i
-            while lengths[start] == 0:
-                start += 1
-        elif start is not None and i > start and (total < dive or i == len(lengths)):
-            stretches.append((start, i))
-            start = None
-        total += (lengths[i + window] if i + window < len(lengths) else 0) - (lengths[i] if i < len(lengths) else 0)
-    sizes = [sum(lengths[a:b]) for a, b in stretches]
-    least = 0 if marked else max(sizes, default=0) / 5
-    return "\n".join(t for (a, b), n in zip(stretches, sizes) if n >= least for t in texts[a:b] if t)
+    lines, parents = page_lines(page)
+    texts, holders = [x[0] for x in lines], [x[3] for x in lines]
+    lengths = [n * (2 if marked else 1) for _, n, marked, _ in lines]
+    stretches = surges(lengths, window, surge, dive)
+    kept = [False] * len(lines)
+    for a, b in stretches:
+        kept[a:b] = [True] * (b - a)
+    story, inside = _story([x[1] if k else 0 for x, k in zip(lines, kept)], holders, parents, share)
+    if story:
+        kept = [inside[c] and (k or n > 0) for k, n, c in zip(kept, lengths, holders)]
+    else:
+        sizes = [sum(lengths[a:b]) for a, b in stretches]
+        kept = [False] * len(lines)
+        for (a, b), n in zip(stretches, sizes):
+            if 5 * n >= max(sizes):
+                while a > 0 and lengths[a - 1] and holders[a - 1] == holders[a]:
+                    a -= 1
+                while b < len(lines) and lengths[b] and holders[b] == holders[b - 1]:
+                    b += 1
+                kept[a:b] = [True] * (b - a)
+    return "\n".join(t for t, k in zip(texts, kept) if k and t)
 
 
 def extract(page: Column, **options) -> Column:
