@@ -3,6 +3,7 @@
 import itertools
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -50,6 +51,26 @@ def test_recall(spark):
     assert hits / (10 * len(want)) >= 0.9
 
 
+@pytest.mark.parametrize("noise", [0.001, 0.01, 0.05])
+def test_recall_among_near_copies(spark, noise):
+    rng = np.random.default_rng(6)
+    v = rng.standard_normal((21_000, 32))
+    near = rng.random(len(v)) < 1 / 3  # a third of all rows: one vector, hardly changed
+    v[near] = v[0] + noise * rng.standard_normal((near.sum(), 32))
+    ids = np.arange(0, len(v), 100)
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(v)), "embedding": list(v)}))
+    got = {}
+    for r in nb.nearest(df, F.col("vec_id") % 100 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = {True: [], False: []}
+    for q in ids:
+        d = ((v - v[q]) ** 2).sum(axis=1)
+        d[q] = np.inf
+        hits[bool(near[q])].append(len(got[q] & set(np.argsort(d)[:10].tolist())) / 10)
+    print(noise, np.mean(hits[True]), np.mean(hits[False]))
+    assert np.mean(hits[True]) >= 0.9 and np.mean(hits[False]) >= 0.9
+
+
 def test_copies_and_odd_rows(spark):
     rng = np.random.default_rng(4)
     rows = [(i, [float(x) for x in rng.standard_normal(5)], "x") for i in range(60)]

@@ -17,6 +17,10 @@ BITS = 6
 #: Rows of a key block: BLOCK_SHARE times the 3/4th power of the number of vectors, BLOCK_LEAST at least.
 BLOCK_SHARE, BLOCK_LEAST = 0.32, 64
 SAMPLE_ROWS = 20_000
+#: Low bits of a key: one for each axis and, below, a hash of the id.
+FINE_BITS = 15
+#: Sampled rows from which a cell is split at its own mean.
+FULL_CELL = 8
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -45,24 +49,44 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
 
 @dataclass
 class Curves:
-    """Projections, shifts and scales of the curves; fitted on a bounded sample."""
+    """Projections, shifts and scales of the curves, and the means of full cells; fitted on a bounded sample."""
 
     mean: np.ndarray
     axes: list[np.ndarray]
     offset: list[np.ndarray]
     bits: int
+    full: list[tuple[np.ndarray, np.ndarray]]
 
-    def keys(self, vectors: np.ndarray) -> np.ndarray:
-        """n x curves Hilbert places."""
-        centred, side, out = vectors - self.mean, 1 << self.bits, []
-        for axes, offset in zip(self.axes, self.offset):
-            cells = np.clip(((centred @ axes + offset) / 6 + 0.5) * side, 0, side - 1)
-            out.append(hilbert_keys(cells.astype(np.int64), self.bits))
+    def places(self, vectors: np.ndarray, c: int) -> tuple[np.ndarray, np.ndarray]:
+        """Place on the grid of curve ``c`` (n x axes), and Hilbert place of the cell."""
+        side = 1 << self.bits
+        at = np.clip((((vectors - self.mean) @ self.axes[c] + self.offset[c]) / 6 + 0.5) * side, 0, side * (1 - 1e-12))
+        return at, hilbert_keys(at.astype(np.int64), self.bits)
+
+    def keys(self, vectors: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """n x curves keys: the cell's Hilbert place, a place within the cell, and a hash of the id, another on each curve.
+
+        A cell is halved along each axis, a full one at the mean of its own rows: near copies, which all lie in one corner of a
+        cell, are parted by where they lie among each other.
+        """
+        out = []
+        for c in range(len(self.axes)):
+            at, key = self.places(vectors, c)
+            cells, means = self.full[c]
+            split = np.floor(at) + 0.5
+            if len(cells):
+                i = np.minimum(np.searchsorted(cells, key), len(cells) - 1)
+                split = np.where((cells[i] == key)[:, None], means[i], split)
+            fine = hilbert_keys((at >= split).astype(np.int64), 1)
+            rest = FINE_BITS - at.shape[1]
+            salted = (ids.astype(np.uint64) + np.uint64(c + 1)) * np.uint64(0x9E3779B97F4A7C15)
+            salted = (salted ^ salted >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+            out.append((key << at.shape[1] | fine) << rest | (salted >> np.uint64(64 - rest)).astype(np.int64))
         return np.stack(out, axis=1)
 
 
 def fit_curves(sample: np.ndarray, curves: int = CURVES, projected: int = PROJECTED, bits: int = BITS, seed: int = 11) -> Curves:
-    """Curves from a sample (rows x dims): random orthonormal axes, scaled to unit spread, each curve with a random shift."""
+    """Curves from a sample (rows x dims): random orthonormal axes, scaled to unit spread, each curve with a random shift; means of the cells with ``FULL_CELL`` or more of its rows."""
     rng, dims = np.random.default_rng(seed), sample.shape[1]
     p = min(projected, dims)
     bits = max(1, min(bits, 48 // p))
@@ -73,7 +97,13 @@ def fit_curves(sample: np.ndarray, curves: int = CURVES, projected: int = PROJEC
         a, turn = turn[:, :p], turn[:, p:]
         spread = ((sample - mean) @ a).std(axis=0)
         axes.append(a / np.where(spread > 0, spread, 1.0))
-    return Curves(mean, axes, [rng.uniform(-0.5, 0.5, p) for _ in axes], bits)
+    shape = Curves(mean, axes, [rng.uniform(-0.5, 0.5, p) for _ in axes], bits, [])
+    for c in range(curves):
+        at, key = shape.places(sample, c)
+        cells, where, n = np.unique(key, return_inverse=True, return_counts=True)
+        means = np.stack([np.bincount(where, at[:, i], len(cells)) for i in range(p)], axis=1) / n[:, None]
+        shape.full.append((cells[n >= FULL_CELL], means[n >= FULL_CELL]))
+    return shape
 
 
 def _matrix(column, dims: int) -> np.ndarray:
@@ -100,7 +130,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, curves: int = CUR
     Hilbert curves (means and scales from ``sample_rows`` rows at most; every row is indexed).
     On each curve Spark deals the rows into key ranges of about ``block_rows`` rows; a
     query is compared with its own and both neighbouring ranges by exact distance, and the
-    curves' lists are merged. Identical vectors are searched once, with their k + 1 smallest
+    curves' lists are merged. Cells that hold a larger share of the rows are split at the mean of
+    their sampled rows (see ``Curves.keys``). Identical vectors are searched once, with their k + 1 smallest
     ids, so a vector that fills a third of the table is no hot group.
 
     Null ids and vectors that are null, zero, or hold null or non-finite numbers take no part, nor
@@ -132,8 +163,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, curves: int = CUR
         for batch in batches:
             v = _matrix(batch.column("embedding"), dims)
             ids = batch.column("rep").to_numpy()
-            # The id's hash in the low bits parts equal places evenly.
-            keys = shape.keys(v) << 15 | ((ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(49)).astype(np.int64)[:, None]
+            keys = shape.keys(v, ids)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("rep"), batch.column("embedding"), batch.column("asked"),
                  pa.ListArray.from_arrays(np.arange(len(ids) + 1, dtype=np.int32) * curves, pa.array(keys.ravel()))],
