@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +13,7 @@ from ..operators import plugin as PL
 from ..operators import profile as PR
 from ..operators import rollup as R
 from ..schema import CANONICAL, PAYLOAD, columns
-from ..session import scratch_folder
+from ..session import rocksdb_state, scratch_folder
 from ..sources import topic
 from ..sources.tables import read_table, transactions
 from ..streaming import buffers as B
@@ -27,7 +27,9 @@ HOT_USER = "user-hot"
 
 
 def _drain(stream, checkpoint: str) -> None:
-    stream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    with rocksdb_state(SparkSession.active()):
+        query = stream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
 
 
 def _to_files(df: DataFrame, out: str, checkpoint: str) -> None:
