@@ -448,16 +448,23 @@ def _closing(long: DataFrame) -> DataFrame:
     return long.limit(1).withColumn("transaction_id", F.lit("closing")).withColumn("txn_time", F.lit(4_000_000_000).cast("long"))
 
 
+def _kept(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written under the shared folder and read again, for rows that are used more than once."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stream_rollup_orders(spark, sf):
     """Orders, half of which come out of time order, rolled up in one-second windows over several micro-batches.
 
     The watermark allows for the ten years that the orders span, so none is late.
     """
     base = scratch_folder(spark, "stream_rollup_orders")
-    long = R.scored_long(D.score_all(_or(spark, sf)))
-    SP.as_records(long, SCORED_FIELDS).repartitionByRange(4, "seq").write.json(f"{base}/topic")
+    long = _kept(R.scored_long(D.score_all(_or(spark, sf))), f"{base}/scored")
+    files = 4 * max(1, spark.sparkContext.defaultParallelism)
+    SP.as_records(long, SCORED_FIELDS).repartitionByRange(files, "seq").write.json(f"{base}/topic")
     SP.as_records(_closing(long), SCORED_FIELDS).write.mode("append").json(f"{base}/topic")
-    scored = SP.parse_scored(SP.read_topic(spark, f"{base}/topic", max_files_per_trigger=2))
+    scored = SP.parse_scored(SP.read_topic(spark, f"{base}/topic", max_files_per_trigger=files // 2))
     rolled = SP.rollup_stream(scored, window="tumbling", watermark="3650 days")
     for _ in range(2):  # the second run closes what the last record's time allows
         _drain(rolled, f"{base}/out", f"{base}/ck")
@@ -467,10 +474,10 @@ def stream_rollup_orders(spark, sf):
 def stream_dedup(spark, sf):
     """Redeliveries, in other micro-batches than their first delivery, counted once."""
     base = scratch_folder(spark, "stream_dedup")
-    long = R.scored_long(D.score_all(_ev(spark, sf)))
+    long = _kept(R.scored_long(D.score_all(_ev(spark, sf))), f"{base}/scored")
     for drop in (long, long.filter("location = 'error'"), _closing(long)):
         SP.as_records(drop, SCORED_FIELDS).write.mode("append").json(f"{base}/topic")
-        scored = SP.parse_scored(SP.read_topic(spark, f"{base}/topic"))
+        scored = SP.parse_scored(SP.read_topic(spark, f"{base}/topic", max_files_per_trigger=10_000))  # a drop is a micro-batch
         rolled = SP.rollup_stream(scored, window="tumbling", watermark="3650 days", dedup=True)
         _drain(rolled, f"{base}/out", f"{base}/ck")
     _drain(rolled, f"{base}/out", f"{base}/ck")  # closes what the last record's time allows
