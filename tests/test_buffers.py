@@ -7,9 +7,11 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from tripwire.operators import detectors as D
 from tripwire.operators import plugin as PL
 from tripwire.operators import profile as PR
 from tripwire.schema import columns
+from tripwire.session import rocksdb_state
 from tripwire.sources.tables import transactions
 from tripwire.sources.versioned import VersionedTable
 from tripwire.streaming import buffers as B
@@ -132,3 +134,24 @@ def test_distinct_users_in_any_split(spark):
         assert SPR.sketch_estimate(merged).first().user_count == exact
     few = SPR.sketch_estimate(SPR.user_sketch(ids.limit(100))).first().user_count
     assert abs(few - 100) <= 2 and SPR.sketch_estimate(SPR.user_sketch(ids.limit(0))).first().user_count == 0
+
+
+def test_order_by_buckets_of_users(spark, scratch):
+    """Users that share a bucket, the null user too, have the scores, the late rows and the states of their own."""
+    tx = transactions(spark, SF_SMALL, "events").filter("seq < 300")
+    tx = tx.withColumn("user_id", F.when(F.col("seq") % 7 == 0, None).otherwise(F.col("user_id")))
+    want = {r.seq: tuple(r[f"{d}_score"] for d in ("amount", "velocity", "location")) for r in D.score_all(tx).collect()}
+    rows, late = {}, []
+    writer = B.two_outputs(lambda df, k: rows.update({r.seq: tuple(r[f"{d}_score"] for d in ("amount", "velocity", "location")) for r in df.collect()}),
+                           lambda df, k: late.extend(r.seq for r in df.collect()))
+    closing = tx.limit(1).withColumns({"user_id": F.lit("closing"), "seq": F.lit(10_000).cast("long")})
+    parts = [tx.filter("seq < 100 and seq % 2 = 0"), tx.filter("seq < 100 and seq % 2 = 1"), tx.filter("seq >= 100"), closing, tx.filter("seq in (20, 21)")]
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(f"{scratch}/topic")
+        source = spark.readStream.schema(tx.schema).parquet(f"{scratch}/topic")
+        out = B.in_order(source, PL.standard(), F.timestamp_seconds("seq"), ["seq"], "100 seconds", buckets=3)
+        for _ in range(1 + (part is closing)):
+            with rocksdb_state(spark):
+                q = out.writeStream.foreachBatch(writer).option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start()
+            q.awaitTermination()
+    assert {k: v for k, v in rows.items() if k < 10_000} == want and sorted(late) == [20, 21]

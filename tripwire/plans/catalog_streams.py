@@ -27,6 +27,13 @@ from . import oracle as O
 
 LARGE = 1e9  # units of such amounts do not fit a long
 HOT_USER = "user-hot"
+#: Rows of a stream for each bucket of keys that holds open rows: a task reads those of one bucket at a time.
+ROWS_PER_BUCKET = 20_000
+
+
+def _buckets(rows: int) -> int:
+    return max(64, rows // ROWS_PER_BUCKET)
+
 
 
 def _drain(stream, checkpoint: str) -> None:
@@ -166,7 +173,7 @@ def stream_in_order(spark, sf):
     """
     base = scratch_folder(spark, "stream_in_order")
     tx = transactions(spark, sf, "events")
-    lo, hi = tx.agg(F.min("seq"), F.max("seq")).first()
+    lo, hi, rows = tx.agg(F.min("seq"), F.max("seq"), F.count("seq")).first()
     step = (hi - lo) // 4 + 1
     drop = F.floor((F.col("seq") - lo) / step) + F.col("seq") % 2
     closing = tx.limit(1).withColumns({"user_id": F.lit("closing"), "seq": F.lit(lo + 100 * step).cast("long")})
@@ -175,7 +182,7 @@ def stream_in_order(spark, sf):
         part = tx.filter(drop == k) if k < 5 else closing
         part.withColumn("partition", F.col("seq") % 2).write.mode("append").parquet(f"{base}/topic")
         out = B.in_order(_files(spark, schema, f"{base}/topic", 1000), PL.standard(), F.timestamp_seconds("seq"), ["partition", "seq"],
-                         f"{2 * step} seconds")
+                         f"{2 * step} seconds", buckets=_buckets(rows))
         writer = B.two_outputs(lambda df, b: df.write.mode("overwrite").parquet(f"{base}/out/batch={b}"),
                                lambda df, b: df.write.mode("overwrite").parquet(f"{base}/late/batch={b}"))
         for _ in range(1 + (k == 5)):

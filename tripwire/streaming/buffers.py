@@ -141,7 +141,10 @@ def two_outputs(write_results: Callable[[DataFrame, int], None], write_late: Cal
 # --------------------------------------------------------------------- order
 
 class OrderedProcessor(StatefulProcessor):
-    """Holds a key's rows until the watermark passes their time, then folds them by the detectors, in order of time."""
+    """Holds rows until the watermark passes their time, then folds each key's by the detectors, in order of time.
+
+    A state key is a key, or a bucket of keys: its open rows and its keys' folded states are read and written together.
+    """
 
     def __init__(self, detectors: list[Detector]):
         self.detectors = detectors
@@ -149,41 +152,49 @@ class OrderedProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.rows = handle.getListState("rows", ROW)
-        self.state = handle.getValueState("folded", T.StructType([T.StructField("states", T.StringType()), T.StructField("last", T.StringType())]))
+        self.folded = handle.getListState("folded", T.StructType([T.StructField(c, T.StringType()) for c in ("key", "states", "last")]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        stored = self.state.get()
-        last = json.loads(stored[1]) if stored else None
+        last = {of: json.loads(order) for of, _, order in self.folded.get()}
         late, held = [], []
         for chunk in rows:
             for at, body in zip(chunk["event_ms"].tolist(), chunk["body_json"].tolist()):
-                (late if last is not None and json.loads(body)["order"] <= last else held).append((at, body))
+                row = json.loads(body) if last else None
+                (late if last and (until := last.get(row["key"].get("k"))) is not None and row["order"] <= until else held).append((at, body))
         if held:
             self.rows.appendList(held)
             self.handle.registerTimer(min(at for at, _ in held) + 1)  # a row goes when the watermark is past its time
         yield self._out([json.loads(b)["row"]["r"] for _, b in late], [[None] * len(late) for _ in self.detectors], True)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now, due, rest = timerValues.getCurrentWatermarkInMs(), [], []
+        now, due, rest = timerValues.getCurrentWatermarkInMs(), {}, []
         for at, body in self.rows.get():
-            (due if at < now else rest).append((at, body))
+            if at < now:
+                row = json.loads(body)
+                due.setdefault(row["key"].get("k"), []).append(row)
+            else:
+                rest.append((at, body))
+        if not due:  # an earlier timer of this micro-batch took them
+            return
         if rest:
             self.rows.put(rest)
             self.handle.registerTimer(min(at for at, _ in rest) + 1)
         else:
             self.rows.clear()
-        if not due:  # an earlier timer of this micro-batch took them
-            return
-        bodies = sorted((json.loads(b) for _, b in due), key=lambda b: b["order"])
-        stored = self.state.get()
-        states, scores = start(self.detectors, stored[0] if stored else None), []
-        for k, d in enumerate(self.detectors):
-            columns = {n: [_NUMBERS.get(v, v) if isinstance(v, str) and number else v for v in (b["in"][k][n] for b in bodies)]
-                       for n, number in self.numbers[k].items()}
-            part, states[k] = d.step(states[k], columns)
-            scores.append(part)
-        self.state.update((dump(states), json.dumps(bodies[-1]["order"])))
-        yield self._out([b["row"]["r"] for b in bodies], scores, False)
+        folded = {of: (states, order) for of, states, order in self.folded.get()}
+        rows, scores = [], [[] for _ in self.detectors]
+        for of, bodies in due.items():
+            bodies.sort(key=lambda b: b["order"])
+            states = start(self.detectors, folded[of][0] if of in folded else None)
+            for k, d in enumerate(self.detectors):
+                columns = {n: [_NUMBERS.get(v, v) if isinstance(v, str) and number else v for v in (b["in"][k][n] for b in bodies)]
+                           for n, number in self.numbers[k].items()}
+                part, states[k] = d.step(states[k], columns)
+                scores[k] += part
+            folded[of] = (dump(states), json.dumps(bodies[-1]["order"]))
+            rows += [b["row"]["r"] for b in bodies]
+        self.folded.put([(of, *x) for of, x in folded.items()])
+        yield self._out(rows, scores, False)
 
     def _out(self, rows: list, scores: list[list], late: bool) -> pd.DataFrame:
         out = {"row": pd.Series(rows, dtype=object), "is_late": pd.Series([late] * len(rows), dtype=bool)}
@@ -193,25 +204,28 @@ class OrderedProcessor(StatefulProcessor):
         pass
 
 
-def in_order(df: DataFrame, detectors: list[Detector], time: Column, order: list[str], watermark: str, key: str = "user_id") -> DataFrame:
+def in_order(df: DataFrame, detectors: list[Detector], time: Column, order: list[str], watermark: str, key: str = "user_id",
+             buckets: int | None = None) -> DataFrame:
     """Detector scores of a stream whose rows of one key come through several partitions, in any interleaving.
 
     A row is held until the watermark passes its ``time``; then a key's rows are folded in order of (time, ``order``).
     ``order`` are whole-number columns that tell rows of one time apart. So however its partitions are
     interleaved within the watermark's delay, a key's scores are those of its rows in order. The result has
     ``result`` (columns of ``df`` and the scores) and ``late`` (columns of ``df``; rows that came after a later row was
-    folded), of which one is null.
+    folded), of which one is null. State is kept by key, or, for many keys, by ``buckets`` of keys: far fewer calls to the
+    state store, but a bucket's open rows are read whole whenever one is due.
     """
     names = {c: F.col(c) for c in df.columns}
     parts = [F.to_json(F.struct(*(c.alias(n) for n, c in d.inputs().items())), {"ignoreNullFields": "false"}) for d in detectors]
     timed = _timed(df, time, watermark)
-    body = F.concat(F.lit('{"order":['), F.concat_ws(",", F.col("event_ms").cast("string"), *(F.coalesce(F.col(c).cast("long"), F.lit(0)).cast("string") for c in order)),
+    body = F.concat(F.lit('{"key":'), F.to_json(F.struct(F.col(key).cast("string").alias("k"))), F.lit(',"order":['), F.concat_ws(",", F.col("event_ms").cast("string"), *(F.coalesce(F.col(c).cast("long"), F.lit(0)).cast("string") for c in order)),
                     F.lit('],"in":['), F.concat_ws(",", *parts), F.lit('],"row":'), F.to_json(F.struct(F.to_json(F.struct(*(c.alias(n) for n, c in names.items())),
                                                                                                    {"ignoreNullFields": "false"}).alias("r"))), F.lit("}"))
     processor = OrderedProcessor(detectors)
     types = df.select(*(c.alias(f"{k}/{n}") for k, d in enumerate(detectors) for n, c in d.inputs().items())).schema
     processor.numbers = [{n: isinstance(types[f"{k}/{n}"].dataType, (T.DoubleType, T.FloatType)) for n in d.inputs()} for k, d in enumerate(detectors)]
-    out = timed.select(key, "event_ms", body.alias("body_json")).groupBy(key).transformWithStateInPandas(
+    by = F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket") if buckets else F.col(key)
+    out = timed.select(by, "event_ms", body.alias("body_json")).groupBy("bucket" if buckets else key).transformWithStateInPandas(
         statefulProcessor=processor, outputMode="Append", timeMode="EventTime",
         outputStructType="row string, is_late boolean, " + ", ".join(f"{d.name}_score int" for d in detectors))
     row = _typed(F.col("row"), df.schema)
