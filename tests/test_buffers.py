@@ -155,3 +155,14 @@ def test_order_by_buckets_of_users(spark, scratch):
                 q = out.writeStream.foreachBatch(writer).option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start()
             q.awaitTermination()
     assert {k: v for k, v in rows.items() if k < 10_000} == want and sorted(late) == [20, 21]
+
+
+def test_buckets_and_state_memory_are_bounded(spark):
+    """Rows of a bucket do not grow with the stream; RocksDB's memory is bounded for a query started within, and the settings are put back."""
+    from tripwire import session
+    from tripwire.plans import catalog_streams as C
+    assert C._buckets(100) == 64 and 108_000_000 / C._buckets(108_000_000) <= 2 * C.ROWS_PER_BUCKET
+    before = spark.conf.get(session.STATE_MEMORY_CONF, None)
+    with rocksdb_state(spark):
+        assert spark.conf.get(session.STATE_MEMORY_CONF) == "true"
+    assert spark.conf.get(session.STATE_MEMORY_CONF, None) == before

@@ -150,11 +150,12 @@ def stream_late_windows(spark, sf):
     base = scratch_folder(spark, "stream_late_windows")
     R.scored_long(D.score_all(transactions(spark, sf, "events"))).select(*SCORED_SCHEMA.fieldNames()).write.parquet(f"{base}/scored")
     long = spark.read.schema(SCORED_SCHEMA).parquet(f"{base}/scored")
+    buckets = _buckets(long.count())
     closing = long.limit(1).withColumns({"transaction_id": F.lit("closing"), "txn_time": F.lit(4_000_000_000).cast("long")})
     for n, drop in enumerate((long, closing, long.filter("location = 'error'"))):
         drop.write.mode("append").parquet(f"{base}/topic")
         out = B.window_stream(_files(spark, SCORED_SCHEMA, f"{base}/topic", 1000), ["transaction_id"], F.timestamp_seconds("txn_time"), 1,
-                              "3650 days", B.sum_scores(LABEL_THRESHOLD), WINDOW_SCHEMA, buckets=64)
+                              "3650 days", B.sum_scores(LABEL_THRESHOLD), WINDOW_SCHEMA, buckets=buckets)
         writer = B.two_outputs(lambda df, k: df.write.mode("overwrite").parquet(f"{base}/windows/batch={k}"),
                                lambda df, k: df.write.mode("overwrite").parquet(f"{base}/late/batch={k}"))
         for _ in range(1 + (n == 1)):  # once more, so that the closing record's time closes the windows
