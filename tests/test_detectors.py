@@ -111,3 +111,13 @@ def test_amounts_beyond_a_long_and_none(spark):
     for rpb in (None, 2):
         got = scores(D.score_all(txns(spark, rows), rows_per_block=rpb))
         assert [got[i][0] for i in range(5)] == [0, 0, 0, 1, 0]
+
+
+def test_tables_of_blocks_do_not_go_to_the_driver(spark):
+    """Tables with a row for each block are joined by shuffles, whatever their size; the scores are those of a whole user."""
+    tx = spark.range(400).selectExpr("id AS seq", "concat('t', id) AS transaction_id", "if(id % 2 = 0, 'hot', null) AS user_id", "id * 30 AS txn_time",
+                                     "double(id % 17) AS amount", "string(id % 3) AS location", "'Normal' AS transaction_type")
+    out = D.score_all(tx, rows_per_block=20)
+    assert out._jdf.queryExecution().analyzed().toString().count("(strategy=merge)") + out._jdf.queryExecution().optimizedPlan().toString().count("strategy=merge") >= 2
+    cols = ["seq", "amount_score", "velocity_score", "location_score"]
+    assert sorted(out.select(cols).collect()) == sorted(D.score_all(tx).select(cols).collect())
